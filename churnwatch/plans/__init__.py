@@ -1,4 +1,4 @@
 """Named queries over the driver tables. Importing this package registers all of them."""
 
-from churnwatch.plans import clean_plans, drift_plans  # noqa: F401
+from churnwatch.plans import clean_plans, drift_plans, feature_plans  # noqa: F401
 from churnwatch.plans.registry import ORACLE, QUERIES  # noqa: F401
