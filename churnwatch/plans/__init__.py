@@ -1,4 +1,11 @@
 """Named queries over the driver tables. Importing this package registers all of them."""
 
-from churnwatch.plans import clean_plans, drift_plans, eval_plans, feature_plans, quality_plans  # noqa: F401
+from churnwatch.plans import (  # noqa: F401
+    clean_plans,
+    drift_plans,
+    eval_plans,
+    feature_plans,
+    profile_plans,
+    quality_plans,
+)
 from churnwatch.plans.registry import ORACLE, QUERIES  # noqa: F401
