@@ -2,6 +2,7 @@
 
 from churnwatch.plans import (  # noqa: F401
     clean_plans,
+    contract_plans,
     drift_plans,
     eval_plans,
     feature_plans,

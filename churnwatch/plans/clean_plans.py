@@ -250,20 +250,16 @@ def q_dup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT customerID, CAST(row_number() OVER (PARTITION BY customerID ORDER BY MonthlyCharges, TotalCharges) > 1 AS BOOLEAN)"
     " AS is_duplicate FROM deduped"))
 def q_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
     d = _named(spark, sf_dir).dropDuplicates()
-    w = Window.partitionBy("customerID").orderBy("MonthlyCharges", "TotalCharges")
-    return d.select("customerID", (F.row_number().over(w) > 1).alias("is_duplicate"))
+    return CL.keep_first_duplicates(d, "customerID", ["MonthlyCharges", "TotalCharges"]).select(
+        "customerID", "is_duplicate")
 
 
 @register("flag_all_duplicates", _w(
     "SELECT customerID, count(*) OVER (PARTITION BY customerID) > 1 AS is_duplicate FROM deduped"))
 def q_flag_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
     d = _named(spark, sf_dir).dropDuplicates()
-    return d.select("customerID", (F.count("*").over(Window.partitionBy("customerID")) > 1).alias("is_duplicate"))
+    return CL.flag_all_duplicates(d, "customerID").select("customerID", "is_duplicate")
 
 
 @register("null_counts", f"WITH {CH.churn_view_sql()} SELECT * FROM (" + " UNION ALL ".join(

@@ -62,22 +62,28 @@ EXACT_DUP = f"{K} % 10 = 0"
 ID_DUP = f"{K} % 45 = 0"
 
 
-def churn_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def churn_view(spark: SparkSession, sf_dir: str, with_row_no: bool = False) -> DataFrame:
+    """The raw view; ``with_row_no`` adds a deterministic row number (key x 3 + copy index)."""
     c = table(spark, sf_dir, "customer")
     o = table(spark, sf_dir, "orders")
     totals = o.groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("tot"))
     base = c.join(totals, c.c_custkey == totals.o_custkey, "left")
 
-    def rows(variant: str, cond: str | None) -> DataFrame:
+    def rows(variant: str, cond: str | None, copy: int) -> DataFrame:
         src = base.where(F.expr(cond)) if cond else base
-        return src.select(*[F.expr(e).alias(n) for n, e in churn_columns(variant)])
+        extra = [(F.col(K) * 3 + copy).alias("row_no")] if with_row_no else []
+        return src.select(*extra, *[F.expr(e).alias(n) for n, e in churn_columns(variant)])
 
-    return rows("base", None).unionByName(rows("base", EXACT_DUP)).unionByName(rows("iddup", ID_DUP))
+    return rows("base", None, 0).unionByName(rows("base", EXACT_DUP, 1)).unionByName(rows("iddup", ID_DUP, 2))
 
 
-def churn_view_sql() -> str:
+def churn_view_sql(with_row_no: bool = False) -> str:
+    copies = iter(range(3))
+
     def sel(variant: str, cond: str | None) -> str:
         cols = ", ".join(f'{e} AS "{n}"' for n, e in churn_columns(variant))
+        if with_row_no:
+            cols = f"{K} * 3 + {next(copies)} AS row_no, " + cols
         where = f" WHERE {cond}" if cond else ""
         return f"SELECT {cols} FROM cv_base{where}"
 
