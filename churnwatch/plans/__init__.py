@@ -8,5 +8,6 @@ from churnwatch.plans import (  # noqa: F401
     feature_plans,
     profile_plans,
     quality_plans,
+    series_plans,
 )
 from churnwatch.plans.registry import ORACLE, QUERIES  # noqa: F401
