@@ -27,37 +27,40 @@ def _lit_str(s: str) -> Column:
 
 
 def melt_features(df: DataFrame, numeric: list[str], categorical: list[str], side_col: str = SIDE) -> DataFrame:
-    """(is_ref, kind, feature, num_value, cat_value) with one row per input row and feature.
+    """(is_ref, fid, num_value, cat_value): one row per input row and feature.
 
+    ``fid`` indexes ``numeric + categorical`` (an int key hashes cheaper than names).
     Numeric values are doubles with NaN and NULL dropped; categorical values are text
     with NULL kept as the ``<NA>`` category.
     """
     args: list[Column] = []
-    for name in numeric:
+    for i, name in enumerate(numeric):
         x = F.col(name).cast("double")
-        args += [_lit_str("numeric"), _lit_str(name), F.when(~F.isnan(x), x), F.lit(None).cast("string")]
-    for name in categorical:
-        args += [
-            _lit_str("categorical"),
-            _lit_str(name),
-            F.lit(None).cast("double"),
-            F.coalesce(F.col(name).cast("string"), F.lit(NULL_CATEGORY)),
-        ]
+        args += [F.lit(i), F.when(~F.isnan(x), x), F.lit(None).cast("string")]
+    for j, name in enumerate(categorical):
+        args += [F.lit(len(numeric) + j), F.lit(None).cast("double"),
+                 F.coalesce(F.col(name).cast("string"), F.lit(NULL_CATEGORY))]
     n = len(numeric) + len(categorical)
     long = df.select(
         F.col(side_col).cast("boolean").alias(SIDE),
-        F.stack(F.lit(n), *args).alias("kind", "feature", "num_value", "cat_value"),
+        F.stack(F.lit(n), *args).alias("fid", "num_value", "cat_value"),
     )
-    return long.where((F.col("kind") == "categorical") | F.col("num_value").isNotNull())
+    return long.where((F.col("fid") >= len(numeric)) | F.col("num_value").isNotNull())
 
 
 def paired_counts(df: DataFrame, numeric: list[str], categorical: list[str], side_col: str = SIDE) -> DataFrame:
     """(kind, feature, num_value, cat_value, n_ref, n_cur) - one row per distinct value."""
     long = melt_features(df, numeric, categorical, side_col)
-    return long.groupBy("kind", "feature", "num_value", "cat_value").agg(
+    agg = long.groupBy("fid", "num_value", "cat_value").agg(
         F.count_if(F.col(SIDE)).alias("n_ref"),
         F.count_if(~F.col(SIDE)).alias("n_cur"),
     )
+    names = F.array(*[F.lit(c) for c in numeric + categorical])
+    return agg.select(
+        F.when(F.col("fid") < len(numeric), F.lit("numeric")).otherwise(F.lit("categorical")).alias("kind"),
+        F.element_at(names, F.col("fid") + 1).alias("feature"),
+        "num_value", "cat_value", "n_ref", "n_cur",
+    )
 
 
 def numeric_counts(counts: DataFrame) -> DataFrame:
@@ -80,6 +83,7 @@ def feature_totals(num_counts: DataFrame) -> dict[str, dict]:
         F.sum("n_cur").alias("n_cur"),
         F.min("value").alias("lo"),
         F.max("value").alias("hi"),
+        F.count("*").alias("n_values"),
     ).collect()
     return {r["feature"]: r.asDict() for r in rows}
 
@@ -91,17 +95,41 @@ def _feature_map(values: dict[str, object], cast: str) -> Column:
     return F.element_at(F.create_map(*pairs), F.col("feature"))
 
 
-def with_cumulative(num_counts: DataFrame, totals: dict[str, dict], buckets: int = 1024) -> DataFrame:
+# distinct values per running-sum partition; more values than this get more buckets
+ROWS_PER_BUCKET = 1_000_000
+
+
+def bucket_count(totals: dict[str, dict], max_buckets: int = 1024, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Buckets per feature: enough that a bucket holds about ``rows_per_bucket`` distinct
+    values, at most ``max_buckets``; 1 when every feature is small."""
+    most = max((int(t.get("n_values") or 0) for t in totals.values()), default=0)
+    return max(1, min(max_buckets, -(-most // rows_per_bucket)))
+
+
+def with_cumulative(num_counts: DataFrame, totals: dict[str, dict], buckets: int = 1024,
+                    rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Adds cum_ref / cum_cur (inclusive running counts by value) and the feature totals.
 
-    Exact for any bucket count; the buckets only spread the running-sum work. A value
-    shared by many rows is already one row here, so a hot value cannot overload a task.
+    Exact for any bucket count; the buckets only spread the running-sum work. Values
+    are cut into up to ``buckets`` equal-width ranges per feature (as many as the
+    distinct-value count calls for), bucket totals (features x buckets rows) give the
+    offsets, and running sums run inside ``(feature, bucket)``. A value shared by many
+    rows is already one row here, so a hot value cannot overload a task.
     """
+    b = bucket_count(totals, buckets, rows_per_bucket)
+    n_ref_tot = _feature_map({f: t["n_ref"] for f, t in totals.items()}, "bigint").alias("n_ref_total")
+    n_cur_tot = _feature_map({f: t["n_cur"] for f, t in totals.items()}, "bigint").alias("n_cur_total")
+    if b == 1:
+        running = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        return num_counts.select(
+            "feature", "value", "n_ref", "n_cur", n_ref_tot, n_cur_tot,
+            F.sum("n_ref").over(running).alias("cum_ref"), F.sum("n_cur").over(running).alias("cum_cur"),
+        )
     lo = _feature_map({f: t["lo"] for f, t in totals.items()}, "double")
     hi = _feature_map({f: t["hi"] for f, t in totals.items()}, "double")
     span = hi - lo
     bucket = F.when(
-        span > 0, F.least(F.floor((F.col("value") - lo) / span * F.lit(buckets)), F.lit(buckets - 1))
+        span > 0, F.least(F.floor((F.col("value") - lo) / span * F.lit(b)), F.lit(b - 1))
     ).otherwise(F.lit(0))
     bucketed = num_counts.withColumn("bucket", bucket.cast("int"))
 
@@ -119,12 +147,7 @@ def with_cumulative(num_counts: DataFrame, totals: dict[str, dict], buckets: int
     joined = bucketed.join(F.broadcast(offsets), ["feature", "bucket"])
     running = Window.partitionBy("feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(
-        "feature",
-        "value",
-        "n_ref",
-        "n_cur",
-        _feature_map({f: t["n_ref"] for f, t in totals.items()}, "bigint").alias("n_ref_total"),
-        _feature_map({f: t["n_cur"] for f, t in totals.items()}, "bigint").alias("n_cur_total"),
+        "feature", "value", "n_ref", "n_cur", n_ref_tot, n_cur_tot,
         (F.col("off_ref") + F.sum("n_ref").over(running)).alias("cum_ref"),
         (F.col("off_cur") + F.sum("n_cur").over(running)).alias("cum_cur"),
     )
