@@ -10,5 +10,6 @@ from churnwatch.plans import (  # noqa: F401
     profile_plans,
     quality_plans,
     series_plans,
+    stream_plans,
 )
 from churnwatch.plans.registry import ORACLE, QUERIES  # noqa: F401
