@@ -6,6 +6,7 @@ from churnwatch.plans import (  # noqa: F401
     drift_plans,
     eval_plans,
     feature_plans,
+    jobs,
     ml_plans,
     profile_plans,
     quality_plans,
