@@ -236,3 +236,20 @@ def q_monitoring_report(spark, sf_dir):
 
 
 __all__ = ["QU"]
+
+
+def _attach_oracles() -> None:
+    """SQL for the jobs whose persisted result SQL can state directly."""
+    from churnwatch.plans import clean_plans as CLP
+    from churnwatch.plans import series_plans as SP
+    from churnwatch.plans.registry import ORACLE
+
+    ORACLE["sink_table"] = CLP._w("SELECT * FROM cleaned")
+    ORACLE["sink_append_log"] = f"WITH {EP.SCORED_SQL} SELECT * FROM scored"
+    ORACLE["drift_input_job"] = CLP._w(
+        "SELECT CASE WHEN CAST(customerID AS BIGINT) % 2 = 0 THEN 'reference' ELSE 'current' END AS side, "
+        "count(*) AS count FROM cleaned GROUP BY 1")
+    ORACLE["stream_prediction_counters"] = SP.ORACLE_COUNTERS
+
+
+_attach_oracles()

@@ -279,6 +279,14 @@ def q_batch_size_histogram(spark, sf_dir):
     return QU.cumulative_histogram(b, "size", C.BATCH_SIZE_BUCKETS)
 
 
+ORACLE_COUNTERS = f"""WITH {REQ_SQL},
+p AS (SELECT endpoint, least(greatest(score, 0.0), 1.0) AS p FROM req)
+SELECT endpoint, count(*) AS predictions, count(*) FILTER (WHERE p >= {C.POSITIVE_CUT}) AS class_1,
+  count(*) FILTER (WHERE p < {C.POSITIVE_CUT}) AS class_0,
+  count(*) FILTER (WHERE greatest(p, 1.0 - p) < {C.LOW_CONFIDENCE_PROB_THRESHOLD}) AS low_confidence
+FROM p GROUP BY endpoint"""
+
+
 @register("prediction_counters", f"""WITH {REQ_SQL},
 p AS (SELECT endpoint, least(greatest(score, 0.0), 1.0) AS p FROM req)
 SELECT endpoint, count(*) AS predictions, count(*) FILTER (WHERE p >= {C.POSITIVE_CUT}) AS class_1,

@@ -20,7 +20,7 @@ def staged_events(spark, sf_dir):
     return path, spark.read.parquet(path).schema
 
 
-@register("stream_append_log")
+@register("stream_append_log", "SELECT event_id, ts, user_id, event_type, value, least(value / 500.0, 1.0) AS score FROM events")
 def q_stream_append(spark, sf_dir):
     src, schema = staged_events(spark, sf_dir)
     sink = LS.work_dir(spark, "log")
