@@ -96,7 +96,7 @@ def _feature_map(values: dict[str, object], cast: str) -> Column:
 
 
 # distinct values per running-sum partition; more values than this get more buckets
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 50_000
 
 
 def bucket_count(totals: dict[str, dict], max_buckets: int = 1024, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
@@ -111,7 +111,7 @@ def with_cumulative(num_counts: DataFrame, totals: dict[str, dict], buckets: int
     """Adds cum_ref / cum_cur (inclusive running counts by value) and the feature totals.
 
     Exact for any bucket count; the buckets only spread the running-sum work. Values
-    are cut into up to ``buckets`` equal-width ranges per feature (as many as the
+    are cut into up to ``buckets`` equal-width ranges per feature (about one per 50k distinct values, as many as the
     distinct-value count calls for), bucket totals (features x buckets rows) give the
     offsets, and running sums run inside ``(feature, bucket)``. A value shared by many
     rows is already one row here, so a hot value cannot overload a task.

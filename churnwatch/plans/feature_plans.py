@@ -22,8 +22,9 @@ SEED_VALIDATION = 7
 # Spark side
 # ---------------------------------------------------------------------------
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned churn table, written once: the split, threshold and fit passes all read it."""
     c, _ = CL.clean_table(CH.churn_view(spark, sf_dir), strict_schema=True, require_target=True)
-    return c
+    return cut_lineage(c, "cleaned")
 
 
 def split_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:

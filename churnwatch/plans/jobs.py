@@ -69,7 +69,7 @@ def preprocess_job(spark: SparkSession, raw: DataFrame, out: str) -> dict:
     """clean (strict, label required) -> features -> split -> fit on train -> transform all
     -> tree and linear tables (partitioned by split) + bundle. Returns the output paths."""
     cleaned, _ = CL.clean_table(raw, strict_schema=True, require_target=True)
-    split = FE.stratified_assign(cleaned)
+    split = FE.stratified_assign(cut_lineage(cleaned, "cleaned"))
     ft, dropped = FE.feature_table(split)
     ft = cut_lineage(ft, "features")  # read by every fit pass and both transforms
     train = ft.where(F.col(C.SPLIT_COLUMN) == "train")
