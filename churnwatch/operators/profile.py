@@ -52,8 +52,10 @@ def value_frequency(df: DataFrame, columns: list[str]) -> DataFrame:
     args = [x for c in columns for x in (F.lit(c), F.col(c).cast("string"))]
     long = df.select(F.stack(F.lit(len(columns)), *args).alias("feature", "value")).where(F.col("value").isNotNull())
     counts = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("feature")  # over distinct values of one feature
-    return counts.select("feature", "value", "n", (F.col("n") / F.sum("n").over(w)).alias("share"))
+    # one row per column: bounded broadcast, no per-feature window over all distinct values
+    totals = long.groupBy("feature").agg(F.count("*").alias("total"))
+    return counts.join(F.broadcast(totals), "feature").select(
+        "feature", "value", "n", (F.col("n") / F.col("total")).alias("share"))
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
