@@ -147,9 +147,24 @@ def evaluate_rule(samples: DataFrame, alertname: str, op: str, threshold: float,
     )
 
 
-def alert_for(evaluated: DataFrame, hold_seconds: int, stale_seconds: int) -> DataFrame:
+def evaluate_rules(samples: DataFrame, rules: DataFrame) -> DataFrame:
+    """All comparison rules in one pass: samples joined with the rules table on ``metric``
+    (the rules table has one row per rule, so its broadcast is bounded).
+
+    rules columns: alertname, metric, op, threshold, hold_seconds, severity, type."""
+    r = F.broadcast(rules)
+    j = samples.join(r, "metric")
+    v, t = F.col("value"), F.col("threshold")
+    cond = (F.when(F.col("op") == ">", v > t).when(F.col("op") == "<", v < t).when(F.col("op") == ">=", v >= t)
+            .when(F.col("op") == "<=", v <= t).when(F.col("op") == "==", v == t))
+    return j.select("alertname", "severity", "type", "ts", "series", "value", "hold_seconds",
+                    F.coalesce(cond, F.lit(False)).alias("active"))
+
+
+def alert_for(evaluated: DataFrame, hold_seconds: int | None, stale_seconds: int) -> DataFrame:
     """Firing samples: the condition held without a break (false sample or a gap longer
-    than ``stale_seconds``) for at least ``hold_seconds``. Gaps-and-islands per series."""
+    than ``stale_seconds``) for at least ``hold_seconds`` (None: per-row ``hold_seconds``
+    column from the rules table). Gaps-and-islands per (rule, series)."""
     key = ["alertname", "series"]
     w = Window.partitionBy(*key).orderBy("_t")
     s = evaluated.withColumn("_t", epoch("ts"))
@@ -159,7 +174,8 @@ def alert_for(evaluated: DataFrame, hold_seconds: int, stale_seconds: int) -> Da
     s = s.withColumn("_run", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     rw = Window.partitionBy(*key, "_run")
     s = s.withColumn("_start", F.min("_t").over(rw)).withColumn("active_since", F.min("ts").over(rw))
-    fired = s.where(F.col("active") & (F.col("_t") - F.col("_start") >= hold_seconds))
+    hold = F.col("hold_seconds") if hold_seconds is None else F.lit(hold_seconds)
+    fired = s.where(F.col("active") & (F.col("_t") - F.col("_start") >= hold))
     return fired.select("alertname", "severity", "type", "ts", "series", "value", "active_since")
 
 

@@ -65,22 +65,18 @@ def gauges(spark, sf_dir):
     return pos.select(*cols).unionByName(low.select(*cols)).unionByName(ratio).unionByName(reqrate)
 
 
+def rules_table(spark):
+    return spark.createDataFrame(
+        [(n, m, op, float(thr), int(hold), sev, kind) for n, m, op, thr, hold, sev, kind in RULES],
+        "alertname string, metric string, op string, threshold double, hold_seconds int, severity string, type string")
+
+
 def evaluated(spark, sf_dir):
-    g = gauges(spark, sf_dir)
-    out = None
-    for name, metric, op, thr, _, sev, kind in RULES:
-        one = SE.evaluate_rule(g.where(F.col("metric") == metric), name, op, thr, sev, kind)
-        out = one if out is None else out.unionByName(one)
-    return out
+    return SE.evaluate_rules(gauges(spark, sf_dir), rules_table(spark))
 
 
 def firing(spark, sf_dir):
-    ev = evaluated(spark, sf_dir)
-    out = None
-    for name, _, _, _, hold, _, _ in RULES:
-        one = SE.alert_for(ev.where(F.col("alertname") == name), hold, STALE_S)
-        out = one if out is None else out.unionByName(one)
-    return out
+    return SE.alert_for(evaluated(spark, sf_dir), None, STALE_S)
 
 
 # ---------------------------------------------------------------------------
@@ -236,7 +232,7 @@ def q_absent(spark, sf_dir):
 
 @register("alert_rule", f"WITH {evaluated_sql()} SELECT alertname, severity, type, ts, series, round(value, 9) AS value, active FROM ev")
 def q_alert_rule(spark, sf_dir):
-    return evaluated(spark, sf_dir).withColumn("value", rnd(F.col("value")))
+    return evaluated(spark, sf_dir).drop("hold_seconds").withColumn("value", rnd(F.col("value")))
 
 
 @register("alert_for", f"WITH {firing_sql()} SELECT alertname, severity, type, ts, series, round(value, 9) AS value, active_since FROM fire")
