@@ -36,22 +36,30 @@ def np_lerp(a: float, b: float, t: float) -> float:
 
 
 def values_at_positions(cum: DataFrame, wanted: dict[str, list[int]]) -> dict[tuple[str, int], float]:
-    """Reference-side value at each wanted 0-based sorted position of each feature."""
+    """Reference-side value at each wanted 0-based sorted position of each feature.
+
+    One filter pass over the cumulative table with a plain (codegen) predicate: a row is
+    kept when its run of positions [cum_ref - n_ref, cum_ref) holds a wanted position.
+    At most features x positions rows come back; positions are matched on the driver."""
     if not wanted:
         return {}
-    pos_map = F.element_at(
-        F.create_map(*[x for f, ps in wanted.items() for x in (F.lit(f), F.array(*[F.lit(int(p)) for p in ps]))]),
-        F.col("feature"),
-    )
-    start = F.col("cum_ref") - F.col("n_ref")
-    hits = (
-        cum.where(F.col("n_ref") > 0)
-        .select("feature", "value", F.filter(pos_map, lambda p: (start <= p) & (p < F.col("cum_ref"))).alias("ps"))
-        .where(F.size("ps") > 0)
-        .select("feature", "value", F.explode("ps").alias("p"))
-        .collect()
-    )
-    return {(r["feature"], int(r["p"])): r["value"] for r in hits}
+    start, end = F.col("cum_ref") - F.col("n_ref"), F.col("cum_ref")
+    cond = None
+    for f, ps in wanted.items():
+        inner = None
+        for p in ps:
+            hit = (start <= F.lit(int(p))) & (end > F.lit(int(p)))
+            inner = hit if inner is None else inner | hit
+        c = (F.col("feature") == F.lit(f)) & inner
+        cond = c if cond is None else cond | c
+    rows = cum.where((F.col("n_ref") > 0) & cond).select(
+        "feature", "value", start.alias("s"), end.alias("e")).collect()
+    out = {}
+    for r in rows:
+        for p in wanted[r["feature"]]:
+            if r["s"] <= p < r["e"]:
+                out[(r["feature"], int(p))] = r["value"]
+    return out
 
 
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -173,4 +173,15 @@ def q_drift_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("feature", "feature_type", "metric", rnd(F.col("value")).alias("value"))
 
 
+@register("series_sort_desc", O.gauges_sql(True).replace(
+    "SELECT feature, feature_type, metric, round(value, 9) AS value FROM (",
+    "SELECT * FROM (SELECT feature, feature_type, metric, round(value, 9) AS value FROM (", 1)
+    + ") WHERE metric = 'ks' ORDER BY value DESC")
+def q_series_sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-feature score for one metric (KS), high to low."""
+    g = D.drift_gauges(report(spark, sf_dir, shifted=True)).where(F.col("metric") == "ks")
+    return g.select("feature", "feature_type", "metric", rnd(F.col("value")).alias("value")).coalesce(1) \
+        .sortWithinPartitions(F.desc("value"))
+
+
 __all__ = ["report", "C"]
