@@ -86,11 +86,10 @@ def interaction(df: DataFrame) -> DataFrame:
 def guard_unencoded_label(df: DataFrame) -> None:
     if "Churn" in df.columns or "churn" in df.columns:
         raise ValueError(
-            "Raw target column detected. Please run clean_raw_dataframe before prepare_feature_inputs so target "
-            "encoding is consistent (Yes->1, No->0)."
+            "the raw label column is still present: run clean_table first so the label is encoded once"
         )
     if C.TARGET_COLUMN in df.columns and not isinstance(df.schema[C.TARGET_COLUMN].dataType, T.NumericType):
-        raise ValueError(f"Column '{C.TARGET_COLUMN}' must be numeric.")
+        raise ValueError(f"label column {C.TARGET_COLUMN!r} is text; encode it with clean_table first")
 
 
 def feature_table(df: DataFrame, high_charge: float | None = None) -> tuple[DataFrame, list[str]]:
@@ -231,7 +230,7 @@ def fit_preprocessor(train: DataFrame, kind: str = "tree") -> FittedPreprocessor
     for the linear kind one mean/std pass over the median-filled columns."""
     numeric, _, binary, onehot = split_roles(train)
     if not numeric and not (binary or onehot):
-        raise ValueError("No usable feature columns found after feature preparation.")
+        raise ValueError("nothing to encode: the feature table has no numeric or text columns")
     scaled = [c for c in numeric if c in C.LINEAR_SCALE_COLUMNS] if kind == "linear" else []
     unscaled = [c for c in numeric if c not in C.LINEAR_SCALE_COLUMNS] if kind == "linear" else []
     med_cols = numeric if kind == "tree" else scaled

@@ -86,7 +86,7 @@ def scan_checked(df: DataFrame, required: list[str] = C.RAW_REQUIRED_COLUMNS) ->
     df = df.toDF(*[str(c).strip() for c in df.columns])
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Input data is missing required columns: {missing}. Available columns: {df.columns}")
+        raise ValueError(f"scan is missing required columns {missing}; header has {df.columns}")
     return df
 
 
