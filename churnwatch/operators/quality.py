@@ -187,3 +187,41 @@ def due_tiers(now_s: float, last: dict, rows: int, last_rows: int) -> dict[str,
     new_rows = rows - last_rows
     drift = (new_rows >= C.MIN_NEW_ROWS and since >= C.FAST_DRIFT_SECONDS) or since >= C.SLOW_DRIFT_SECONDS
     return {"fast": fast, "medium": medium, "drift": drift}
+
+
+def dq_report_labelled(df: DataFrame, numeric: list[str], categorical: list[str], side_col: str = "is_ref",
+                       required: list[str] | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """The four data-quality ratios from one frame holding both samples (one scan).
+
+    Unseen shares and reference ranges come from the paired-counts table (the same one the
+    drift report uses, pass it as ``counts`` to share it); missing cells come from one
+    aggregate over the current rows. Columns: missing_ratio, schema_violation_fraction,
+    unseen_category_ratio, out_of_range_ratio."""
+    from churnwatch.config import NULL_CATEGORY
+    from churnwatch.operators import counts as K
+
+    cols = numeric + categorical
+    required = cols if required is None else required
+    if counts is None:
+        counts = K.paired_counts(df, numeric, categorical, side_col)
+    cur = df.where(~F.col(side_col))
+    nulls = sum((F.count_if(_missing(df, c)) for c in cols), F.lit(0))
+    missing = cur.agg(F.coalesce(F.try_divide(nulls.cast("double"), F.count("*") * F.lit(len(cols))),
+                                 F.lit(0.0)).alias("missing_ratio"))
+    cat = K.categorical_counts(counts).where(F.col("value") != NULL_CATEGORY)
+    per_cat = cat.groupBy("feature").agg(
+        F.sum(F.when(F.col("n_ref") == 0, F.col("n_cur")).otherwise(0)).alias("u"), F.sum("n_cur").alias("n"))
+    unseen = per_cat.where(F.col("n") > 0).agg(
+        F.coalesce(F.avg(F.col("u") / F.col("n")), F.lit(0.0)).alias("unseen_category_ratio"))
+    num = K.numeric_counts(counts)
+    bounds = num.where(F.col("n_ref") > 0).groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    # one row per numeric feature: bounded broadcast
+    per_num = num.join(F.broadcast(bounds), "feature").groupBy("feature").agg(
+        F.sum(F.when((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi")), F.col("n_cur")).otherwise(0))
+        .alias("o"), F.sum("n_cur").alias("n"))
+    oor = per_num.where(F.col("n") > 0).agg(
+        F.coalesce(F.avg(F.col("o") / F.col("n")), F.lit(0.0)).alias("out_of_range_ratio"))
+    schema = len([c for c in required if c not in df.columns]) / len(required) if required else 0.0
+    return missing.crossJoin(unseen).crossJoin(oor).select(  # one row x one row x one row
+        "missing_ratio", F.lit(float(schema)).alias("schema_violation_fraction"), "unseen_category_ratio",
+        "out_of_range_ratio")

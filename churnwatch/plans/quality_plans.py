@@ -70,11 +70,23 @@ def q_dq_oor(spark, sf_dir):
     return QU.dq_out_of_range(ref, cur, num).select(rnd(F.col("out_of_range_ratio")).alias("out_of_range_ratio"))
 
 
-@register("dq_report", f"""WITH {PAIR_SQL}
+ORACLE_DQ_REPORT = f"""WITH {PAIR_SQL}
 SELECT round(m.missing_ratio, 9) AS missing_ratio, CAST('{1 / len(REQUIRED)!r}' AS DOUBLE) AS schema_violation_fraction,
   round(u.unseen_category_ratio, 9) AS unseen_category_ratio, round(o.out_of_range_ratio, 9) AS out_of_range_ratio
-FROM ({_missing_sql()}) m, ({_unseen_sql()}) u, ({_oor_sql()}) o""")
+FROM ({_missing_sql()}) m, ({_unseen_sql()}) u, ({_oor_sql()}) o"""
+
+
+@register("dq_report", ORACLE_DQ_REPORT)
 def q_dq_report(spark, sf_dir):
+    """Single scan: both samples in one frame, ratios from the paired-counts table."""
+    d = S.drift_frame(spark, sf_dir, shifted=True)
+    r = QU.dq_report_labelled(d, S.DRIFT_NUMERIC, S.DRIFT_CATEGORICAL, required=REQUIRED)
+    return r.select(*[rnd(F.col(c)).alias(c) if c != "schema_violation_fraction" else F.col(c) for c in r.columns])
+
+
+@register("dq_report_pair", ORACLE_DQ_REPORT)
+def q_dq_report_pair(spark, sf_dir):
+    """Two-frame form (reference and current as separate tables)."""
     ref, cur = _pair(spark, sf_dir)
     r = QU.dq_report(ref, cur, REQUIRED)
     return r.select(*[rnd(F.col(c)).alias(c) if c != "schema_violation_fraction" else F.col(c) for c in r.columns])
