@@ -44,3 +44,28 @@ def test_preprocess_job_split_and_tables(spark):
     got = {(r["table"], r[C.SPLIT_COLUMN]): r["rows"] for r in out.collect()}
     assert got[("tree", "train")] == got[("linear", "train")] and got[("tree", "test")] == got[("linear", "test")]
     assert got[("tree", "test")] > 0
+
+
+def test_score_log_job_rejects_logged_ids_on_rerun(spark):
+    from churnwatch.operators import clean as CL
+    from churnwatch.operators import features as FE
+    from churnwatch.plans import contract_plans as CP
+    from churnwatch.plans import jobs as J
+    from churnwatch.plans import ml_plans as ML
+    from churnwatch.sources import churn as CH
+    from churnwatch.streaming.log_stream import work_dir
+
+    _, pre, _, model = ML._fit(spark, SF001, "logreg")
+    cleaned, _ = CL.clean_table(CH.churn_view(spark, SF001), strict_schema=True, require_target=True)
+    hc = FE.high_charge_threshold(cleaned)
+    batch = CP.batch(spark, SF001)
+    log = work_dir(spark, "score-log-test")
+    paths = J.score_log_job(spark, batch, log, model, pre, hc, "2024-02-01 00:00:00")
+    first = spark.read.parquet(paths["raw"]).count()
+    assert first > 0
+    J.score_log_job(spark, batch, log, model, pre, hc, "2024-02-02 00:00:00")
+    assert spark.read.parquet(paths["raw"]).count() == first          # nothing new logged
+    rej = spark.read.parquet(paths["rejected"]).where(F.col("rule") == "id_in_log").count()
+    assert rej >= first                                                # every logged id rejected on rerun
+    enc = spark.read.parquet(paths["encoded"])
+    assert enc.where((F.col("churn_probability") < 0) | (F.col("churn_probability") > 1)).count() == 0
