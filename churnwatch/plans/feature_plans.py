@@ -319,9 +319,9 @@ def q_impute_constant(spark, sf_dir):
 def q_scale_standard(spark, sf_dir):
     ft, pre = fitted(spark, sf_dir, "linear")
     rows = [(c, pre.means[c], pre.scales[c]) for c in pre.scaled]
-    return ft.limit(1).crossJoin(  # one row x parameters (bounded by the column list)
-        ft.sparkSession.createDataFrame(rows, "column string, mean double, scale double")
-    ).select("column", rnd(F.col("mean")).alias("mean"), rnd(F.col("scale")).alias("scale"))
+    # fitted parameters (computed over the whole train table): one row per scaled column
+    return ft.sparkSession.createDataFrame(rows, "column string, mean double, scale double").select(
+        "column", rnd(F.col("mean")).alias("mean"), rnd(F.col("scale")).alias("scale"))
 
 
 @register("encode_ordinal", _w(" UNION ALL ".join(
@@ -330,9 +330,7 @@ def q_scale_standard(spark, sf_dir):
 def q_encode_ordinal(spark, sf_dir):
     ft, pre = fitted(spark, sf_dir, "tree")
     rows = [(c, v, float(i)) for c, cats in pre.ordinal_categories.items() for i, v in enumerate(cats)]
-    return ft.limit(1).crossJoin(
-        ft.sparkSession.createDataFrame(rows, "column string, category string, code double")
-    ).select("column", "category", "code")
+    return ft.sparkSession.createDataFrame(rows, "column string, category string, code double")
 
 
 @register("encode_onehot", _w(" UNION ALL ".join(
@@ -341,9 +339,7 @@ def q_encode_ordinal(spark, sf_dir):
 def q_encode_onehot(spark, sf_dir):
     ft, pre = fitted(spark, sf_dir, "tree")
     rows = [(c, v, f"{c}_{v}") for c, cats in pre.onehot_categories.items() for v in cats]
-    return ft.limit(1).crossJoin(
-        ft.sparkSession.createDataFrame(rows, "column string, category string, output_column string")
-    ).select("column", "category", "output_column")
+    return ft.sparkSession.createDataFrame(rows, "column string, category string, output_column string")
 
 
 @register("tree_table", tree_long_sql("tree"))
@@ -367,7 +363,6 @@ def q_model_ready(spark, sf_dir):
 
 
 def _param_table(ft: DataFrame, rows: list[tuple], name: str, typ: str = "double") -> DataFrame:
-    """Fitted parameters as a frame (bounded by the column list), tied to the fitted table."""
-    p = ft.sparkSession.createDataFrame(rows, f"column string, {name} {typ}")
-    out = ft.limit(1).crossJoin(p).select("column", F.col(name))
+    """Fitted parameters (computed over the whole train table) as a frame, one row per column."""
+    out = ft.sparkSession.createDataFrame(rows, f"column string, {name} {typ}")
     return out.select("column", rnd(F.col(name)).alias(name)) if typ == "double" else out
