@@ -202,11 +202,31 @@ def _fill(c: str, value) -> Column:
 
 
 def column_modes(df: DataFrame, columns: list[str]) -> dict:
-    """Most frequent non-null value per column, smallest on ties (one aggregate)."""
+    """Most frequent non-null value per column, smallest on ties.
+
+    Values are counted with a partial ``groupBy(column, value)`` and the winner per column
+    is ``min_by(value, (-count, value))``: no single aggregate buffer holds every distinct
+    value of a column. Numbers and text are melted separately to keep their ordering."""
     if not columns:
         return {}
-    row = df.agg(*[F.mode(F.col(c), True).alias(c) for c in columns]).collect()[0]
-    return {c: row[c] for c in columns}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    num = [c for c in columns if isinstance(types[c], T.NumericType)]
+    txt = [c for c in columns if c not in num]
+    out = {}
+    for cols, cast in ((num, "double"), (txt, "string")):
+        if not cols:
+            continue
+        args = [x for c in cols for x in (F.lit(c), F.col(c).cast(cast))]
+        long = df.select(F.stack(F.lit(len(cols)), *args).alias("column", "value"))
+        ok = F.col("value").isNotNull() & (~F.isnan(F.col("value")) if cast == "double" else F.lit(True))
+        counts = long.where(ok).groupBy("column", "value").count()
+        best = counts.groupBy("column").agg(F.min_by("value", F.struct(-F.col("count"), F.col("value"))).alias("mode"))
+        for r in best.collect():
+            v = r["mode"]
+            if cast == "double" and isinstance(types[r["column"]], T.IntegralType) and v is not None:
+                v = int(v)
+            out[r["column"]] = v
+    return {c: out.get(c) for c in columns}
 
 
 def distinct_values(df: DataFrame, columns: list[str], fill: dict) -> dict[str, list[str]]:
