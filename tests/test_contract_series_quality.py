@@ -146,3 +146,16 @@ def test_entry_and_registry(spark):
     assert C.CURRENT_WINDOW_SIZE == 5000
     for name in ("row_count", "prediction_stats", "class_weights"):
         assert E.queries()[name](spark, SF001).count() >= 1
+
+
+def test_dq_labelled_equals_pair(spark):
+    rows = [(True, 1.0, "a"), (True, 5.0, "b"), (True, None, None), (True, 3.0, "a"),
+            (False, 7.0, "c"), (False, float("nan"), "a"), (False, 2.0, None), (False, 0.5, "z")]
+    df = spark.createDataFrame(rows, "is_ref boolean, x double, k string")
+    single = QU.dq_report_labelled(df, ["x"], ["k"], required=["x", "k"]).collect()[0].asDict()
+    ref, cur = df.where("is_ref").drop("is_ref"), df.where("not is_ref").drop("is_ref")
+    pair = QU.dq_report(ref, cur, ["x", "k"]).collect()[0].asDict()
+    assert single == pytest.approx(pair)
+    assert pair["missing_ratio"] == pytest.approx(2 / 8)       # NaN and NULL in the current side
+    assert pair["unseen_category_ratio"] == pytest.approx(2 / 3)
+    assert pair["out_of_range_ratio"] == pytest.approx(2 / 3)
