@@ -100,43 +100,75 @@ def stream_prediction_counters(stream: DataFrame, probability: str, sink: str, c
 def stream_monitor(stream: DataFrame, reference: DataFrame, log_path: str, metrics_path: str, checkpoint: str,
                    ts: str = "ts", order: tuple[str, ...] = ("ts", "event_id"), probability: str = "score",
                    numeric: list[str] | None = None, categorical: list[str] | None = None,
-                   window: int = C.CURRENT_WINDOW_SIZE) -> None:
+                   window: int = C.CURRENT_WINDOW_SIZE, gate_tiers: bool = True) -> None:
     """Per micro-batch: append the batch to the log (partition ``batch_id``), then compute
-    freshness, row count, model-quality stats, data quality and drift over the latest
-    window of the whole log, and write them as metric rows for that batch id."""
+    metrics over the latest window of the whole log and write them for that batch id.
+
+    Tiers: freshness and row count every batch; model-quality and data-quality stats and
+    drift when ``quality.due_tiers`` says so, judged on the log's event-time high-water
+    mark (which never moves back) against the last time each tier ran."""
     numeric = numeric or []
     categorical = categorical or []
 
+    def last_runs(spark: SparkSession) -> tuple[dict, int]:
+        try:
+            m = spark.read.parquet(metrics_path)
+        except Exception:  # noqa: BLE001 - no metrics yet
+            return {}, 0
+        rows = m.groupBy("tier").agg(F.max(F.unix_micros(F.col("ts")) / 1e6).alias("t")).collect()
+        last = {r["tier"]: r["t"] for r in rows if r["t"] is not None}
+        at_drift = m.where(F.col("metric") == "drift_rows").agg(F.max("value")).collect()[0][0]
+        return last, int(at_drift or 0)
+
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
         log = spark.read.parquet(log_path)
-        now = batch.agg(F.max(ts).cast("string").alias("m")).collect()[0]["m"]
+        head = log.agg(F.max(ts).cast("string").alias("m"), F.count("*").alias("n"),
+                       F.max(F.unix_micros(F.col(ts).cast("timestamp")) / 1e6).alias("t")).collect()[0]
+        now, rows, now_s = head["m"], head["n"], head["t"]
+        last, rows_at_drift = last_runs(spark) if gate_tiers else ({}, 0)
+        due = QU.due_tiers(now_s, last, rows, rows_at_drift) if gate_tiers else {"medium": True, "drift": True}
         latest = QU.latest_window(log, window, order)
         parts = [
-            log.agg(F.count("*").cast("double").alias("value")).select(F.lit("row_count").alias("metric"), "value"),
-            QU.freshness_lag(log, ts, now).select(F.lit("freshness_lag_seconds").alias("metric"),
+            log.agg(F.count("*").cast("double").alias("value")).select(
+                F.lit("fast").alias("tier"), F.lit("row_count").alias("metric"), "value"),
+            QU.freshness_lag(log, ts, now).select(F.lit("fast").alias("tier"), F.lit("freshness_lag_seconds").alias("metric"),
                                                  F.col("freshness_lag_seconds").alias("value")),
         ]
-        stats = QU.prediction_stats(latest, probability)
-        parts.append(stats.select(F.stack(F.lit(len(stats.columns)), *[x for c in stats.columns for x in (F.lit(c), F.col(c))])
-                                  .alias("metric", "value")))
-        dq = QU.dq_report(reference.select(*numeric, *categorical), latest.select(*numeric, *categorical),
-                          numeric + categorical)
-        parts.append(dq.select(F.stack(F.lit(4), *[x for c in dq.columns for x in (F.lit(c), F.col(c))])
-                               .alias("metric", "value")))
-        if numeric or categorical:
-            cols = numeric + categorical
-            both = D.label_sides(reference, latest, cols)
-            summary = D.drift_summary(D.drift_report_labelled(both, numeric, categorical))
-            parts.append(summary.select(F.stack(F.lit(len(summary.columns)), *[
-                x for c in summary.columns for x in (F.lit(c), F.col(c).cast("double"))]).alias("metric", "value")))
+        if due["medium"]:
+            parts += _medium_parts(latest, reference, probability, numeric, categorical)
+        if due["drift"] and (numeric or categorical):
+            parts += _drift_parts(latest, reference, numeric, categorical, rows)
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
-        out.select(F.lit(now).cast("timestamp").alias("ts"), "metric",
+        out.select("tier", F.lit(now).cast("timestamp").alias("ts"), "metric",
                    F.col("value").cast("double").alias("value")).write.mode("overwrite").parquet(
             f"{metrics_path}/batch_id={batch_id}")
 
     q = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     run_available(q)
+
+
+def _long(df: DataFrame, tier: str) -> DataFrame:
+    return df.select(F.lit(tier).alias("tier"), F.stack(F.lit(len(df.columns)), *[
+        x for c in df.columns for x in (F.lit(c), F.col(c).cast("double"))]).alias("metric", "value"))
+
+
+def _medium_parts(latest: DataFrame, reference: DataFrame, probability: str, numeric: list[str],
+                  categorical: list[str]) -> list[DataFrame]:
+    parts = [_long(QU.prediction_stats(latest, probability), "medium")]
+    cols = numeric + categorical
+    if cols:
+        parts.append(_long(QU.dq_report(reference.select(*cols), latest.select(*cols), cols), "medium"))
+    return parts
+
+
+def _drift_parts(latest: DataFrame, reference: DataFrame, numeric: list[str], categorical: list[str],
+                 rows: int) -> list[DataFrame]:
+    both = D.label_sides(reference, latest, numeric + categorical)
+    summary = D.drift_summary(D.drift_report_labelled(both, numeric, categorical))
+    marker = summary.select(F.lit("drift").alias("tier"), F.lit("drift_rows").alias("metric"),
+                            F.lit(float(rows)).alias("value"))
+    return [_long(summary, "drift"), marker]
