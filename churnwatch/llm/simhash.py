@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnwatch.llm.common import components
+from churnwatch.llm.templates import row_key
 from churnwatch.session import cut_lineage
 
 SEGMENTS, WIDTH, MAX_BITS = 8, 8, 4
@@ -45,16 +46,16 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
-    """``key, fp``: the fingerprint of every row as a signed long; null text counts as empty."""
-    kind = docs.schema[key].dataType
+def fingerprints(docs: DataFrame, keys: list[str], text: str = "text", shingle: int = 4) -> DataFrame:
+    """``keys, fp``: the fingerprint of every row as a signed long; null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=[key, "fp"])
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(len(keys))], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps)], names=[*keys, "fp"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind.simpleString()}, fp long")
+    schema = "".join(f"`{k}` {docs.schema[k].dataType.simpleString()}, " for k in keys) + "fp long"
+    return docs.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{text}`").alias("_text")).mapInArrow(run, schema)
 
 
 def _turned(fp: Column, start: int) -> Column:
@@ -149,7 +150,7 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def fingerprint_components(rows: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``fp, component_id``: for every distinct fingerprint the smallest key it reaches.
+    """``fp, component_id, root``: for every distinct fingerprint the smallest key it reaches, and its component.
 
     ``rows`` has ``key`` and ``fp``. Equal fingerprints are one class before anything is
     searched, so copies add no pairs.
@@ -165,7 +166,7 @@ def fingerprint_components(rows: DataFrame, key: str = "doc_id") -> DataFrame:
     roots = components(whole, "ring-whole")
     named = grouped.join(roots, F.col("grp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "grp").alias("root"))
     lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    return cut_lineage(named.join(lows, "root").select("fp", "component_id"), "ring-components")
+    return cut_lineage(named.join(lows, "root").select("fp", "component_id", "root"), "ring-components")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
@@ -175,5 +176,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     other; a null key never names a component unless all keys of it are null; repeated
     rows share their class; extra columns are not read; an empty table gives no rows.
     """
-    rows = cut_lineage(fingerprints(docs, key, text, shingle), "ring-rows")
+    rows = cut_lineage(fingerprints(docs, [key], text, shingle), "ring-rows")
     return rows.join(fingerprint_components(rows, key), "fp").select(key, "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
+    """One row of each component, with the columns of ``docs``: the smallest key (null last).
+
+    Among rows of one key the choice falls by a hash of the text; rows equal in key and
+    text, whose other columns may differ, give the smallest row. The choice is a grouped minimum per
+    component over hashes; texts meet once, in the join with the chosen rows.
+    """
+    named = docs.select("*", *row_key(key, text))
+    rows = cut_lineage(fingerprints(named, ["_a", "_b", key], text, shingle), "keep-rows")
+    found = rows.join(fingerprint_components(rows, key), "fp")
+    best = F.min(F.struct(F.col(f"`{key}`").isNull().alias("none"), F.col(f"`{key}`").alias("k"), "_a", "_b")).alias("m")
+    chosen = cut_lineage(found.groupBy("root").agg(best).select("m._a", "m._b"), "keep-chosen")
+    kept = named.join(chosen, ["_a", "_b"], "left_semi").groupBy("_a", "_b").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row"))
+    return kept.select("row.*")
