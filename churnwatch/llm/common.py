@@ -20,9 +20,9 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def words(text: Column) -> Column:
-    """Array of the words of a text, null as empty."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` has it inside a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def components(links: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:

@@ -15,6 +15,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnwatch.llm.common import bind
 from churnwatch.llm.templates import row_key
 from churnwatch.session import cut_lineage
 
@@ -26,10 +27,14 @@ BROADCAST_KEYS = 2_000_000
 
 def shingles(text: Column) -> Column:
     """Hashes of the word shingles in order: lower-case letters and digits only; a text of fewer words is one shingle."""
-    w = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")), " ")
-    n = F.size(w)
-    each = F.transform(F.sequence(F.lit(1), n - SHINGLE + 1), lambda i: F.xxhash64(F.array_join(F.slice(w, i, SHINGLE), " ")))
-    return F.when(w[0] == "", F.array().cast("array<bigint>")).when(n < SHINGLE, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(each)
+    plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
+
+    def of_words(w: Column) -> Column:
+        n = F.size(w)
+        each = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), n - SHINGLE + 1)), lambda i: F.xxhash64(F.array_join(F.slice(w, i, SHINGLE), " ")))
+        return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(each)
+
+    return bind(F.filter(F.split(plain, " "), lambda w: w != ""), of_words)
 
 
 def fingerprint(rows: DataFrame, by: list[str]) -> DataFrame:

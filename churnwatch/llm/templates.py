@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnwatch.llm.common import bind
 from churnwatch.session import cut_lineage
 
 LEAD, BANDS, WIDE = 3, 4, 8
@@ -85,9 +86,11 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", size: s
     drops = cut_lineage(recurring_lines(docs, key, text, min_docs, min_docs_short), "line-drops")
     named = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "n_dropped"], *row_key(key, text))
     joined = named.join(drops.withColumnRenamed("lines", "_lines"), ["_a", "_b"], "left")
-    lines = F.split(F.col(f"`{text}`"), LINE_END)
-    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_lines"))
-    kept = F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
+    def rest(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_lines"))
+        return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
+
+    kept = bind(F.split(F.col(f"`{text}`"), LINE_END), rest)
     new = F.when(F.col("_lines").isNull(), F.col(f"`{text}`")).otherwise(kept)
     out = []
     for c in docs.columns:

@@ -49,7 +49,7 @@ def test_planted_passages(spark):
     got = decontaminate.flag(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     found = {(r.doc_id, k) for r in got.collect() for k in r["items"]}
     want = brute(docs, items)
-    assert found <= want and len(want) > 40
+    assert found <= want and len(want) > 20
     assert len(want - found) <= 0.02 * len(want)
     exact = {(d, k) for d, k in want if " ".join((dict(docs)[d] or "").split()).lower().find((dict(items)[k] or "").lower()) >= 0}
     assert exact <= found
