@@ -156,7 +156,8 @@ def mix_to_targets(
     differ by one copy; an empty table gives an empty result; the result is the same on
     every run.
     """
-    keep = [key] if keep is None else keep
+    added = ["size", "source_size", "target", "rate", "copies", "taken"]
+    keep = [c for c in ([key] if keep is None else keep) if c not in added]
     staged = cut_lineage(
         docs.select(
             F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
@@ -195,5 +196,5 @@ def mix_to_targets(
     return (
         dealt.withColumn("in_group", F.count("*").over(cell))
         .withColumn("place", F.row_number().over(cell.orderBy("h")))
-        .select("row.*", "size", "source_size", "target", "rate", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+        .withColumn("copies", copies).withColumn("taken", F.col("size") * F.col("copies")).select("row.*", *added)
     )

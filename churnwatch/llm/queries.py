@@ -116,10 +116,10 @@ WITH item AS (
 ), item_weight AS (
   SELECT item_id, long, s, count(*) AS n FROM item_shingle GROUP BY ALL
 ), alike AS (
-  SELECT w.doc_id, w.long, w.start, i.item_id, sum(least(w.n, i.n)) AS both FROM win w JOIN item_weight i USING (s, long) GROUP BY ALL
+  SELECT w.doc_id, w.long, w.start, i.item_id, sum(least(w.n, i.n)) AS common FROM win w JOIN item_weight i USING (s, long) GROUP BY ALL
 ), found AS (
-  SELECT doc_id, item_id, max(2.0::DOUBLE * both / (size + long)) AS similarity FROM alike JOIN size USING (doc_id, long, start)
-  WHERE 2.0::DOUBLE * both / (size + long) >= 0.8 GROUP BY ALL
+  SELECT doc_id, item_id, max(2.0::DOUBLE * common / (size + long)) AS similarity FROM alike JOIN size USING (doc_id, long, start)
+  WHERE 2.0::DOUBLE * common / (size + long) >= 0.8 GROUP BY ALL
 )
 SELECT d.doc_id, count(f.item_id) AS n_items, coalesce(string_agg(f.item_id::VARCHAR, ',' ORDER BY f.item_id), '') AS item_ids, max(f.similarity) AS similarity
 FROM documents d LEFT JOIN found f ON f.doc_id = d.doc_id GROUP BY d.doc_id
