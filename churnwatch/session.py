@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,19 +40,44 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is read as is. Only when
-    it is unset (a bare local test session) a folder under the system temp dir is used.
+    On a cluster this setting points at shared storage and is read as is; without it a
+    cluster session is refused, since executors could not see each other's files. Only a
+    local session (tests, bench) gets a folder under the system temp dir, once.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="churnwatch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hands this package's source to the executors, once per Spark application.
+
+    Functions that run in Python workers are pickled by reference to their modules, so
+    the workers have to be able to import them wherever they run.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_churnwatch_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="churnwatch-src-"))
+    path = os.path.join(folder, "churnwatch_src.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for top, _, files in os.walk(home):
+            for name in sorted(f for f in files if f.endswith(".py")):
+                full = os.path.join(top, name)
+                archive.write(full, os.path.relpath(full, os.path.dirname(home)))
+    sc.addPyFile(path)
+    sc._churnwatch_shipped = True
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
 
