@@ -6,7 +6,7 @@ stated here once, in natural order, and every operator reads them from this modu
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: churn table schema
@@ -184,11 +184,3 @@ class DriftLimits:
     js_critical: float = JS_CRITICAL
     fraction_critical: float = DRIFT_FRACTION_CRITICAL
     psi_buckets: int = PSI_BUCKETS
-
-
-@dataclass(frozen=True)
-class PrefixConfig:
-    """Two-level prefix sums: coarse value buckets per feature, then rows inside a bucket."""
-
-    buckets: int = 1024
-    extra: dict = field(default_factory=dict)

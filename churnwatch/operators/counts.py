@@ -6,10 +6,10 @@ side is scanned once and map-side partial aggregation shrinks low-cardinality an
 hot values before the shuffle. Every distribution statistic (KS, PSI edges and
 bins, JS, chi-square, ranges, unseen shares) is computed from this table.
 
-``with_cumulative`` adds running counts per feature ordered by value without a
-single task per feature: values are cut into ``buckets`` contiguous ranges per
-feature, bucket totals (at most features x buckets rows) get their offsets from a
-tiny window, and running sums run inside ``(feature, bucket)`` partitions.
+``with_cumulative`` adds running counts per feature ordered by value. Distinct values are
+range-partitioned on (feature, value) by sampled bounds and written once together with
+their partition number; running sums stay inside a partition, and the offsets of the partitions
+(features x partitions rows) come from their totals. Skew in the values moves the bounds, not the work.
 """
 
 from __future__ import annotations
@@ -18,14 +18,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnwatch.config import NULL_CATEGORY
+from churnwatch.session import cut_lineage
 
 SIDE = "is_ref"
 
 
-def _lit_str(s: str) -> Column:
-    return F.lit(s)
-
-
 def melt_features(df: DataFrame, numeric: list[str], categorical: list[str], side_col: str = SIDE) -> DataFrame:
     """(is_ref, fid, num_value, cat_value): one row per input row and feature.
 
@@ -88,74 +85,39 @@ def feature_totals(num_counts: DataFrame) -> dict[str, dict]:
     return {r["feature"]: r.asDict() for r in rows}
 
 
-def _feature_map(values: dict[str, object], cast: str) -> Column:
-    pairs = []
-    for k, v in values.items():
-        pairs += [F.lit(k), F.lit(v).cast(cast)]
-    return F.element_at(F.create_map(*pairs), F.col("feature"))
-
-
-# distinct values per running-sum partition; more values than this get more buckets
-ROWS_PER_BUCKET = 50_000
-
-
-def bucket_count(totals: dict[str, dict], max_buckets: int = 1024, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Buckets per feature: enough that a bucket holds about ``rows_per_bucket`` distinct
-    values, at most ``max_buckets``; 1 when every feature is small."""
-    most = max((int(t.get("n_values") or 0) for t in totals.values()), default=0)
-    return max(1, min(max_buckets, -(-most // rows_per_bucket)))
-
-
-def with_cumulative(num_counts: DataFrame, totals: dict[str, dict], buckets: int = 1024,
-                    rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def with_cumulative(num_counts: DataFrame) -> DataFrame:
     """Adds cum_ref / cum_cur (inclusive running counts by value) and the feature totals.
 
-    Exact for any bucket count; the buckets only spread the running-sum work. Values
-    are cut into up to ``buckets`` equal-width ranges per feature (about one per 50k distinct values, as many as the
-    distinct-value count calls for), bucket totals (features x buckets rows) give the
-    offsets, and running sums run inside ``(feature, bucket)``. A value shared by many
-    rows is already one row here, so a hot value cannot overload a task.
+    Exact for any partitioning. Range bounds are sampled, so the dealt rows are written
+    before anything reads their partition number. A value shared by many rows is already
+    one row here, so neither a hot value nor an outlier overloads a task.
     """
-    b = bucket_count(totals, buckets, rows_per_bucket)
-    n_ref_tot = _feature_map({f: t["n_ref"] for f, t in totals.items()}, "bigint").alias("n_ref_total")
-    n_cur_tot = _feature_map({f: t["n_cur"] for f, t in totals.items()}, "bigint").alias("n_cur_total")
-    if b == 1:
-        running = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-        return num_counts.select(
-            "feature", "value", "n_ref", "n_cur", n_ref_tot, n_cur_tot,
-            F.sum("n_ref").over(running).alias("cum_ref"), F.sum("n_cur").over(running).alias("cum_cur"),
-        )
-    lo = _feature_map({f: t["lo"] for f, t in totals.items()}, "double")
-    hi = _feature_map({f: t["hi"] for f, t in totals.items()}, "double")
-    span = hi - lo
-    bucket = F.when(
-        span > 0, F.least(F.floor((F.col("value") - lo) / span * F.lit(b)), F.lit(b - 1))
-    ).otherwise(F.lit(0))
-    bucketed = num_counts.withColumn("bucket", bucket.cast("int"))
-
-    bucket_tot = bucketed.groupBy("feature", "bucket").agg(
-        F.sum("n_ref").alias("b_ref"), F.sum("n_cur").alias("b_cur")
+    placed = cut_lineage(
+        num_counts.select("feature", "value", "n_ref", "n_cur").repartitionByRange("feature", "value")
+        .withColumn("part", F.spark_partition_id()),
+        "ranges",
     )
-    before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bucket_tot.select(
-        "feature",
-        "bucket",
+    sums = placed.groupBy("feature", "part").agg(F.sum("n_ref").alias("b_ref"), F.sum("n_cur").alias("b_cur"))
+    feature = Window.partitionBy("feature")
+    before = feature.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        "feature", "part",
         F.coalesce(F.sum("b_ref").over(before), F.lit(0)).alias("off_ref"),
         F.coalesce(F.sum("b_cur").over(before), F.lit(0)).alias("off_cur"),
+        F.sum("b_ref").over(feature).alias("n_ref_total"),
+        F.sum("b_cur").over(feature).alias("n_cur_total"),
     )
-    # at most features x buckets rows: bounded by construction
-    joined = bucketed.join(F.broadcast(offsets), ["feature", "bucket"])
-    running = Window.partitionBy("feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    return joined.select(
-        "feature", "value", "n_ref", "n_cur", n_ref_tot, n_cur_tot,
+    running = Window.partitionBy("feature", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    return placed.join(offsets, ["feature", "part"]).select(
+        "feature", "value", "n_ref", "n_cur", "n_ref_total", "n_cur_total",
         (F.col("off_ref") + F.sum("n_ref").over(running)).alias("cum_ref"),
         (F.col("off_cur") + F.sum("n_cur").over(running)).alias("cum_cur"),
     )
 
 
-def empirical_cdf(num_counts: DataFrame, buckets: int = 1024) -> DataFrame:
+def empirical_cdf(num_counts: DataFrame) -> DataFrame:
     """(feature, value, cdf_ref, cdf_cur): share of each sample <= value, at every sample point."""
-    cum = with_cumulative(num_counts, feature_totals(num_counts), buckets)
+    cum = with_cumulative(num_counts)
     return cum.select(
         "feature",
         "value",

@@ -1,7 +1,7 @@
 """Classifier evaluation on a scored table (score in [0, 1], label 0/1), optionally per group.
 
 Ranking metrics pre-aggregate to one row per (group, distinct score) and use the
-bucketed running sums of ``operators.counts``, so no group is sorted in one task.
+range-partitioned running sums of ``operators.counts``, so no group is sorted in one task.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ def _group(group: str | None) -> Column:
 def confusion_counts(df: DataFrame, score: str, label: str, threshold: float, group: str | None = None) -> DataFrame:
     pred = F.col(score) >= F.lit(threshold)
     y = F.col(label) == 1
-    return df.groupBy(_group(group).alias("group")).agg(
+    return _scored(df, score).groupBy(_group(group).alias("group")).agg(
         F.count_if(pred & y).alias("tp"),
         F.count_if(pred & ~y).alias("fp"),
         F.count_if(~pred & y).alias("fn"),
@@ -54,20 +54,23 @@ def confusion_metrics(df: DataFrame, score: str = "score", label: str = "label",
     return label_metrics(confusion_counts(df, score, label, threshold, group))
 
 
+def _scored(df: DataFrame, score: str) -> DataFrame:
+    """Rows with a score; NULL and NaN scores take no part in any metric."""
+    return df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+
+
 def score_counts(df: DataFrame, score: str, label: str, group: str | None = None) -> DataFrame:
     """(feature=group, value=score, n_ref=negatives, n_cur=positives): one row per distinct score."""
-    return df.where(F.col(score).isNotNull()).groupBy(
+    return _scored(df, score).groupBy(
         _group(group).alias("feature"), F.col(score).cast("double").alias("value")
     ).agg(F.count_if(F.col(label) != 1).alias("n_ref"), F.count_if(F.col(label) == 1).alias("n_cur"))
 
 
-def ranking_metrics(df: DataFrame, score: str = "score", label: str = "label", group: str | None = None,
-                    buckets: int = 1024) -> DataFrame:
+def ranking_metrics(df: DataFrame, score: str = "score", label: str = "label", group: str | None = None) -> DataFrame:
     """(group, roc_auc, pr_auc): Mann-Whitney AUC with half credit for ties, and step-wise
     average precision over distinct thresholds; 0.0 when a class is absent."""
     counts = score_counts(df, score, label, group)
-    totals = K.feature_totals(counts)
-    cum = K.with_cumulative(counts, totals, buckets)
+    cum = K.with_cumulative(counts)
     neg_below = F.col("cum_ref") - F.col("n_ref")
     pos, neg = F.col("n_cur").cast("double"), F.col("n_ref").cast("double")
     n_pos, n_neg = F.col("n_cur_total").cast("double"), F.col("n_ref_total").cast("double")
@@ -92,7 +95,7 @@ def log_loss(df: DataFrame, score: str = "score", label: str = "label", group: s
     p = F.least(F.greatest(F.col(score).cast("double"), F.lit(EPS)), F.lit(1.0 - EPS))
     y = F.col(label).cast("double")
     ll = -(y * F.ln(p) + (F.lit(1.0) - y) * F.ln(F.lit(1.0) - p))
-    return df.where(F.col(score).isNotNull()).groupBy(_group(group).alias("group")).agg(F.avg(ll).alias("log_loss"))
+    return _scored(df, score).groupBy(_group(group).alias("group")).agg(F.avg(ll).alias("log_loss"))
 
 
 def evaluate_models(df: DataFrame, score: str = "score", label: str = "label", group: str | None = "model",

@@ -1,7 +1,7 @@
 """Exact quantiles by rank selection.
 
-Values are counted per (group, value), running counts come from the bucketed prefix
-sums of ``operators.counts``, and only the rows holding the wanted sorted positions
+Values are counted per (group, value), running counts come from the range-partitioned
+prefix sums of ``operators.counts``, and only the rows holding the wanted sorted positions
 are read back (at most groups x positions rows). No group is sorted in one task and
 no per-group value map is held in memory, unlike the ``percentile`` aggregate.
 """
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnwatch.operators import counts as K
+from churnwatch.session import cut_lineage
 
 
 def quantile_positions(n: int, probs: list[float]) -> list[tuple[int, int, float]]:
@@ -72,19 +73,19 @@ def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return long.where(F.col("value").isNotNull())
 
 
-def _cumulative(df: DataFrame, columns: list[str], buckets: int) -> tuple[DataFrame, dict[str, dict]]:
+def _cumulative(df: DataFrame, columns: list[str]) -> tuple[DataFrame, dict[str, dict]]:
     counts = long_values(df, columns).groupBy("feature", "value").agg(F.count("*").alias("n_ref")).withColumn(
         "n_cur", F.lit(0).cast("bigint")
     )
-    totals = K.feature_totals(counts)
-    return K.with_cumulative(counts, totals, buckets), totals
+    counts = cut_lineage(counts, "value-counts")
+    return K.with_cumulative(counts), K.feature_totals(counts)
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], buckets: int = 1024) -> dict[str, list]:
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list]:
     """Per column, the linear-interpolated quantiles (NumPy rules); None when no values."""
     if not columns:
         return {}
-    cum, totals = _cumulative(df, columns, buckets)
+    cum, totals = _cumulative(df, columns)
     plan = {c: quantile_positions(int(totals[c]["n_ref"]), probs) for c in columns if c in totals}
     vals = values_at_positions(cum, {c: sorted({p for lo, hi, _ in ps for p in (lo, hi)}) for c, ps in plan.items()})
     return {
@@ -93,11 +94,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], bucke
     }
 
 
-def exact_medians(df: DataFrame, columns: list[str], buckets: int = 1024) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
     """Per column, the median as the mean of the two middle values for even counts."""
     if not columns:
         return {}
-    cum, totals = _cumulative(df, columns, buckets)
+    cum, totals = _cumulative(df, columns)
     want = {}
     for c in columns:
         if c in totals:

@@ -58,7 +58,7 @@ def q_categorical_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_ks(spark: SparkSession, sf_dir: str) -> DataFrame:
     num = K.numeric_counts(_counts(spark, sf_dir, True))
     totals = {f: t for f, t in K.feature_totals(num).items() if t["n_ref"] >= 2 and t["n_cur"] >= 2}
-    cum = K.with_cumulative(num.where(F.col("feature").isin(list(totals))), totals)
+    cum = K.with_cumulative(num.where(F.col("feature").isin(list(totals))))
     return D.ks_table(cum).select("feature", rnd(F.col("ks")).alias("ks"))
 
 
@@ -66,7 +66,7 @@ def q_ks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_psi(spark: SparkSession, sf_dir: str) -> DataFrame:
     num = K.numeric_counts(_counts(spark, sf_dir, True))
     totals = {f: t for f, t in K.feature_totals(num).items() if t["n_ref"] >= 2 and t["n_cur"] >= 2}
-    cum = cut_lineage(K.with_cumulative(num.where(F.col("feature").isin(list(totals))), totals), "cum")
+    cum = cut_lineage(K.with_cumulative(num.where(F.col("feature").isin(list(totals)))), "cum")
     edges = D.reference_quantiles(cum, totals, D.quantile_probs())
     return D.psi_table(cum, edges).select("feature", rnd(F.col("psi")).alias("psi"))
 

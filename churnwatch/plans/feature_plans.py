@@ -279,8 +279,8 @@ def q_validation_split(spark, sf_dir):
 
 
 @register("stratified_folds", _w(
-    f"SELECT customerID, CAST(('0x' || substr(md5(CAST(customerID AS VARCHAR) || '|{C.RANDOM_STATE}'), 1, 13))::BIGINT"
-    " % 5 AS INTEGER) AS fold FROM cleaned"))
+    "SELECT customerID, CAST((rank() OVER (PARTITION BY churn_status ORDER BY "
+    f"('0x' || substr(md5(CAST(customerID AS VARCHAR) || '|{C.RANDOM_STATE}'), 1, 13))::BIGINT) - 1) % 5 AS INTEGER) AS fold FROM cleaned"))
 def q_stratified_folds(spark, sf_dir):
     return FE.stratified_folds(cleaned(spark, sf_dir)).select(C.ID_COLUMN, "fold")
 

@@ -138,16 +138,21 @@ def test_empty_current_categorical_is_zero(spark):
     assert r[0]["js"] == 0.0
 
 
-def test_bucketed_prefix_equals_plain(spark):
+def test_prefix_sums_with_an_outlier(spark):
+    """Exact running counts, and no partition far above the mean though one value lies far off."""
     rng = np.random.default_rng(5)
-    ref, cur = rng.normal(0, 1, 500).round(2), rng.normal(0.3, 1, 500).round(2)
+    ref, cur = rng.normal(0, 1, 4000).round(3), np.append(rng.normal(0.3, 1, 3999).round(3), 1e15)
     counts = K.numeric_counts(K.paired_counts(frame(spark, ref.tolist(), cur.tolist()), ["x"], []))
-    tot = K.feature_totals(counts)
-    plain = {r["value"]: (r["cum_ref"], r["cum_cur"]) for r in K.with_cumulative(counts, tot).collect()}
-    buck = {r["value"]: (r["cum_ref"], r["cum_cur"])
-            for r in K.with_cumulative(counts, tot, buckets=16, rows_per_bucket=10).collect()}
-    assert plain == buck
-    assert K.bucket_count(tot, 16, 10) == 16
+    got = {r["value"]: (r["cum_ref"], r["cum_cur"]) for r in K.with_cumulative(counts).collect()}
+    assert got == {v: (int((ref <= v).sum()), int((cur <= v).sum())) for v in got} and len(got) > 1000
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt = counts.repartitionByRange("feature", "value").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    sizes = [r["count"] for r in dealt]
+    assert len(sizes) > 1 and max(sizes) <= 3 * np.mean(sizes)
 
 
 def test_pvalues(spark):
