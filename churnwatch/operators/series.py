@@ -37,7 +37,7 @@ def counter_samples(log: DataFrame, metric: str, labels: list[str], interval: st
     ``reset_at`` restarts every counter at that instant (a process restart), so the
     series drops back and consumers must be reset-aware. ``value`` sums a column
     instead of counting rows."""
-    bucket = F.date_trunc(_unit(interval), F.col("ts"))
+    bucket = interval_start(F.col("ts"), interval)
     incr = F.count("*") if value is None else F.sum(value)
     per = log.groupBy(bucket.alias("bucket"), *labels).agg(incr.cast("double").alias("inc"))
     epoch_no = F.lit(0) if reset_at is None else (F.col("bucket") >= F.lit(reset_at).cast("timestamp_ntz")).cast("int")
@@ -58,7 +58,7 @@ def gauge_samples(log: DataFrame, metric: str, value: Column, labels: list[str]
                   interval: str = "1 hour") -> DataFrame:
     """A gauge per label set: the aggregate ``value`` over each interval, stamped at its end."""
     labels = labels or []
-    bucket = F.date_trunc(_unit(interval), F.col("ts"))
+    bucket = interval_start(F.col("ts"), interval)
     per = log.groupBy(bucket.alias("bucket"), *labels).agg(value.cast("double").alias("value"))
     return per.select(
         (F.col("bucket") + F.expr(f"INTERVAL {interval}")).alias("ts"),
@@ -70,13 +70,23 @@ def gauge_samples(log: DataFrame, metric: str, value: Column, labels: list[str]
     )
 
 
-def _unit(interval: str) -> str:
-    return interval.split()[-1].rstrip("s")
+def interval_start(ts: Column, interval: str) -> Column:
+    """Start of the interval (for example ``5 minutes``) that holds ``ts``, counted from the epoch."""
+    return F.window(ts, interval)["start"]
 
 
 # ---------------------------------------------------------------------------
 # range functions
 # ---------------------------------------------------------------------------
+def micros(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp"))
+
+
+def trailing(range_seconds: int) -> Window:
+    """Samples of a series in (t - range, t], t in whole microseconds."""
+    return Window.partitionBy("metric", "series").orderBy("_t").rangeBetween(1 - range_seconds * 1_000_000, 0)
+
+
 def increase(samples: DataFrame, range_seconds: int, rate_per_second: bool = False) -> DataFrame:
     """Reset-aware growth of each counter over the trailing range (samples in (t - range, t]).
 
@@ -84,14 +94,14 @@ def increase(samples: DataFrame, range_seconds: int, rate_per_second: bool = Fal
     extrapolation to the range edges; at least two samples are needed. With
     ``rate_per_second`` the growth is divided by the seconds the samples cover."""
     ordered = Window.partitionBy("metric", "series").orderBy("_t")
-    s = samples.withColumn("_t", epoch("ts"))
+    s = samples.withColumn("_t", micros("ts"))
     prev = F.lag("value").over(ordered)
     s = s.withColumn("_d", F.when(prev.isNull(), F.lit(0.0)).when(F.col("value") < prev, F.col("value"))
                      .otherwise(F.col("value") - prev))
-    w = Window.partitionBy("metric", "series").orderBy("_t").rangeBetween(-(range_seconds - 1), 0)
+    w = trailing(range_seconds)
     inc = F.sum("_d").over(w) - F.first("_d").over(w)
     n = F.count("*").over(w)
-    covered = F.col("_t") - F.min("_t").over(w)
+    covered = (F.col("_t") - F.min("_t").over(w)) / F.lit(1e6)
     out = s.select(*[c for c in samples.columns if c != "value"], inc.alias("increase"), n.alias("_n"),
                    covered.alias("covered"))
     out = out.where(F.col("_n") >= 2)
@@ -103,10 +113,10 @@ def increase(samples: DataFrame, range_seconds: int, rate_per_second: bool = Fal
 def changes(samples: DataFrame, range_seconds: int) -> DataFrame:
     """Number of value changes between consecutive samples inside the trailing range."""
     ordered = Window.partitionBy("metric", "series").orderBy("_t")
-    s = samples.withColumn("_t", epoch("ts"))
+    s = samples.withColumn("_t", micros("ts"))
     prev = F.lag("value").over(ordered)
     s = s.withColumn("_c", F.when(prev.isNotNull() & (F.col("value") != prev), 1).otherwise(0))
-    w = Window.partitionBy("metric", "series").orderBy("_t").rangeBetween(-(range_seconds - 1), 0)
+    w = trailing(range_seconds)
     return s.select(*[c for c in samples.columns if c != "value"],
                     (F.sum("_c").over(w) - F.first("_c").over(w)).alias("changes"))
 
@@ -193,12 +203,16 @@ def alert_group(firing: DataFrame) -> DataFrame:
         F.min("active_since").alias("first_active"), F.max("ts").alias("last_seen"))
 
 
-def absent_series(samples: DataFrame, expected: DataFrame, at: str) -> DataFrame:
-    """Expected series with no sample at ``at`` or a zero value (``x == 0 or absent(x)``)."""
-    now = samples.where(F.col("ts") == F.lit(at).cast("timestamp_ntz")).select("series", "value")
-    j = expected.join(now, "series", "left")
+def absent_series(samples: DataFrame, expected: DataFrame, at: str, lookback_seconds: int = 300) -> DataFrame:
+    """Expected series without a sample in the lookback before ``at``, or whose newest sample there is zero
+    (``x == 0 or absent(x)``). Matched by metric and series where ``expected`` names the metric."""
+    t, key = F.lit(at).cast("timestamp"), [c for c in ("metric", "series") if c in expected.columns]
+    own = F.col("ts").cast("timestamp")
+    recent = samples.where((own <= t) & (own > t - F.make_interval(secs=F.lit(lookback_seconds))))
+    now = recent.groupBy(*key).agg(F.max_by("value", "ts").alias("value"))
+    j = expected.join(now, key, "left")
     return j.where(F.col("value").isNull() | (F.col("value") == 0)).select(
-        "series", F.when(F.col("value").isNull(), "absent").otherwise("zero").alias("reason"))
+        *key, F.when(F.col("value").isNull(), "absent").otherwise("zero").alias("reason"))
 
 
 def prediction_counters(log: DataFrame, probability: str = "probability", endpoint: str = "endpoint") -> DataFrame:
