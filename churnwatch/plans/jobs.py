@@ -18,11 +18,10 @@ from churnwatch.operators import contract as CT
 from churnwatch.operators import evaluate as EV
 from churnwatch.operators import features as FE
 from churnwatch.operators import model as M
-from churnwatch.operators import quality as QU
 from churnwatch.plans import contract_plans as CP
 from churnwatch.plans import eval_plans as EP
 from churnwatch.plans.registry import register
-from churnwatch.session import cut_lineage
+from churnwatch.session import cut_lineage, path_exists
 from churnwatch.sources import churn as CH
 from churnwatch.sources import tables as S
 from churnwatch.streaming.log_stream import work_dir
@@ -44,9 +43,8 @@ def sink_append(df: DataFrame, path: str) -> None:
 
 def sink_run_metrics(metrics_long: DataFrame, path: str, run_id: str) -> None:
     """(run_id, model, metric, value) partitioned by run; rewriting a run replaces only it."""
-    spark = metrics_long.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    metrics_long.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").partitionBy("run_id").parquet(path)
+    (metrics_long.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").parquet(path))
 
 
 def promote_baseline(path: str, spark: SparkSession, run_id: str, baseline_path: str) -> None:
@@ -97,9 +95,10 @@ def score_log_job(spark: SparkSession, batch: DataFrame, log_path: str, model, p
     features -> encode -> score -> append the raw, clean and encoded logs (one write
     each) stamped with the UTC time ``now``."""
     batch = cut_lineage(batch, "batch")  # the arriving batch, read by every rule below
-    try:
-        logged = spark.read.parquet(f"{log_path}/raw").select(C.ID_COLUMN)
-    except Exception:  # noqa: BLE001 - first batch: nothing logged yet
+    raw_log = f"{log_path}/raw"
+    if path_exists(spark, raw_log):
+        logged = spark.read.parquet(raw_log).select(C.ID_COLUMN)
+    else:  # first batch: nothing logged yet
         logged = batch.select(C.ID_COLUMN).limit(0)
     checked = CT.contract_check(batch)
     contract_bad = checked.where(~F.col("accepted")).select("row_no", F.explode("violations").alias("rule"))
@@ -107,14 +106,17 @@ def score_log_job(spark: SparkSession, batch: DataFrame, log_path: str, model, p
     rejected = cut_lineage(contract_bad.unionByName(batch_bad), "rejected")
     sink_append(rejected, f"{log_path}/rejected")
     accepted = cut_lineage(batch.join(rejected.select("row_no").distinct(), "row_no", "left_anti"), "accepted")
-    cleaned, _ = CL.clean_table(accepted.drop("row_no"))
+    # the id column carries the row number through cleaning, so padded ids find their raw row again
+    numbered = accepted.withColumn(C.ID_COLUMN, F.col("row_no").cast("string")).drop("row_no")
+    cleaned, _ = CL.clean_table(numbered)
     cleaned = cut_lineage(cleaned, "score-clean")  # bounds the projection chain before encoding
     ft, _ = FE.feature_table(cleaned.withColumn("_key", F.col(C.ID_COLUMN)), high_charge)
     enc = cut_lineage(pre.transform(ft, keep=["_key"]), "score-encoded")
     scored = cut_lineage(M.score_batch(model, enc, keep=enc.columns).drop("features"), "scored")
     ts = F.lit(now).cast("timestamp")
     probs = scored.select(F.col("_key").alias(C.ID_COLUMN), F.col("churn_probability").alias("prediction"))
-    sink_append(accepted.join(probs, C.ID_COLUMN).withColumn("timestamp", ts), f"{log_path}/raw")
+    raw = accepted.join(probs.withColumnRenamed(C.ID_COLUMN, "_key"), F.col("row_no").cast("string") == F.col("_key"))
+    sink_append(raw.drop("_key").withColumn("timestamp", ts), raw_log)
     sink_append(cleaned.join(probs, C.ID_COLUMN).drop(C.ID_COLUMN).withColumn("timestamp", ts), f"{log_path}/clean")
     sink_append(scored.drop("_key").withColumn("timestamp", ts), f"{log_path}/encoded")
     return {k: f"{log_path}/{k}" for k in ("raw", "clean", "encoded", "rejected")}
@@ -235,9 +237,6 @@ def q_monitoring_report(spark, sf_dir):
     return monitoring_report(spark, ref, cur, base_m, cur_m)
 
 
-__all__ = ["QU"]
-
-
 def _attach_oracles() -> None:
     """SQL for the jobs whose persisted result SQL can state directly."""
     from churnwatch.plans import clean_plans as CLP

@@ -1,21 +1,23 @@
-"""Streaming queries: events staged as ~30 files arrive as a file stream; each query runs
+"""Streaming queries: events staged as files of bounded size arrive as a file stream; each query runs
 to completion with an ``availableNow`` trigger and returns its sink table (rows-only
 checks; tests compare them with the batch equivalents)."""
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from churnwatch.plans.registry import register
 from churnwatch.sources import tables as S
 from churnwatch.streaming import log_stream as LS
 
+MONITOR_CLOCK = datetime(2024, 3, 1, tzinfo=timezone.utc)  # fixed, so that reruns agree; a deployment keeps the real clock
 REFERENCE_UNTIL = "2024-01-08 00:00:00"
 
 
 def staged_events(spark, sf_dir):
-    e = S.table(spark, sf_dir, "events").join(S.scored_events(spark, sf_dir).select("event_id", "score"), "event_id")
-    e = e.withColumn("event_time", F.col("ts").cast("timestamp")).withColumn("day", F.to_date("ts"))
+    e = S.table(spark, sf_dir, "events").select("*", S.score_of("value").alias("score"), F.col("ts").cast("timestamp").alias("event_time"))
     path = LS.stage_as_files(e, LS.work_dir(spark, "staged-events"))
     return path, spark.read.parquet(path).schema
 
@@ -64,5 +66,5 @@ def q_stream_monitor(spark, sf_dir):
     reference = spark.read.parquet(src).where(F.col("ts") < F.lit(REFERENCE_UNTIL).cast("timestamp_ntz"))
     log_path, metrics = LS.work_dir(spark, "monitor-log"), LS.work_dir(spark, "monitor-metrics")
     LS.stream_monitor(LS.read_log_stream(spark, src, schema, files_per_trigger=15), reference, log_path, metrics,
-                      LS.work_dir(spark, "ckpt"), numeric=["value"], categorical=["event_type"])
+                      LS.work_dir(spark, "ckpt"), numeric=["value"], categorical=["event_type"], clock=lambda: MONITOR_CLOCK)
     return spark.read.parquet(metrics)

@@ -57,13 +57,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Hands this package's source to the executors, once per Spark application.
+# rows and bytes of one Arrow batch: buffers of long texts stay small on both sides
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
-    Functions that run in Python workers are pickled by reference to their modules, so
-    the workers have to be able to import them wherever they run.
+
+def ready_python(spark: SparkSession) -> None:
+    """Makes Python workers able to run this package's functions, wherever they are.
+
+    Functions are pickled by reference to their modules, so the source goes to the
+    executors, once per Spark application. Arrow batches get bounds fit for long texts
+    unless the application was started with bounds of its own.
     """
     sc = spark.sparkContext
+    started = sc.getConf()
+    for key, value in ARROW_BATCH.items():
+        if not started.contains(key):
+            spark.conf.set(key, value)
     if getattr(sc, "_churnwatch_shipped", False):
         return
     home = os.path.dirname(os.path.abspath(__file__))
@@ -78,6 +87,12 @@ def ship_package(spark: SparkSession) -> None:
     sc._churnwatch_shipped = True
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in any file system that Spark reads."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
 

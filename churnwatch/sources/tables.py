@@ -6,7 +6,7 @@ pruning reach the scan. Nothing here collects data to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = (
@@ -77,6 +77,10 @@ def drift_pair(spark: SparkSession, sf_dir: str, shifted: bool = False) -> tuple
 # ---------------------------------------------------------------------------
 # events as a scoring log, an evaluation table and a request log
 # ---------------------------------------------------------------------------
+def score_of(value: str) -> Column:
+    return F.least(F.col(value) / F.lit(500.0), F.lit(1.0))
+
+
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> (event_id, ts, user_id, model, score, label)."""
     e = table(spark, sf_dir, "events")
@@ -85,7 +89,7 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         "user_id",
         (F.col("user_id") % 2).cast("string").alias("model"),
-        F.least(F.col("value") / F.lit(500.0), F.lit(1.0)).alias("score"),
+        score_of("value").alias("score"),
         (F.col("event_type") == "purchase").cast("int").alias("label"),
     )
 

@@ -8,7 +8,10 @@ makes a retried micro-batch idempotent.
 
 from __future__ import annotations
 
+import sys
 import uuid
+from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +20,7 @@ from churnwatch import config as C
 from churnwatch.operators import drift as D
 from churnwatch.operators import quality as QU
 from churnwatch.operators import series as SE
-from churnwatch.session import checkpoint_dir
+from churnwatch.session import checkpoint_dir, cut_lineage, path_exists
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -25,10 +28,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/churnwatch/{name}-{uuid.uuid4().hex}"
 
 
-def stage_as_files(df: DataFrame, path: str, by: str = "day", files: int = 30) -> str:
-    """Write a table as several files (one group of ``by`` values per file) to feed a
-    file-stream source in several micro-batches."""
-    df.repartition(files, F.col(by)).write.mode("overwrite").parquet(path)
+def stage_as_files(df: DataFrame, path: str, rows_per_file: int = 20_000) -> str:
+    """Write a table as files of bounded size to feed a file-stream source in several
+    micro-batches; rows stay where they are read, so no day or key gathers in one task."""
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
     return path
 
 
@@ -60,25 +63,26 @@ def stream_unique_ids(stream: DataFrame, key: str, ts: str, delay: str, sink: st
 
 def stream_unique_ids_exact(stream: DataFrame, key: str, order: str, accepted: str, rejected: str,
                             checkpoint: str) -> None:
-    """Exact id uniqueness over the whole log: per micro-batch keep the first row of each id
-    (partial ``min`` per id, no per-id sort), drop ids already accepted by earlier batches
-    (anti-join with the accepted table), append the rest. Each batch writes its own
-    partition, so a retried batch gives the same result."""
+    """Exact id uniqueness over the whole log; accepted and rejected rows together are the input.
+
+    Per micro-batch the rows get numbers that are written with them. NULL and blank ids are
+    rejected; of each other id the row with the smallest (order, number) stays (partial
+    ``min`` per id, no per-id sort) unless an earlier batch accepted the id (anti-join with
+    the accepted table). Everything else is rejected by row number, so ties lose nothing.
+    Each batch writes its own partition, so a retried batch gives the same result."""
     from churnwatch.operators.contract import norm_id
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        b = batch.withColumn("_id", norm_id(key))
-        first = b.groupBy("_id").agg(F.min(F.struct(order, *[c for c in batch.columns if c != order])).alias("r"))
-        cand = first.select("_id", "r.*")
-        try:
+        rows = cut_lineage(batch.withColumn("_id", norm_id(key)).withColumn("_row", F.monotonically_increasing_id()), "arrivals")
+        first = rows.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.min(F.struct(order, "_row")).alias("r"))
+        keep = first.select("_id", "r._row")
+        if path_exists(spark, accepted):
             seen = spark.read.parquet(accepted).where(F.col("batch_id") < batch_id).select("_id")
-        except Exception:  # noqa: BLE001 - no accepted rows yet
-            seen = None
-        keep = cand if seen is None else cand.join(seen, "_id", "left_anti")
-        keep.write.mode("overwrite").parquet(f"{accepted}/batch_id={batch_id}")
-        rejects = b.join(keep.select("_id", order, key), ["_id", order, key], "left_anti")
-        rejects.write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
+            keep = keep.join(seen, "_id", "left_anti")
+        keep = cut_lineage(keep.select("_row"), "first-rows")
+        rows.join(keep, "_row", "left_semi").drop("_row").write.mode("overwrite").parquet(f"{accepted}/batch_id={batch_id}")
+        rows.join(keep, "_row", "left_anti").drop("_row").write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
 
     q = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     run_available(q)
@@ -100,52 +104,64 @@ def stream_prediction_counters(stream: DataFrame, probability: str, sink: str, c
 def stream_monitor(stream: DataFrame, reference: DataFrame, log_path: str, metrics_path: str, checkpoint: str,
                    ts: str = "ts", order: tuple[str, ...] = ("ts", "event_id"), probability: str = "score",
                    numeric: list[str] | None = None, categorical: list[str] | None = None,
-                   window: int = C.CURRENT_WINDOW_SIZE, gate_tiers: bool = True) -> None:
-    """Per micro-batch: append the batch to the log (partition ``batch_id``), then compute
-    metrics over the latest window of the whole log and write them for that batch id.
-
-    Tiers: freshness and row count every batch; model-quality and data-quality stats and
-    drift when ``quality.due_tiers`` says so, judged on the log's event-time high-water
-    mark (which never moves back) against the last time each tier ran."""
+                   window: int = C.CURRENT_WINDOW_SIZE, gate_tiers: bool = True,
+                   clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)) -> None:
+    """Per micro-batch: append the batch to the log (partition ``batch_id``), then write the
+    metrics of that batch id, stamped with the time that ``clock`` gives.
+
+    Tiers: row count, newest event, freshness and the up flag every batch; model-quality and
+    data-quality stats and drift over the latest window when ``quality.due_tiers`` says so,
+    judged on the clock against the last time each tier ran. Row count and newest event go
+    on from the earlier batches' metrics (``batch_id`` below this one), so the log is not read
+    again for them and a repeated batch sees what it saw the first time. A batch whose
+    collection fails leaves ``up`` 0 and its row count, and the stream goes on."""
     numeric = numeric or []
     categorical = categorical or []
 
-    def last_runs(spark: SparkSession) -> tuple[dict, int]:
-        try:
-            m = spark.read.parquet(metrics_path)
-        except Exception:  # noqa: BLE001 - no metrics yet
-            return {}, 0
-        rows = m.groupBy("tier").agg(F.max(F.unix_micros(F.col("ts")) / 1e6).alias("t")).collect()
-        last = {r["tier"]: r["t"] for r in rows if r["t"] is not None}
-        at_drift = m.where(F.col("metric") == "drift_rows").agg(F.max("value")).collect()[0][0]
-        return last, int(at_drift or 0)
+    def history(spark: SparkSession, batch_id: int) -> tuple[dict, dict]:
+        """Time each tier last ran, and the newest value of every metric, before this batch."""
+        if not path_exists(spark, metrics_path):
+            return {}, {}
+        m = spark.read.parquet(metrics_path).where(F.col("batch_id") < batch_id)
+        ran = m.groupBy("tier").agg(F.max(F.unix_micros("ts") / 1e6).alias("t")).collect()
+        newest = m.groupBy("metric").agg(F.max_by("value", "batch_id").alias("v")).collect()
+        return {r["tier"]: r["t"] for r in ran}, {r["metric"]: r["v"] for r in newest}
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
-        log = spark.read.parquet(log_path)
-        head = log.agg(F.max(ts).cast("string").alias("m"), F.count("*").alias("n"),
-                       F.max(F.unix_micros(F.col(ts).cast("timestamp")) / 1e6).alias("t")).collect()[0]
-        now, rows, now_s = head["m"], head["n"], head["t"]
-        last, rows_at_drift = last_runs(spark) if gate_tiers else ({}, 0)
-        due = QU.due_tiers(now_s, last, rows, rows_at_drift) if gate_tiers else {"medium": True, "drift": True}
-        latest = QU.latest_window(log, window, order)
-        parts = [
-            log.agg(F.count("*").cast("double").alias("value")).select(
-                F.lit("fast").alias("tier"), F.lit("row_count").alias("metric"), "value"),
-            QU.freshness_lag(log, ts, now).select(F.lit("fast").alias("tier"), F.lit("freshness_lag_seconds").alias("metric"),
-                                                 F.col("freshness_lag_seconds").alias("value")),
-        ]
-        if due["medium"]:
-            parts += _medium_parts(latest, reference, probability, numeric, categorical)
-        if due["drift"] and (numeric or categorical):
-            parts += _drift_parts(latest, reference, numeric, categorical, rows)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        out.select("tier", F.lit(now).cast("timestamp").alias("ts"), "metric",
-                   F.col("value").cast("double").alias("value")).write.mode("overwrite").parquet(
-            f"{metrics_path}/batch_id={batch_id}")
+        own = f"{log_path}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(own)
+        now = clock().astimezone(timezone.utc)
+        stamp = F.lit(now.strftime("%Y-%m-%d %H:%M:%S.%f+00:00")).cast("timestamp")
+        last, newest = history(spark, batch_id)
+        head = spark.read.parquet(own).agg(
+            F.count("*").alias("n"), F.max(F.unix_micros(F.col(ts).cast("timestamp")) / 1e6).alias("t")).first()
+        rows = int(newest.get("row_count", 0)) + head["n"]
+        latest_event = max((t for t in (newest.get("latest_event_seconds"), head["t"]) if t is not None), default=None)
+        lag = max(0.0, now.timestamp() - latest_event) if latest_event is not None else 0.0
+        fast = [("row_count", float(rows)), ("latest_event_seconds", latest_event), ("freshness_lag_seconds", lag)]
+        due = QU.due_tiers(now.timestamp(), last, rows, int(newest.get("drift_rows", 0))) if gate_tiers else {"medium": True, "drift": True}
+
+        def write(up: float, parts: list[DataFrame]) -> None:
+            out = spark.createDataFrame([("fast", k, v) for k, v in [*fast, ("up", up)]], "tier string, metric string, value double")
+            for p in parts:
+                out = out.unionByName(p)
+            out.select("tier", stamp.alias("ts"), "metric", F.col("value").cast("double").alias("value")).write.mode("overwrite").parquet(
+                f"{metrics_path}/batch_id={batch_id}")
+
+        try:
+            parts = []
+            if due["medium"] or due["drift"]:
+                log = spark.read.parquet(log_path).where(F.col("batch_id") <= batch_id)
+                latest = cut_lineage(QU.latest_window(log, window, order), "monitor-window")
+                if due["medium"]:
+                    parts += _medium_parts(latest, reference, probability, numeric, categorical)
+                if due["drift"] and (numeric or categorical):
+                    parts += _drift_parts(latest, reference, numeric, categorical, rows)
+            write(1.0, parts)
+        except Exception as failure:  # the exporter stays up and reports that this collection failed
+            print(f"batch {batch_id}: collection failed: {failure}", file=sys.stderr)
+            write(0.0, [])
 
     q = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     run_available(q)
