@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnwatch.functions.scalar import nan_to_null
 from churnwatch.operators import quantiles as Q
 from churnwatch.operators.clean import null_counts
 
@@ -33,10 +34,10 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max): sample std, exact linear quartiles."""
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    x = {c: nan_to_null(F.col(c).cast("double")) for c in columns}  # NaN is missing
     stats = df.agg(*[e for c in columns for e in (
-        F.count(F.col(c)).alias(f"n_{c}"), F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
-        F.stddev_samp(F.col(c).cast("double")).alias(f"s_{c}"), F.min(F.col(c).cast("double")).alias(f"lo_{c}"),
-        F.max(F.col(c).cast("double")).alias(f"hi_{c}"))])
+        F.count(x[c]).alias(f"n_{c}"), F.avg(x[c]).alias(f"m_{c}"), F.stddev_samp(x[c]).alias(f"s_{c}"),
+        F.min(x[c]).alias(f"lo_{c}"), F.max(x[c]).alias(f"hi_{c}"))])
     qs = Q.exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     args = []
     for c in columns:
@@ -96,7 +97,7 @@ def crosstab_rates(df: DataFrame, category: str, label: str) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """(bin, lo, hi, n): equal-width bins over [min, max], last bin closed (NumPy rule)."""
-    x = F.col(col).cast("double")
+    x = nan_to_null(F.col(col).cast("double"))
     b = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).collect()[0]
     lo, hi = b["lo"], b["hi"]
     if lo is None:

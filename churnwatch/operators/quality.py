@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnwatch import config as C
+from churnwatch.functions.scalar import nan_to_null
 
 
 # ---------------------------------------------------------------------------
@@ -107,9 +108,10 @@ def dq_unseen_ratio(reference: DataFrame, current: DataFrame, categorical: list[
     if not categorical:
         return current.agg(F.lit(0.0).alias("unseen_category_ratio"))
     seen = _melt_text(reference, categorical).distinct()
-    cur = _melt_text(current, categorical)
-    unseen = cur.join(seen, ["feature", "value"], "left_anti").groupBy("feature").agg(F.count("*").alias("u"))
-    tot = cur.groupBy("feature").agg(F.count("*").alias("n"))
+    # counts per value before the anti-join: a value held by a third of the rows is one row in it
+    cur = _melt_text(current, categorical).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    unseen = cur.join(seen, ["feature", "value"], "left_anti").groupBy("feature").agg(F.sum("n").alias("u"))
+    tot = cur.groupBy("feature").agg(F.sum("n").alias("n"))
     per = tot.join(unseen, "feature", "left").select(
         (F.coalesce(F.col("u"), F.lit(0)) / F.col("n")).alias("r")  # tot has one row per feature, n > 0
     )
@@ -121,8 +123,9 @@ def dq_out_of_range(reference: DataFrame, current: DataFrame, numeric: list[str]
     [min, max]; columns empty on either side are skipped; 0 when none remain."""
     if not numeric:
         return current.agg(F.lit(0.0).alias("out_of_range_ratio"))
-    b = reference.agg(*[F.min(F.col(c).cast("double")).alias(f"lo_{c}") for c in numeric],
-                      *[F.max(F.col(c).cast("double")).alias(f"hi_{c}") for c in numeric]).collect()[0]
+    values = {c: nan_to_null(F.col(c).cast("double")) for c in numeric}  # NaN is no bound
+    b = reference.agg(*[F.min(values[c]).alias(f"lo_{c}") for c in numeric],
+                      *[F.max(values[c]).alias(f"hi_{c}") for c in numeric]).collect()[0]
     ratios = []
     for c in numeric:
         lo, hi = b[f"lo_{c}"], b[f"hi_{c}"]

@@ -171,11 +171,28 @@ def evaluate_rules(samples: DataFrame, rules: DataFrame) -> DataFrame:
                     F.coalesce(cond, F.lit(False)).alias("active"))
 
 
+def match_limits(samples: DataFrame, limits: DataFrame, on: list[str], limit: str = "limit") -> DataFrame:
+    """Samples with the limit that holds for their labels at their time: the newest limit sample
+    not after the sample (a metric is compared with its limit *series*, matched by label).
+
+    Limits become intervals (valid until the next one of their labels); they are sparse beside the samples, and the join is on
+    the labels with the interval as its condition. Samples before the first limit have none."""
+    w = Window.partitionBy(*on).orderBy("since")
+    spans = limits.select(*on, F.col("ts").alias("since"), F.col("value").alias(limit)).withColumn("until", F.lead("since").over(w))
+    inside = (F.col("ts") >= F.col("since")) & (F.col("until").isNull() | (F.col("ts") < F.col("until")))
+    left = samples
+    keyed = spans.withColumnsRenamed({c: f"_{c}" for c in on})
+    same = inside
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return left.join(keyed, same, "left").drop("since", "until", *[f"_{c}" for c in on])
+
+
 def alert_for(evaluated: DataFrame, hold_seconds: int | None, stale_seconds: int) -> DataFrame:
     """Firing samples: the condition held without a break (false sample or a gap longer
     than ``stale_seconds``) for at least ``hold_seconds`` (None: per-row ``hold_seconds``
-    column from the rules table). Gaps-and-islands per (rule, series)."""
-    key = ["alertname", "series"]
+    column from the rules table). Gaps-and-islands per (rule, severity, series)."""
+    key = ["alertname", "severity", "series"]
     w = Window.partitionBy(*key).orderBy("_t")
     s = evaluated.withColumn("_t", epoch("ts"))
     gap = F.col("_t") - F.lag("_t").over(w)

@@ -10,7 +10,9 @@ from churnwatch.functions.scalar import NUMBER_PATTERN
 from churnwatch.operators import clean as CL
 from churnwatch.plans.registry import register
 from churnwatch.sources import churn as CH
+from churnwatch.sources import files
 from churnwatch.sources import tables as S
+from churnwatch.streaming.log_stream import work_dir
 
 # ---------------------------------------------------------------------------
 # DuckDB text of the same chain, written column by column from the definitions
@@ -83,11 +85,7 @@ def _named(spark, sf_dir):
 # ---------------------------------------------------------------------------
 def scan_checked(df: DataFrame, required: list[str] = C.RAW_REQUIRED_COLUMNS) -> DataFrame:
     """Trim header names and fail listing the required columns that are missing."""
-    df = df.toDF(*[str(c).strip() for c in df.columns])
-    missing = sorted(set(required) - set(df.columns))
-    if missing:
-        raise ValueError(f"scan is missing required columns {missing}; header has {df.columns}")
-    return df
+    return files.check_header(df, required)
 
 
 @register(
@@ -101,6 +99,15 @@ def q_scan_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_checked(v)
 
 
+@register("csv_round_trip", _w("SELECT * FROM cleaned"))
+def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw view written as CSV, scanned with all columns text and a checked header, then cleaned."""
+    path = work_dir(spark, "churn-csv")
+    files.write_csv(_view(spark, sf_dir), path)
+    cleaned, _ = CL.clean_table(files.read_csv(spark, path, ["customerID", "tenure"]), strict_schema=True, require_target=True)
+    return cleaned
+
+
 def table_minimum_check(df: DataFrame, name: str) -> DataFrame:
     """One row: table, n_columns, has_rows (a 1-row probe, not a count), passed."""
     probe = df.limit(1).agg(F.count("*").alias("n"))
@@ -246,19 +253,27 @@ def q_dup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CL.duplicate_row_count(_view(spark, sf_dir))
 
 
+_SOME_NULL_IDS = "CASE WHEN CAST(customerID AS BIGINT) % 50 = 0 THEN NULL ELSE customerID END"
+
+
+def _with_null_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows, exact and id duplicates included, with every fiftieth id NULL."""
+    return _named(spark, sf_dir).withColumn("customerID", F.when(F.col("customerID").cast("long") % 50 != 0, F.col("customerID")))
+
+
 @register("keep_first_duplicates", _w(
-    "SELECT customerID, CAST(row_number() OVER (PARTITION BY customerID ORDER BY MonthlyCharges, TotalCharges) > 1 AS BOOLEAN)"
-    " AS is_duplicate FROM deduped"))
+    f"SELECT id AS customerID, row_number() OVER (PARTITION BY id ORDER BY MonthlyCharges, TotalCharges) > 1 AS is_duplicate "
+    f"FROM (SELECT *, {_SOME_NULL_IDS} AS id FROM trimmed)"))
 def q_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _named(spark, sf_dir).dropDuplicates()
+    d = _with_null_ids(spark, sf_dir)
     return CL.keep_first_duplicates(d, "customerID", ["MonthlyCharges", "TotalCharges"]).select(
         "customerID", "is_duplicate")
 
 
 @register("flag_all_duplicates", _w(
-    "SELECT customerID, count(*) OVER (PARTITION BY customerID) > 1 AS is_duplicate FROM deduped"))
+    f"SELECT id AS customerID, count(*) OVER (PARTITION BY id) > 1 AS is_duplicate FROM (SELECT {_SOME_NULL_IDS} AS id FROM trimmed)"))
 def q_flag_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _named(spark, sf_dir).dropDuplicates()
+    d = _with_null_ids(spark, sf_dir)
     return CL.flag_all_duplicates(d, "customerID").select("customerID", "is_duplicate")
 
 

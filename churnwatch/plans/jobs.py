@@ -23,6 +23,7 @@ from churnwatch.plans import eval_plans as EP
 from churnwatch.plans.registry import register
 from churnwatch.session import cut_lineage, path_exists
 from churnwatch.sources import churn as CH
+from churnwatch.sources import files
 from churnwatch.sources import tables as S
 from churnwatch.streaming.log_stream import work_dir
 
@@ -68,6 +69,7 @@ def preprocess_job(spark: SparkSession, raw: DataFrame, out: str) -> dict:
     -> tree and linear tables (partitioned by split) + bundle. Returns the output paths."""
     cleaned, _ = CL.clean_table(raw, strict_schema=True, require_target=True)
     split = FE.stratified_assign(cut_lineage(cleaned, "cleaned"))
+    high_charge = FE.high_charge_threshold(split.where(F.col(C.SPLIT_COLUMN) == "train"))
     ft, dropped = FE.feature_table(split)
     ft = cut_lineage(ft, "features")  # read by every fit pass and both transforms
     train = ft.where(F.col(C.SPLIT_COLUMN) == "train")
@@ -76,8 +78,8 @@ def preprocess_job(spark: SparkSession, raw: DataFrame, out: str) -> dict:
         pre = FE.fit_preprocessor(train, kind)
         paths[kind] = f"{out}/{kind}"
         sink_table(pre.transform(ft), paths[kind], [C.SPLIT_COLUMN])
-        sink_fit_bundle(pre, f"{out}/bundle_{kind}", spark, {"dropped_columns": dropped, "test_size": C.TEST_SIZE,
-                                                              "random_state": C.RANDOM_STATE})
+        sink_fit_bundle(pre, f"{out}/bundle_{kind}", spark, {
+            "dropped_columns": dropped, "test_size": C.TEST_SIZE, "random_state": C.RANDOM_STATE, "high_charge": high_charge})
     return paths
 
 
@@ -199,8 +201,16 @@ def q_sink_run_metrics(spark, sf_dir):
     sink_run_metrics(base_m, path, "run-1")
     sink_run_metrics(cur_m, path, "run-2")
     promote_baseline(path, spark, "run-1", base)
-    return spark.read.parquet(path).unionByName(
-        spark.read.parquet(base).withColumn("run_id", F.lit("baseline")), allowMissingColumns=True)
+    runs = spark.read.parquet(path).unionByName(spark.read.parquet(base).withColumn("run_id", F.lit("baseline")))
+    return runs.select("model", "metric", "value", "run_id")
+
+
+@register("run_metrics_json", f"WITH {EP._period_sql()} SELECT model, metric, round(value, 9) AS value FROM b_long")
+def q_run_metrics_json(spark, sf_dir):
+    """A run's metrics written as JSON objects and read back as long rows."""
+    path = work_dir(spark, "run-json")
+    files.write_metrics_json(EP._period_metrics(spark, sf_dir)[0], path)
+    return files.read_metrics_json(spark, path).withColumn("value", F.round("value", 9))
 
 
 @register("drift_input_job")
@@ -244,6 +254,9 @@ def _attach_oracles() -> None:
     from churnwatch.plans.registry import ORACLE
 
     ORACLE["sink_table"] = CLP._w("SELECT * FROM cleaned")
+    ORACLE["sink_run_metrics"] = (
+        f"WITH {EP._period_sql()} SELECT *, 'run-1' AS run_id FROM b_long UNION ALL SELECT *, 'run-2' FROM k_long "
+        "UNION ALL SELECT *, 'baseline' FROM b_long")
     ORACLE["sink_append_log"] = f"WITH {EP.SCORED_SQL} SELECT * FROM scored"
     ORACLE["drift_input_job"] = CLP._w(
         "SELECT CASE WHEN CAST(customerID AS BIGINT) % 2 = 0 THEN 'reference' ELSE 'current' END AS side, "

@@ -27,6 +27,9 @@ RULES = [  # alertname, metric, op, threshold, hold seconds, severity, type
      "warning", "model-quality"),
     ("ModelPositiveRateTooHigh", "model_prediction_positive_rate", ">", C.POSITIVE_RATE_MAX_THRESHOLD, 1200,
      "warning", "model-quality"),
+    # the same name in two severities: a firing critical mutes the warning of its name
+    ("ModelPositiveRateTooLow", "model_prediction_positive_rate", "<", C.POSITIVE_RATE_MIN_THRESHOLD, 3600,
+     "critical", "model-quality"),
     ("APIHigh5xxErrorRate", "api_error_ratio", ">", 0.05, 300, "critical", "service"),
     ("APILowRequestRate", "api_request_rate", "<", 0.01, 1800, "warning", "service"),
 ]
@@ -136,16 +139,16 @@ def evaluated_sql() -> str:
 
 
 def firing_sql() -> str:
-    holds = " ".join(f"WHEN '{n}' THEN {hold}" for n, _, _, _, hold, _, _ in RULES)
+    holds = " ".join(f"WHEN alertname = '{n}' AND severity = '{sev}' THEN {hold}" for n, _, _, _, hold, sev, _ in RULES)
     return f"""{evaluated_sql()},
 e1 AS (SELECT *, epoch_us(ts) / 1e6 AS t, CASE WHEN NOT active OR lag(active) OVER w IS NULL OR NOT lag(active) OVER w
     OR epoch_us(ts) / 1e6 - lag(epoch_us(ts) / 1e6) OVER w > {STALE_S} THEN 1 ELSE 0 END AS brk
-  FROM ev WINDOW w AS (PARTITION BY alertname, series ORDER BY ts)),
-e2 AS (SELECT *, sum(brk) OVER (PARTITION BY alertname, series ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM e1),
-e3 AS (SELECT *, min(t) OVER (PARTITION BY alertname, series, run) AS st,
-  min(ts) OVER (PARTITION BY alertname, series, run) AS active_since FROM e2),
+  FROM ev WINDOW w AS (PARTITION BY alertname, severity, series ORDER BY ts)),
+e2 AS (SELECT *, sum(brk) OVER (PARTITION BY alertname, severity, series ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM e1),
+e3 AS (SELECT *, min(t) OVER (PARTITION BY alertname, severity, series, run) AS st,
+  min(ts) OVER (PARTITION BY alertname, severity, series, run) AS active_since FROM e2),
 fire AS (SELECT alertname, severity, type, ts, series, value, active_since FROM e3
-  WHERE active AND t - st >= CASE alertname {holds} END)"""
+  WHERE active AND t - st >= CASE {holds} END)"""
 
 
 # ---------------------------------------------------------------------------
@@ -235,6 +238,24 @@ def q_alert_rule(spark, sf_dir):
     return evaluated(spark, sf_dir).drop("hold_seconds").withColumn("value", rnd(F.col("value")))
 
 
+LIMIT_FACTOR = 1.2  # an endpoint's limit: so many times the mean latency of the day before
+
+
+@register("threshold_label_match", f"""WITH {REQ_SQL},
+m AS (SELECT date_trunc('hour', ts) + INTERVAL 1 HOUR AS ts, endpoint, avg(latency) AS value FROM req GROUP BY 1, 2),
+l AS (SELECT date_trunc('day', ts) + INTERVAL 1 DAY AS ts, endpoint, avg(latency) * {LIMIT_FACTOR} AS lim FROM req GROUP BY 1, 2)
+SELECT m.ts, m.endpoint, round(m.value, 9) AS value, round(l.lim, 9) AS "limit", coalesce(m.value > l.lim, false) AS breach
+FROM m ASOF LEFT JOIN l ON m.endpoint = l.endpoint AND m.ts >= l.ts""")
+def q_threshold_label_match(spark, sf_dir):
+    """Hourly latency of every endpoint against that endpoint's own limit series (set daily)."""
+    r = req(spark, sf_dir)
+    samples = SE.gauge_samples(r, "latency_mean", F.avg("latency"), ["endpoint"]).select("ts", "endpoint", "value")
+    limits = SE.gauge_samples(r, "latency_limit", F.avg("latency") * LIMIT_FACTOR, ["endpoint"], "1 day").select("ts", "endpoint", "value")
+    j = SE.match_limits(samples, limits, ["endpoint"])
+    return j.select("ts", "endpoint", rnd(F.col("value")).alias("value"), rnd(F.col("limit")).alias("limit"),
+                    F.coalesce(F.col("value") > F.col("limit"), F.lit(False)).alias("breach"))
+
+
 @register("alert_for", f"WITH {firing_sql()} SELECT alertname, severity, type, ts, series, round(value, 9) AS value, active_since FROM fire")
 def q_alert_for(spark, sf_dir):
     return firing(spark, sf_dir).withColumn("value", rnd(F.col("value")))

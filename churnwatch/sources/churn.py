@@ -69,12 +69,15 @@ def churn_view(spark: SparkSession, sf_dir: str, with_row_no: bool = False) -> D
     totals = o.groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("tot"))
     base = c.join(totals, c.c_custkey == totals.o_custkey, "left")
 
-    def rows(variant: str, cond: str | None, copy: int) -> DataFrame:
-        src = base.where(F.expr(cond)) if cond else base
-        extra = [(F.col(K) * 3 + copy).alias("row_no")] if with_row_no else []
-        return src.select(*extra, *[F.expr(e).alias(n) for n, e in churn_columns(variant)])
-
-    return rows("base", None, 0).unionByName(rows("base", EXACT_DUP, 1)).unionByName(rows("iddup", ID_DUP, 2))
+    # each customer once, then its copies: the join is done a single time
+    copies = F.expr(f"array_compact(array(0, CASE WHEN {EXACT_DUP} THEN 1 END, CASE WHEN {ID_DUP} THEN 2 END))")
+    rows = base.select("*", F.explode(copies).alias("_copy"))
+    dup = dict(churn_columns("iddup"))
+    extra = [(F.col(K) * 3 + F.col("_copy")).alias("row_no")] if with_row_no else []
+    return rows.select(*extra, *[
+        (F.expr(e) if dup[n] == e else F.when(F.col("_copy") == 2, F.expr(dup[n])).otherwise(F.expr(e))).alias(n)
+        for n, e in churn_columns("base")
+    ])
 
 
 def churn_view_sql(with_row_no: bool = False) -> str:
