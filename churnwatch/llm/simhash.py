@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 from churnwatch.llm.common import components
 from churnwatch.llm.templates import row_key
-from churnwatch.session import cut_lineage
+from churnwatch.session import cut_lineage, ready_python
 
 SEGMENTS, WIDTH, MAX_BITS = 8, 8, 4
+ROWS_AT_ONCE = 100_000  # keyed rows searched at once
+KEYED_AT_ONCE = 10_000  # fingerprints that one task turns into keyed rows
 CHUNK = 1 << 16  # shingles hashed at once, so a very long text needs bounded memory
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -48,6 +50,7 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, keys: list[str], text: str = "text", shingle: int = 4) -> DataFrame:
     """``keys, fp``: the fingerprint of every row as a signed long; null text counts as empty."""
+    ready_python(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,15 +68,6 @@ def _turned(fp: Column, start: int) -> Column:
     return F.shiftrightunsigned(fp, start * WIDTH).bitwiseOR(F.shiftleft(fp, 64 - start * WIDTH))
 
 
-def chain_holds(x: Column) -> Column:
-    """Whether the turned difference keeps every chain from its lowest segment within budget."""
-    ok = F.bit_count(x) <= MAX_BITS
-    for length in range(SEGMENTS - 1, 0, -1):
-        mask = F.lit((1 << (WIDTH * length)) - 1)
-        ok = (F.bit_count(x.bitwiseAND(mask)) <= length * MAX_BITS // SEGMENTS) & ok
-    return ok
-
-
 def neighbours_in_order(fps: DataFrame) -> DataFrame:
     """Some of the links, at linear cost: in each of the 8 turned orders, a run of neighbours
     within the distance is linked to its first member. Only a head start for groups with
@@ -102,51 +96,76 @@ def neighbours_in_order(fps: DataFrame) -> DataFrame:
 
 
 def _keyed(fps: DataFrame) -> DataFrame:
-    """``key, probe, fp, grp``: 8 chain keys per fingerprint, and each with one of its last 16 bits flipped."""
-    rows = []
+    """``slot, fp, grp``: 8 chain keys per fingerprint (even slots), and each with one of its last 16 bits flipped (odd)."""
+    slots = []
     for start in range(SEGMENTS):
         chain = _turned(F.col("fp"), start).bitwiseAND(F.lit((1 << 24) - 1)).bitwiseOR(F.lit(start << 24))
-        rows += [F.struct(chain.cast("int").alias("key"), F.lit(0).cast("byte").alias("probe"))]
-        rows += [F.struct(chain.bitwiseXOR(F.lit(1 << bit)).cast("int").alias("key"), F.lit(1).cast("byte").alias("probe")) for bit in range(WIDTH, 3 * WIDTH)]
-    return fps.select("fp", "grp", F.explode(F.array(*rows)).alias("k")).select("k.key", "k.probe", "fp", "grp")
+        slots += [F.shiftleft(chain, 1)] + [F.shiftleft(chain.bitwiseXOR(F.lit(1 << bit)), 1).bitwiseOR(F.lit(1)) for bit in range(WIDTH, 3 * WIDTH)]
+    return fps.select("fp", "grp", F.explode(F.array(*[c.cast("int") for c in slots])).alias("slot")).select("slot", "fp", "grp")
+
+
+def chains_hold(x: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Which differences keep every chain from segment ``start`` within its share, and the distance within the whole."""
+    turn = (start * WIDTH).astype(np.uint64)
+    x = (x >> turn) | (x << ((np.uint64(64) - turn) & np.uint64(63)))
+    ok = np.ones(len(x), dtype=bool)
+    for length in range(1, SEGMENTS + 1):
+        mask = np.uint64((1 << (WIDTH * length)) - 1)
+        ok[ok] = np.bitwise_count(x[ok] & mask) <= length * MAX_BITS // SEGMENTS
+    return ok
+
+
+def _pairs(slot: np.ndarray, fp: np.ndarray, grp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links among whole keys, rows being sorted by slot: every chain key of a bucket against all later rows of it.
+
+    A bucket with one group only has nothing open and is left out first.
+    """
+    key = slot >> 1
+    first = np.nonzero(np.concatenate(([True], key[1:] != key[:-1])))[0]
+    size = np.diff(np.append(first, len(key)))
+    mixed = (np.minimum.reduceat(grp, first) != np.maximum.reduceat(grp, first)) & (slot[first] & 1 == 0)
+    keep = np.repeat(mixed, size)
+    key, fp, grp, probe = key[keep], fp[keep].view(np.uint64), grp[keep], slot[keep] & 1
+    at, found = np.nonzero(probe == 0)[0], []
+    step = 1
+    while len(at):
+        at = at[at + step < len(key)]
+        at = at[key[at] == key[at + step]]
+        other = at[grp[at] != grp[at + step]]
+        good = other[chains_hold(fp[other] ^ fp[other + step], key[other] >> 24)]
+        found.append((fp[good].view(np.int64), fp[good + step].view(np.int64)))
+        step += 1
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (fp.view(np.int64)[:0],) * 2
 
 
 def links(fps: DataFrame) -> DataFrame:
     """All links ``a, b`` between fingerprints of different groups ``grp`` within the distance.
 
-    One grouped aggregate over the keys leaves out every key with one group only (within
-    it nothing is open) and settles those with two rows; the remaining keys are joined,
-    chain keys against both kinds, with chain and distance tested in the join.
+    Keyed rows are shuffled once and read in slot order, so a bucket lies together with
+    its chain keys first; memory is one batch and one bucket.
     """
-    keyed = _keyed(fps)
-    per_key = cut_lineage(
-        keyed.groupBy("key").agg(
-            F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"),
-            F.min("grp").alias("g"), F.max("grp").alias("g2"), F.min("probe").alias("p"),
-        ).where("g != g2 and p = 0"),
-        "ring-keys",
-    )
-    start = F.shiftright(F.col("key"), 24)
 
-    def turned_by_key(x: Column) -> Column:
-        out = _turned(x, 0)
-        for i in range(1, SEGMENTS):
-            out = F.when(start == i, _turned(x, i)).otherwise(out)
-        return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[list[np.ndarray]] = []  # rows not yet searched, the last bucket of which may go on
+
+        def search(last: bool) -> pa.RecordBatch:
+            rows = [np.concatenate(c) for c in zip(*waiting)]
+            whole = len(rows[0]) if last else int(np.searchsorted(rows[0] >> 1, rows[0][-1] >> 1))
+            waiting[:] = [[r[whole:] for r in rows]]
+            a, b = _pairs(*[r[:whole] for r in rows]) if whole else (rows[1][:0],) * 2
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    def holds(a: Column, b: Column) -> Column:
-        return chain_holds(turned_by_key(a.bitwiseXOR(b)))
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append([c.to_numpy() for c in batch.columns])
+                if sum(len(w[0]) for w in waiting[1:]) >= ROWS_AT_ONCE:
+                    yield search(False)
+        if waiting:
+            yield search(True)
 
-    pairs = per_key.where("n = 2").where(holds(F.col("a"), F.col("b"))).select("a", "b")
-    many = keyed.join(per_key.where("n > 2").select("key"), "key")
-    many = cut_lineage(many, "ring-many")
-    base = many.where("probe = 0").select("key", F.col("fp").alias("a"), F.col("grp").alias("ga"))
-    other = many.select(F.col("key").alias("k2"), F.col("fp").alias("b"), F.col("grp").alias("gb"), "probe")
-    joined = base.join(
-        other,
-        (F.col("key") == F.col("k2")) & (F.col("ga") != F.col("gb")) & ((F.col("probe") == 1) | (F.col("a") < F.col("b"))) & holds(F.col("a"), F.col("b")),
-    ).select("a", "b")
-    return pairs.unionByName(joined)
+    dealt = fps.repartition(1 + fps.count() // KEYED_AT_ONCE, "fp")
+    ordered = _keyed(dealt).repartition(F.shiftright("slot", 1)).sortWithinPartitions("slot")
+    return ordered.mapInArrow(run, "a long, b long")
 
 
 def fingerprint_components(rows: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -155,6 +174,7 @@ def fingerprint_components(rows: DataFrame, key: str = "doc_id") -> DataFrame:
     ``rows`` has ``key`` and ``fp``. Equal fingerprints are one class before anything is
     searched, so copies add no pairs.
     """
+    ready_python(rows.sparkSession)
     classes = cut_lineage(rows.groupBy("fp").agg(F.min(key).alias("low")), "ring-classes")
     near = components(neighbours_in_order(classes.select("fp")), "ring-near")
     grouped = cut_lineage(
