@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnwatch import config as C
@@ -125,33 +125,38 @@ def score_log_job(spark: SparkSession, batch: DataFrame, log_path: str, model, p
 
 
 def monitoring_report(spark: SparkSession, reference: DataFrame | None, log: DataFrame | None,
-                      baseline: DataFrame | None, current: DataFrame | None, strict: bool = False) -> DataFrame:
-    """(check, status, detail): input availability, performance degradation, data-quality
-    status. Drift decisions belong to the alert rules, so feature_drift is SKIPPED."""
-    rows, issues, missing = [], [], []
-    if reference is not None and log is not None:
-        rows.append(("feature_drift", "SKIPPED", "drift decisions are made by the alert rules"))
-        if log.limit(1).count() == 0:
-            issues.append("Production log is empty")
+                      baseline: DataFrame | None, current: DataFrame | None, strict: bool = False,
+                      now: str | None = None) -> DataFrame:
+    """(check, status, detail, checked_at): one row each for feature drift (left to the alert rules), performance
+    against the baseline, and whether the inputs are there. ``strict`` raises where one is not."""
+    inputs = {"reference": reference, "log": log, "baseline": baseline, "current": current}
+    absent = sorted(name for name, table in inputs.items() if table is None)
+    if strict and absent:
+        raise FileNotFoundError(f"monitoring needs these tables: {', '.join(absent)}")
+    at = F.lit(now).cast("timestamp") if now else F.current_timestamp()
+
+    def row(check: str, status: Column, detail: Column, of: DataFrame) -> DataFrame:
+        return of.select(F.lit(check).alias("check"), status.alias("status"), detail.alias("detail"), at.alias("checked_at"))
+
+    def lacking(*names: str) -> str:
+        return ", ".join(n for n in names if n in absent)
+
+    one = spark.range(1)
+    drift_note = f"no table for: {lacking('reference', 'log')}" if lacking("reference", "log") else "left to the alert rules"
+    if lacking("baseline", "current"):
+        performance = row("performance_degradation", F.lit("SKIPPED"), F.lit(f"no table for: {lacking('baseline', 'current')}"), one)
     else:
-        missing += [n for n, d in (("reference", reference), ("log", log)) if d is None]
-        rows.append(("feature_drift", "SKIPPED", f"Missing inputs: {missing}"))
-        issues.append("Feature drift data availability check failed")
-    if baseline is not None and current is not None:
-        deg = EV.metric_degradation(baseline, current, ["model"])
-        st = EV.degradation_status(deg, ["model"]).collect()
-        alert = any(r["status"] == "ALERT" for r in st)
-        rows.append(("performance_degradation", "ALERT" if alert else "OK",
-                     ", ".join(f"{r['model']}:{r['degraded_metrics']}/{r['total_checked_metrics']}" for r in st)))
-    else:
-        miss = [n for n, d in (("baseline", baseline), ("current", current)) if d is None]
-        missing += miss
-        rows.append(("performance_degradation", "SKIPPED", f"Missing inputs: {miss}"))
-        issues.append("Performance degradation check skipped due to missing metrics")
-    rows.append(("data_quality", "OK" if not issues else "WARN", "; ".join(issues)))
-    if strict and missing:
-        raise FileNotFoundError("Missing required monitoring inputs: " + ", ".join(sorted(set(missing))))
-    return spark.createDataFrame(rows, "check string, status string, detail string")
+        models = EV.degradation_status(EV.metric_degradation(baseline, current, ["model"]), ["model"])
+        line = F.format_string("%s %d of %d worse", F.col("model"), F.col("degraded_metrics"), F.col("total_checked_metrics"))
+        total = models.agg(F.max((F.col("status") == "ALERT").cast("int")).alias("bad"), F.array_join(F.sort_array(F.collect_list(line)), ", ").alias("text"))
+        performance = row("performance_degradation", F.when(F.col("bad") == 1, "ALERT").otherwise("OK"), F.col("text"), total)
+    logged = (log.limit(1) if log is not None else one.limit(0)).agg(F.count("*").alias("n"))
+    problems = F.array_compact(F.array(
+        F.when(F.lit(bool(absent)), F.lit(f"no table for: {', '.join(absent)}")),
+        F.when(F.lit(log is not None) & (F.col("n") == 0), F.lit("the scoring log has no rows")),
+    ))
+    quality = row("data_quality", F.when(F.size(problems) > 0, "WARN").otherwise("OK"), F.array_join(problems, "; "), logged)
+    return row("feature_drift", F.lit("SKIPPED"), F.lit(drift_note), one).unionByName(performance).unionByName(quality)
 
 
 # ---------------------------------------------------------------------------
@@ -240,11 +245,16 @@ def q_score_log_job(spark, sf_dir):
             .groupBy("log").count())
 
 
-@register("monitoring_report")
+@register("monitoring_report", f"""WITH {EP._period_sql()}, {EP._deg_sql()},
+per AS (SELECT model, count(*) FILTER (WHERE degraded) AS bad, count(*) AS total FROM deg GROUP BY model)
+SELECT 'feature_drift' AS "check", 'SKIPPED' AS status, 'left to the alert rules' AS detail
+UNION ALL SELECT 'performance_degradation', CASE WHEN max(bad) > 0 THEN 'ALERT' ELSE 'OK' END,
+  string_agg(model || ' ' || bad || ' of ' || total || ' worse', ', ' ORDER BY model) FROM per
+UNION ALL SELECT 'data_quality', 'OK', ''""")
 def q_monitoring_report(spark, sf_dir):
     base_m, cur_m = EP._period_metrics(spark, sf_dir)
     ref, cur = S.drift_pair(spark, sf_dir)
-    return monitoring_report(spark, ref, cur, base_m, cur_m)
+    return monitoring_report(spark, ref, cur, base_m, cur_m, now="2024-02-01 00:00:00").select("check", "status", "detail")
 
 
 def _attach_oracles() -> None:
