@@ -10,6 +10,7 @@ a quotation. A logistic regression over the weighed hits gives the score.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,12 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnwatch.session import cut_lineage
+from churnwatch.session import cut_lineage, ready_python
 
 SAMPLE_ROWS = 30_000  # labelled rows learned from, smallest hash first: the bound on the fit
 MAX_TERMS = 2_000
 MIN_STEM, MAX_STEM, MIN_FUZZY = 4, 8, 5  # lengths of learned beginnings; shortest word a misspelling is looked for in
 MIN_DOCS, MIN_PURITY = 3, 0.95  # a term's toxic documents, and the smoothed toxic share among the documents that hold it
+CHANCE = 2.0  # a term must be toxic beyond chance: its log probability under chance, corrected for all terms tried, is below minus this
+REMEMBERED = 200_000  # words whose match a task remembers
 WINDOW = 6  # words on either side of a hit
 WORD = re.compile(r"[^\W\d_]+")
 QUOTES = "\"'“”„‟«»‹›‘’"
@@ -102,21 +105,46 @@ class Scorer:
         self.heads = {(len(t) + d, t[: len(t) // 2]) for t in fuzzy for d in (-1, 0, 1)}
         self.tails = {(len(t) + d, t[len(t) // 2 :]) for t in fuzzy for d in (-1, 0, 1)}
         self.head_sizes, self.tail_sizes = sorted({len(h) for _, h in self.heads}), sorted({len(h) for _, h in self.tails})
-        self.lengths = {n for n, _ in self.heads}
+        self.starts, self.ends = {h[:2] for _, h in self.heads}, {t[-2:] for _, t in self.tails}
+        self.seen: dict[str, tuple | None] = {}
         self.weights, self.scale = np.zeros(len(FEATURES) + 1), np.ones(len(FEATURES))
         self.weights[0] = -4.0
         self.weights[1:5] = 4.0, 4.0, 1.0, -1.0
 
     def candidate(self, word: str) -> bool:
-        if word in self.words or any(word[:s] in self.stems for s in self.stem_sizes):
+        """Whether the word can match a term; loses none."""
+        if word in self.words:
             return True
+        for size in self.stem_sizes:
+            if word[:size] in self.stems:
+                return True
         n = len(word)
-        return n in self.lengths and (any((n, word[:s]) in self.heads for s in self.head_sizes) or any((n, word[-s:]) in self.tails for s in self.tail_sizes))
+        if word[:2] in self.starts:
+            for size in self.head_sizes:
+                if (n, word[:size]) in self.heads:
+                    return True
+        if word[-2:] in self.ends:
+            for size in self.tail_sizes:
+                if (n, word[-size:]) in self.tails:
+                    return True
+        return False
+
+    def match(self, word: str) -> tuple[str, bool, int, float] | None:
+        """The term a word stands for, remembered for the words met last."""
+        if word in self.seen:
+            return self.seen[word]
+        m = self.trie.walk(word) if self.candidate(word) else None
+        if m and m[2] and word in self.clean:
+            m = None
+        if len(self.seen) >= REMEMBERED:
+            self.seen.clear()
+        self.seen[word] = m
+        return m
 
     def hits(self, low: str) -> list[tuple[int, str, bool, int, float]]:
         """``place, word, is_stem, edits, weight`` of every term found among the words."""
         words = WORD.findall(low)
-        matched = {w: m for w in set(words) if len(w) > 2 and self.candidate(w) and (m := self.trie.walk(w)) and not (m[2] and w in self.clean)}
+        matched = {w: m for w in set(words) if (m := self.match(w))}
         if not matched:
             return []
         return [(i, w, matched[w][1], matched[w][2], matched[w][3]) for i, w in enumerate(words) if w in matched]
@@ -172,19 +200,26 @@ class Scorer:
 
     def learn_clean(self, clean_words: list[str]) -> None:
         self.clean = set(clean_words)
+        self.seen.clear()
 
 
-def choose_terms(counts: pd.DataFrame, n_toxic: int, n_clean: int) -> dict[str, tuple[bool, float]]:
+def signature(text: str | None) -> int:
+    """Smallest hash of the three-word shingles: near copies mostly share it."""
+    w = WORD.findall((text or "").lower())
+    return min((zlib.crc32(" ".join(w[i : i + 3]).encode()) for i in range(max(1, len(w) - 2))), default=0)
+
+
+def choose_terms(counts: pd.DataFrame, n_toxic: int, n_clean: int, tried: int) -> dict[str, tuple[bool, float]]:
     """Lexicon from ``term, is_stem, toxic, clean, kinds``: documents of either label that hold it, distinct words of a stem.
 
-    Terms must be pure and seen often enough; a stem must stand for three words or more and
+    Terms must be pure, and more often toxic than chance would make any of the ``tried`` terms; a stem must stand for three words or more and
     say more than any one longer stem or word within it.
     """
     t = counts[(counts["toxic"] >= MIN_DOCS) & (~counts["is_stem"] | (counts["kinds"] >= 3))].copy()
     odds = (t["toxic"] + 0.5) / (n_toxic + 1) / ((t["clean"] + 0.5) / (n_clean + 1))
-    t["purity"] = odds / (1 + odds)
-    t = t[t["purity"] >= MIN_PURITY]
-    t["weight"] = np.clip(np.log(odds[t.index]), 1.0, 6.0) / 3
+    t["weight"] = np.clip(np.log(odds), 1.0, 6.0) / 3
+    chance = t["toxic"] * np.log((n_toxic + n_clean + 1) / (n_toxic + 1)) - np.log(max(1, tried))
+    t = t[(odds / (1 + odds) >= MIN_PURITY) & (chance >= CHANCE)]
     words = {r.term: r.toxic for r in t.itertuples() if not r.is_stem}
     stems = {r.term: r.toxic for r in t.itertuples() if r.is_stem}
     covered: Counter = Counter()
@@ -210,13 +245,22 @@ def train(docs: DataFrame, labels: DataFrame, train_rows, key: str = "doc_id", t
     count once, the larger label first. Without any toxic row the lexicon is empty.
     """
     spark = docs.sparkSession
+    ready_python(spark)
     own = (
         labels.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").cast("int").alias("y")).where(train_rows(F.col("id")) & F.col("id").isNotNull() & F.col("y").isNotNull())
         .groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
     )
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([signature(t) for t in texts], pa.int64()), batch.column(2), batch.column(1)], names=["sig", "y", "text"])
+
     sample = cut_lineage(
-        docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).join(F.broadcast(own), "id"), "toxic-sample"
+        docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).join(F.broadcast(own), "id").select("id", "text", "y"), "toxic-sample"
     )
+    # near copies would count as evidence many times: one document for each smallest shingle hash
+    sample = cut_lineage(sample.mapInArrow(signed, "sig long, y int, text string").groupBy("sig", "y").agg(F.min("text").alias("text")), "toxic-distinct")
     sizes = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sum(n for y, n in sizes.items() if y != 1)
 
@@ -243,8 +287,9 @@ def train(docs: DataFrame, labels: DataFrame, train_rows, key: str = "doc_id", t
     whole = words.where(F.col("toxic") >= MIN_DOCS).select(F.col("word").alias("term"), "toxic", "clean", F.lit(1).alias("kinds"), F.lit(False).alias("is_stem"))
     odds = (F.col("toxic") + 0.5) / (F.col("clean") + 0.5) * ((n_clean + 1) / (n_toxic + 1))
     pure = whole.unionByName(stems.select(whole.columns)).where(odds / (1 + odds) >= MIN_PURITY)
+    tried = whole.count() + stems.count()
     counts = pure.orderBy(F.col("toxic").desc(), "term", "is_stem").limit(8 * MAX_TERMS).toPandas()
-    scorer = Scorer(choose_terms(counts, n_toxic, n_clean) if len(counts) else {})
+    scorer = Scorer(choose_terms(counts, n_toxic, n_clean, tried) if len(counts) else {})
     shared = spark.sparkContext.broadcast(scorer)
 
     def near_misses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,6 +320,7 @@ def score(docs: DataFrame, scorer: Scorer, key: str = "doc_id", text: str = "tex
     Null and empty texts score as texts without hits; null keys, repeated rows and very
     long texts are scored like any other; further columns are not read; an empty table gives no rows.
     """
+    ready_python(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
     kind = docs.schema[key].dataType.simpleString()
 
