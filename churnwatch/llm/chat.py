@@ -20,6 +20,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnwatch.session import ready_python
+
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 TOKENIZER_LIMIT = 16 << 20  # bytes; the file is broadcast, so its size is checked
 # FIXED VALUE: the pre-tokenisation pattern that belongs to the vocabulary file
@@ -118,6 +120,7 @@ def format_conversations(rows: DataFrame, tokenizer: str = TOKENIZER) -> DataFra
     made per conversation, as a running sum over sorted rows that holds one turn at a time.
     """
     spark = rows.sparkSession
+    ready_python(spark)
     file = spark.sparkContext.broadcast(load_tokenizer(tokenizer))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,6 +164,7 @@ def digests(formatted: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     Rows are decoded from ids alone, in place order; hashes run over the stream, so a
     conversation of any length needs the memory of one batch.
     """
+    ready_python(formatted.sparkSession)
     file = formatted.sparkSession.sparkContext.broadcast(load_tokenizer(tokenizer))
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens", "n_loss_tokens"]
 

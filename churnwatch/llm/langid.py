@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnwatch.llm.common import held_out
-from churnwatch.session import cut_lineage
+from churnwatch.session import cut_lineage, ready_python
 
 ORDER = 4
 LETTERS = 220  # alphabet: the most frequent letters; any other letter is one shared symbol
@@ -29,7 +29,7 @@ MAX_GRAMS = 600_000  # top-order n-grams kept over all languages, most frequent
 MAX_LANGS = 500
 SLICE = 1 << 20  # symbols worked on at once
 CALIBRATION_ROWS = 20_000  # bound on the documents that calibrate rejection, smallest hash first
-REJECT_WIDTH = 8.0  # standard deviations above the usual entropy at which a text is in no learned language
+REJECT_WIDTH, REJECT_EXCESS = 8.0, 0.75  # a text in no learned language: standard deviations, and nats a symbol, above the usual entropy
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _LETTER = np.array([chr(c).isalpha() for c in range(1 << 16)])
 
@@ -222,16 +222,18 @@ class Model:
         best = entropy.argmin(axis=1)
         rows = np.arange(len(texts))
         mean, between, per_symbol = self.usual[best].T
-        width = (entropy[rows, best] - mean) / np.sqrt(between + per_symbol / np.maximum(n, 1))
+        excess = entropy[rows, best] - mean
+        width = excess / np.sqrt(between + per_symbol / np.maximum(n, 1))
+        beyond = np.minimum(width - REJECT_WIDTH, (excess - REJECT_EXCESS) * 20)
         lead = entropy - entropy[rows, best][:, None]
         share = 1 / np.exp(-lead * np.minimum(n, 400)[:, None]).sum(axis=1)
-        score = share / (1 + np.exp(np.clip(width - REJECT_WIDTH, -50, 50)))
+        score = share / (1 + np.exp(np.clip(beyond, -50, 50)))
         none = np.array([not has_letter(t) for t in texts], dtype=bool)
         return pd.DataFrame(
             {
                 "lang_pred": np.where(none, "und", np.array(self.langs, dtype=object)[best]),
                 "score": np.where(none, 0.0, np.clip(score, 0, 1)),
-                "rejected": none | (width > REJECT_WIDTH),
+                "rejected": none | (beyond > 0),
                 "entropy": np.where(none, np.nan, entropy[rows, best]),
             }
         )
@@ -246,6 +248,7 @@ def train(docs: DataFrame, train_rows, key: str = "doc_id", text: str = "text",
     the counts, and up to ``CALIBRATION_ROWS`` of those calibrate rejection.
     """
     spark = docs.sparkSession
+    ready_python(spark)
     labelled = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang")).where(
         train_rows(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
@@ -338,6 +341,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: lis
     if model is None:
         none = {"lang_pred": F.lit("und"), "score": F.lit(0.0), "rejected": F.lit(True), "entropy": F.lit(None).cast("double")}
         return docs.select(*[f"`{c}`" for c in keep], *[v.alias(c) for c, v in none.items()])
+    ready_python(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

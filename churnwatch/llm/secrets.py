@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnwatch.session import ready_python
+
 KINDS = ["assign", "access", "hex", "guess"]
 MIN_COST = 8.0
 MAX_WORD, MAX_VALUE = 24, 256  # longest word looked up; beyond the second length brute force alone is counted
@@ -159,6 +161,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", min_c
     Null and empty texts have no spans; repeated rows and null keys come back as they are;
     other columns are not read; an empty table gives no rows.
     """
+    ready_python(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     item = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("cost", pa.float64())]))
 

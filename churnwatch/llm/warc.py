@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnwatch.session import checkpoint_dir, cut_lineage
+from churnwatch.session import checkpoint_dir, cut_lineage, ready_python
 
 DATE = "2024-01-01T00:00:00Z"
 RECORDS_PER_FILE = 12_288  # three for each capture; with the shuffle's partition size this bounds an archive
@@ -159,6 +159,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
     One archive's compressed bytes are in memory at a time; records stream out of it.
     ``with_payload=False`` leaves payloads behind once they are measured and hashed.
     """
+    ready_python(spark)
     kinds = [pa.string()] * 8 + [pa.int64(), pa.string(), pa.map_(pa.string(), pa.string()), pa.binary()]
     names = [c.split()[0] for c in RECORD.split(", ")]
 
