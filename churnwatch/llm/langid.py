@@ -328,32 +328,32 @@ def train(docs: DataFrame, train_rows, key: str = "doc_id", text: str = "text",
     return model
 
 
-def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (default all) plus ``lang_pred, score, rejected, entropy``, without a shuffle.
+RESULTS = ("lang_pred", "score", "rejected", "entropy")
 
-    ``lang_pred`` is ``und`` (score 0, rejected) where the text is null or has no letter,
+
+def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: list[str] | None = None, names: tuple[str, ...] = RESULTS) -> DataFrame:
+    """The columns ``keep`` (default all) plus language, score, rejection and entropy under ``names``, without a shuffle.
+
+    The language is ``und`` (score 0, rejected) where the text is null or has no letter,
     and where nothing could be learned; a text in no learned language keeps its nearest one
-    with a low score and ``rejected`` set. Repeated rows, null keys and extra columns pass
-    through; columns named like the four results are replaced.
+    with a low score and is rejected. Repeated rows, null keys and extra columns pass
+    through; columns that have one of the ``names`` are replaced.
     """
-    added = ["lang_pred", "score", "rejected", "entropy"]
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
     if model is None:
-        none = {"lang_pred": F.lit("und"), "score": F.lit(0.0), "rejected": F.lit(True), "entropy": F.lit(None).cast("double")}
-        return docs.select(*[f"`{c}`" for c in keep], *[v.alias(c) for c, v in none.items()])
+        none = (F.lit("und"), F.lit(0.0), F.lit(True), F.lit(None).cast("double"))
+        return docs.select(*[f"`{c}`" for c in keep], *[v.alias(c) for c, v in zip(names, none)])
     ready_python(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = keep.index(text) if text in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = shared.value.predict(batch.column(batch.num_columns - 1).to_pylist())
-            columns = [pa.array(got[c], t) for c, t in zip(added, (pa.string(), pa.float64(), pa.bool_(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*keep, *added])
-
-    fields = [docs.schema[c] for c in keep]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "lang_pred string, score double, rejected boolean, entropy double"])
-    return docs.select(*[f"`{c}`" for c in keep], F.col(f"`{text}`").alias("_text")).mapInArrow(run, schema)
-
-
-def in_training(doc_id):
-    return ~held_out(doc_id)
+            got = shared.value.predict(batch.column(at).to_pylist())
+            columns = [pa.array(got[c], t) for c, t in zip(RESULTS, (pa.string(), pa.float64(), pa.bool_(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *columns], names=[*keep, *names])
+
+    kept = [f"`{docs.schema[c].name}` {docs.schema[c].dataType.simpleString()}" for c in keep]
+    schema = ", ".join([*kept, *(f"`{n}` {t}" for n, t in zip(names, ("string", "double", "boolean", "double")))])
+    read = [f"`{c}`" for c in keep] + ([] if text in keep else [f"`{text}`"])
+    return docs.select(*read).mapInArrow(run, schema)
