@@ -20,7 +20,6 @@ MIN_DOCS = 3  # documents that a template of LONG tokens or more must recur in
 MIN_DOCS_SHORT, LONG = 10, 6  # shorter lines recur by chance
 COPY_SHARE = 0.6  # a document with this share of its words in lines found elsewhere is a copy and no evidence
 LINE_END = r"\r?\n"
-SPACE = r"[\x20\x09-\x0D]+"
 VARIABLE = r"[0-9@]|://"
 
 
@@ -30,23 +29,30 @@ def row_key(key: str, text: str) -> list[Column]:
     return [F.xxhash64(*both).alias("_a"), F.xxhash64(F.lit(1), *both).alias("_b")]
 
 
-def templates(tokens: Column) -> Column:
-    """Array of the template hashes of one tokenised line."""
-    n = F.size(tokens)
-    body = n - LEAD
-    bounds = [F.floor(body * k / BANDS).cast("int") + LEAD for k in range(BANDS + 1)]
-    lead = F.xxhash64(n, F.slice(tokens, 1, LEAD))
-    band = [F.xxhash64(F.slice(tokens, bounds[k] + 1, bounds[k + 1] - bounds[k])) for k in range(BANDS)]
-    open_band = [F.xxhash64(lead, F.lit(k), *[band[j] for j in range(BANDS) if j != k]) for k in range(BANDS)]
-    return F.when(body >= WIDE, F.array(*open_band)).otherwise(F.array(F.xxhash64(n, tokens)))
-
-
 def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``_a, _b, line, words, template``: one row per non-blank line and template."""
-    lines = docs.select(*row_key(key, text), F.posexplode(F.split(F.col(f"`{text}`"), LINE_END)).alias("line", "s"))
-    tokens = F.transform(F.filter(F.split("s", SPACE), lambda t: t != ""), lambda t: F.when(t.rlike(VARIABLE), F.lit("<*>")).otherwise(t))
-    held = lines.select("_a", "_b", "line", tokens.alias("tokens")).where(F.size("tokens") > 0)
-    return held.select("_a", "_b", "line", F.size("tokens").alias("words"), F.explode(templates(F.col("tokens"))).alias("template"))
+    whole = docs.select(*row_key(key, text), F.split(F.col(f"`{text}`"), LINE_END).alias("all"))
+    lines = whole.select("_a", "_b", F.posexplode("all").alias("line", "s"))
+    # one kind of space first, so that tokens are split at a plain character
+    spaced = lines.select("_a", "_b", "line", F.translate("s", "\t\x0b\x0c\r", "    ").alias("s")).where(F.trim("s") != "")
+    every = F.array_remove(F.split("s", " "), "")
+    masked = F.transform(every, lambda t: F.when(t.rlike(VARIABLE), F.lit("<*>")).otherwise(t))
+    tokens = spaced.select("_a", "_b", "line", F.when(F.col("s").rlike(VARIABLE), masked).otherwise(every).alias("t"))
+    n = F.size("t")
+    body = n - LEAD
+    bounds = [F.floor(body * k / BANDS).cast("int") + LEAD for k in range(BANDS + 1)]
+    wide = body >= WIDE
+
+    def part(start: Column, length: Column) -> Column:
+        return F.when(wide, F.xxhash64(F.slice("t", start, length)))
+
+    hashes = tokens.select(
+        "_a", "_b", "line", n.alias("words"), F.when(~wide, F.xxhash64(n, "t")).alias("whole"), part(F.lit(1), F.lit(LEAD)).alias("lead"),
+        *[part(bounds[k] + 1, bounds[k + 1] - bounds[k]).alias(f"band{k}") for k in range(BANDS)],
+    )
+    open_band = [F.xxhash64("words", "lead", F.lit(k), *[f"band{j}" for j in range(BANDS) if j != k]) for k in range(BANDS)]
+    found = F.when(F.col("whole").isNull(), F.array(*open_band)).otherwise(F.array("whole"))
+    return hashes.select("_a", "_b", "line", "words", F.explode(found).alias("template"))
 
 
 def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, min_docs_short: int = MIN_DOCS_SHORT) -> DataFrame:
