@@ -157,6 +157,7 @@ WITH line AS (
 ), cleaned AS (
   SELECT l.doc_id, count(g.nth) AS n_dropped, coalesce(string_agg(CASE WHEN g.nth IS NULL THEN l.s END, chr(10) ORDER BY l.nth), '') AS text
   FROM line l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.nth = l.nth GROUP BY l.doc_id
+  HAVING regexp_matches(coalesce(string_agg(CASE WHEN g.nth IS NULL THEN l.s END, chr(10) ORDER BY l.nth), ''), '[^\x20\x09-\x0D]')
 )
 SELECT d.doc_id, coalesce(c.n_dropped, 0) AS n_dropped, length(CASE WHEN c.n_dropped > 0 THEN c.text ELSE d.text END) AS n_chars,
        sha256(CASE WHEN c.n_dropped > 0 THEN c.text ELSE d.text END) AS text_sha256

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnwatch.llm.common import bind
+from churnwatch.llm.common import WORD, bind
 from churnwatch.session import cut_lineage
 
 LEAD, BANDS, WIDE = 3, 4, 8
@@ -32,7 +32,7 @@ def row_key(key: str, text: str) -> list[Column]:
 def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``_a, _b, line, words, template``: one row per non-blank line and template."""
     whole = docs.select(*row_key(key, text), F.split(F.col(f"`{text}`"), LINE_END).alias("all"))
-    lines = whole.select("_a", "_b", F.posexplode("all").alias("line", "s"))
+    lines = whole.select("_a", "_b", F.posexplode_outer("all").alias("line", "s"))  # outer: no filter that splits once more
     # one kind of space first, so that tokens are split at a plain character
     spaced = lines.select("_a", "_b", "line", F.translate("s", "\t\x0b\x0c\r", "    ").alias("s")).where(F.trim("s") != "")
     every = F.array_remove(F.split("s", " "), "")
@@ -84,7 +84,7 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", size: s
     """The documents without their recurring lines: same columns and rows plus ``n_dropped``, the text changed.
 
     ``size`` names a column to refill with the new length. Null and empty texts stay as they are; a
-    document of nothing but recurring lines keeps an empty text; equal rows (key and text)
+    document of nothing but recurring lines stays whole, since near-duplicate removal has to settle it; equal rows (key and text)
     count as one document and change alike; a null key is a key; other columns pass
     through; an empty table gives no rows. Texts without a recurring line come back
     exactly as they were.
@@ -96,14 +96,15 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", size: s
         places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_lines"))
         return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
 
-    kept = bind(F.split(F.col(f"`{text}`"), LINE_END), rest)
-    new = F.when(F.col("_lines").isNull(), F.col(f"`{text}`")).otherwise(kept)
+    joined = joined.withColumn("_kept", F.when(F.col("_lines").isNotNull(), bind(F.split(F.col(f"`{text}`"), LINE_END), rest)))
+    whole = ~F.coalesce(F.col("_kept").rlike(WORD), F.lit(False))
+    new = F.when(whole, F.col(f"`{text}`")).otherwise(F.col("_kept"))
     out = []
     for c in docs.columns:
         if c == text:
             out.append(new.alias(c))
         elif c == size:
-            out.append(F.when(F.col("_lines").isNull(), F.col(f"`{c}`")).otherwise(F.length(new)).cast(docs.schema[c].dataType).alias(c))
+            out.append(F.when(whole, F.col(f"`{c}`")).otherwise(F.length(new)).cast(docs.schema[c].dataType).alias(c))
         elif c != "n_dropped":
             out.append(F.col(f"`{c}`"))
-    return joined.select(*out, F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_dropped"))
+    return joined.select(*out, F.when(whole, 0).otherwise(F.size("_lines")).cast("long").alias("n_dropped"))
