@@ -44,3 +44,14 @@ def test_odd_rows(spark):
     assert got[1] == (2, "", 0) and got[5][1:] == ("x " * 50_000, 0)
     assert templates.drop_lines(df.limit(0)).count() == 0
     assert [r.text for r in templates.drop_lines(df.where("doc_id = 1")).collect()] == [None]
+
+
+def test_document_of_recurring_lines_alone_stays_whole(spark):
+    notice = "please read this notice before you go on with anything"
+    rng = random.Random(3)
+    own = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(12))
+    rows = [(i, f"{notice}\n{own()}\n{own()}") for i in range(5)]
+    rows += [(8, f"\n{notice}\n ")]
+    got = {r.doc_id: (r.text, r.n_dropped) for r in templates.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[8] == (f"\n{notice}\n ", 0)
+    assert all(notice not in got[i][0] and got[i][1] == 1 for i in range(5))
