@@ -38,13 +38,20 @@ def shingles(text: Column) -> Column:
 
 
 def fingerprint(rows: DataFrame, by: list[str]) -> DataFrame:
-    """``by, fp``: SimHash of the shingles ``h`` with weights ``n``, one grouped sum per bit."""
-    bit = [F.sum(F.col("n") * (F.shiftright("h", b).bitwiseAND(F.lit(1)) * 2 - 1)).alias(f"b{b}") for b in range(64)]
-    sums = rows.groupBy(*by).agg(*bit)
-    fp = F.lit(0).cast("long")
-    for b in range(64):
-        fp = fp.bitwiseOR(F.when(F.col(f"b{b}") > 0, F.lit(1 << b if b < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long")))
-    return sums.select(*by, fp.alias("fp"))
+    """``by, fp``: SimHash of the shingles ``h`` with weights ``n``.
+
+    Bits k and k + 32 are counted side by side in the halves of one long, so 32 grouped
+    sums do; a bit is set where more than half of the weight has it.
+    """
+    pair = (1 << 32) | 1
+    lanes = [F.sum(F.col("n") * F.shiftrightunsigned("h", k).bitwiseAND(F.lit(pair))).alias(f"l{k}") for k in range(32)]
+    sums = rows.groupBy(*by).agg(F.sum("n").alias("all"), *lanes)
+    counts = sums.select(*by, "all", F.array(*[f"l{k}" for k in range(32)]).alias("lanes"))
+    low = F.transform("lanes", lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)))
+    high = F.transform("lanes", lambda x: F.shiftrightunsigned(x, 32))
+    bits = F.transform(F.concat(low, high), lambda c, k: F.when(2 * c > F.col("all"), F.expr("1L")).otherwise(F.expr("0L")))
+    fp = F.aggregate(F.reverse(bits), F.expr("0L"), lambda acc, bit: F.shiftleft(acc, 1).bitwiseOR(bit))
+    return counts.select(*by, fp.alias("fp"))
 
 
 def block_value(fp: Column, block: int) -> Column:
@@ -81,12 +88,13 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     n_anchors = anchors.count()
     doc = ["_a", "_b"]
     texts = docs.select(*row_key(key, text), F.col(f"`{text}`").alias("_text"))
-    spots = texts.select(*doc, F.posexplode(shingles(F.col("_text"))).alias("at", "h"))
+    spots = texts.select(*doc, shingles(F.col("_text")).alias("hs")).select(*doc, F.posexplode_outer("hs").alias("at", "h"))  # outer: no filter that hashes once more
     starts = spots.join(_bounded(anchors, n_anchors, BROADCAST_SHINGLES), "h").select(*doc, "long", (F.col("at") - F.col("item_at")).alias("start"))
     starts = cut_lineage(starts.distinct(), "bench-spots")
     # only documents with a shared shingle are read again, and each once
     per_doc = starts.groupBy(*doc).agg(F.collect_set(F.struct("start", "long")).alias("windows"))
-    held = texts.join(per_doc, doc).dropDuplicates(doc).select(*doc, "windows", shingles(F.col("_text")).alias("hs"))
+    # a merge join at every size: the hits grow with the documents, so a broadcast of them would not last
+    held = texts.join(per_doc.hint("merge"), doc).dropDuplicates(doc).select(*doc, "windows", shingles(F.col("_text")).alias("hs"))
     first = F.greatest(F.lit(0), F.least(F.col("w.start"), F.size("hs") - F.col("w.long")))
     window = [*doc, "start", "long"]
     windows = cut_lineage(
