@@ -188,6 +188,14 @@ class FittedPreprocessor:
         """Encoded columns, then the label and split flag when present (model-ready order)."""
         return df.select(*self.expressions(), *[F.col(k) for k in keep if k in df.columns])
 
+    def input_columns(self) -> list[str]:
+        return [*self.numeric, *self.scaled, *self.unscaled, *self.binary, *self.onehot]
+
+    def align(self, df: DataFrame) -> DataFrame:
+        """``df`` with every column the fit reads; one that is not there is NULL, so it is imputed."""
+        absent = [c for c in dict.fromkeys(self.input_columns()) if c not in df.columns]
+        return df.select("*", *[F.lit(None).cast("double" if c in self.numeric + self.scaled + self.unscaled else "string").alias(c) for c in absent])
+
     def to_json(self) -> str:
         return json.dumps(asdict(self), sort_keys=True)
 

@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnwatch import config as C
+from churnwatch.operators import clean as CL
 from churnwatch.operators import evaluate as EV
+from churnwatch.operators import features as FE
+from churnwatch.session import cut_lineage
 
 WEIGHT = "class_weight"
 
@@ -66,6 +69,23 @@ def score_batch(model: PipelineModel, df: DataFrame, threshold: float = C.SELECT
     )
 
 
+def score_raw(model: PipelineModel, pre, raw: DataFrame, high_charge: float, threshold: float = C.SELECTED_THRESHOLD,
+              model_name: str = "gbt") -> DataFrame:
+    """Raw rows to scores: clean, derive features with the fitted high-charge threshold, align to
+    the fitted columns (one that is absent counts as missing), encode, score. Keeps the id."""
+    cleaned, _ = CL.clean_table(raw)
+    cleaned = cut_lineage(cleaned, "score-clean")  # bounds the projection chain before encoding
+    ft, _ = FE.feature_table(cleaned.withColumn("_key", F.col(C.ID_COLUMN)), high_charge)
+    encoded = pre.transform(pre.align(ft), keep=["_key"])
+    scored = score_batch(model, encoded, threshold, model_name, keep=["_key"])
+    return scored.withColumnRenamed("_key", C.ID_COLUMN)
+
+
+def top_features(importances: DataFrame, n: int = 10) -> DataFrame:
+    """The n largest importances, ties by name (a report, so the limit is the feature)."""
+    return importances.orderBy(F.desc("importance"), "source").limit(n)
+
+
 def importance_rollup(model: PipelineModel, feature_cols: list[str], onehot_sources: dict[str, str]) -> list[tuple]:
     """(source column, importance) with one-hot columns summed into their source, descending."""
     imp = model.stages[-1].featureImportances.toArray()
@@ -84,6 +104,7 @@ def random_search_cv(train: DataFrame, feature_cols: list[str], space: dict[str,
     Folds come from the row hash (``features.stratified_folds``); each fit is a
     distributed Spark ML job. Returns one dict per trial."""
     rng = random.Random(seed)
+    train = cut_lineage(train, "search-train")  # read by every fit
     results = []
     for t in range(trials):
         params = {k: rng.choice(v) for k, v in sorted(space.items())}
@@ -93,6 +114,7 @@ def random_search_cv(train: DataFrame, feature_cols: list[str], space: dict[str,
             model = train_classifier(fit_rows, feature_cols, kind, label, **dict(params))
             scored = score_batch(model, train.where(F.col(fold_col) == f), keep=[label])
             oof = scored if oof is None else oof.unionByName(scored)
-        ap = EV.ranking_metrics(oof, "churn_probability", label).collect()[0]["pr_auc"]
-        results.append({"trial": t, **params, "average_precision": ap})
+        row = EV.evaluate_models(cut_lineage(oof, "out-of-fold"), "churn_probability", label, group=None).first()
+        metrics = {name: row[name] for name in row.asDict() if name != "group"}
+        results.append({"trial": t, **params, **metrics, "average_precision": metrics["pr_auc"]})
     return results

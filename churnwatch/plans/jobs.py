@@ -113,7 +113,7 @@ def score_log_job(spark: SparkSession, batch: DataFrame, log_path: str, model, p
     cleaned, _ = CL.clean_table(numbered)
     cleaned = cut_lineage(cleaned, "score-clean")  # bounds the projection chain before encoding
     ft, _ = FE.feature_table(cleaned.withColumn("_key", F.col(C.ID_COLUMN)), high_charge)
-    enc = cut_lineage(pre.transform(ft, keep=["_key"]), "score-encoded")
+    enc = cut_lineage(pre.transform(pre.align(ft), keep=["_key"]), "score-encoded")
     scored = cut_lineage(M.score_batch(model, enc, keep=enc.columns).drop("features"), "scored")
     ts = F.lit(now).cast("timestamp")
     probs = scored.select(F.col("_key").alias(C.ID_COLUMN), F.col("churn_probability").alias("prediction"))

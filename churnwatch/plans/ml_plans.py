@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from churnwatch import config as C
 from churnwatch.functions.scalar import rnd
+from churnwatch.operators import clean as CL
 from churnwatch.operators import evaluate as EV
 from churnwatch.operators import features as FE
 from churnwatch.operators import model as M
 from churnwatch.plans import feature_plans as FP
 from churnwatch.plans.registry import register
+from churnwatch.sources import churn as CH
 
 GBT_ITER = 20
 
@@ -39,10 +41,22 @@ def q_train_classifier(spark, sf_dir):
     return ev.select(*[rnd(F.col(c)).alias(c) if c != "group" else F.col(c) for c in ev.columns])
 
 
+@register("train_forest")
+def q_train_forest(spark, sf_dir):
+    """Random-forest preset, metrics on the test rows."""
+    wide, _, _, model = _fit(spark, sf_dir, "forest")
+    scored = M.score_batch(model, wide.where(F.col(C.SPLIT_COLUMN) == "test"), keep=[C.TARGET_COLUMN])
+    ev = EV.evaluate_models(scored, "churn_probability", C.TARGET_COLUMN, group=None)
+    return ev.select(*[rnd(F.col(c)).alias(c) if c != "group" else F.col(c) for c in ev.columns])
+
+
 @register("score_batch")
 def q_score_batch(spark, sf_dir):
-    wide, _, _, model = _fit(spark, sf_dir, "gbt")
-    return M.score_batch(model, wide, keep=[FP.KEY, C.SPLIT_COLUMN])
+    """Raw rows (without the label and one optional column) through the whole scoring chain."""
+    _, pre, _, model = _fit(spark, sf_dir, "gbt")
+    view = CH.churn_view(spark, sf_dir)
+    cleaned, _ = CL.clean_table(view, strict_schema=True, require_target=True)
+    return M.score_raw(model, pre, view.drop("Churn", "StreamingTV"), FE.high_charge_threshold(cleaned))
 
 
 @register("train_logreg")
@@ -64,12 +78,17 @@ def q_importance(spark, sf_dir):
         "source", rnd(F.col("importance")).alias("importance"))
 
 
+@register("top_features")
+def q_top_features(spark, sf_dir):
+    return M.top_features(q_importance(spark, sf_dir), 5)
+
+
 @register("random_search_cv")
 def q_random_search(spark, sf_dir):
     wide, pre = model_ready(spark, sf_dir, "linear")
-    train = FE.stratified_folds(wide.where(F.col(C.SPLIT_COLUMN) == "train"), key=FP.KEY, k=3)
+    train = FE.stratified_folds(wide.where(F.col(C.SPLIT_COLUMN) == "train"), key=FP.KEY, k=5)
     space = {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]}
-    res = M.random_search_cv(train, pre.output_columns(), space, trials=2, folds=3, kind="logreg")
+    res = M.random_search_cv(train, pre.output_columns(), space, trials=10, folds=5, kind="logreg")
     rows = [(r["trial"], float(r["regParam"]), float(r["elasticNetParam"]), float(r["average_precision"])) for r in res]
     return spark.createDataFrame(
         rows, "trial int, regParam double, elasticNetParam double, average_precision double").select(
