@@ -25,9 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster's parallelism (a
-    file with one row group is read by one task). Large inputs already have many splits,
-    so this adds no shuffle there; it only widens narrow scans feeding heavy work."""
+    """Round-robin a scan with fewer splits than the session has cores: a file of one row group
+    is read by one task, which would then do all of the melt. It costs one shuffle of the
+    selected columns of such a narrow table; a table with as many splits as cores passes as it is."""
     target = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
