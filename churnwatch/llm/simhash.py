@@ -97,11 +97,12 @@ def neighbours_in_order(fps: DataFrame) -> DataFrame:
 
 def _keyed(fps: DataFrame) -> DataFrame:
     """``slot, fp, grp``: 8 chain keys per fingerprint (even slots), and each with one of its last 16 bits flipped (odd)."""
-    slots = []
-    for start in range(SEGMENTS):
-        chain = _turned(F.col("fp"), start).bitwiseAND(F.lit((1 << 24) - 1)).bitwiseOR(F.lit(start << 24))
-        slots += [F.shiftleft(chain, 1)] + [F.shiftleft(chain.bitwiseXOR(F.lit(1 << bit)), 1).bitwiseOR(F.lit(1)) for bit in range(WIDTH, 3 * WIDTH)]
-    return fps.select("fp", "grp", F.explode(F.array(*[c.cast("int") for c in slots])).alias("slot")).select("slot", "fp", "grp")
+    chains = [_turned(F.col("fp"), i).bitwiseAND(F.lit((1 << 24) - 1)).bitwiseOR(F.lit(i << 24)).cast("int") for i in range(SEGMENTS)]
+    flips = [0] + [1 << bit for bit in range(WIDTH, 3 * WIDTH)]
+    keyed = fps.select("fp", "grp", F.explode_outer(F.array(*chains)).alias("chain"))
+    each = keyed.select("fp", "grp", "chain", F.explode_outer(F.array(*[F.lit(f) for f in flips])).alias("flip"))
+    slot = F.shiftleft(F.col("chain").bitwiseXOR(F.col("flip")), 1).bitwiseOR((F.col("flip") != 0).cast("int"))
+    return each.select(slot.alias("slot"), "fp", "grp")
 
 
 def chains_hold(x: np.ndarray, start: np.ndarray) -> np.ndarray:
