@@ -4,15 +4,17 @@ checks; tests compare them with the batch equivalents)."""
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
+from churnwatch import config as C
 from churnwatch.plans.registry import register
 from churnwatch.sources import tables as S
 from churnwatch.streaming import log_stream as LS
 
 MONITOR_CLOCK = datetime(2024, 3, 1, tzinfo=timezone.utc)  # fixed, so that reruns agree; a deployment keeps the real clock
+MONITOR_STEP = timedelta(seconds=C.SLOW_DRIFT_SECONDS)  # from one micro-batch to the next, so that every tier is due in each
 REFERENCE_UNTIL = "2024-01-08 00:00:00"
 
 
@@ -66,5 +68,6 @@ def q_stream_monitor(spark, sf_dir):
     reference = spark.read.parquet(src).where(F.col("ts") < F.lit(REFERENCE_UNTIL).cast("timestamp_ntz"))
     log_path, metrics = LS.work_dir(spark, "monitor-log"), LS.work_dir(spark, "monitor-metrics")
     LS.stream_monitor(LS.read_log_stream(spark, src, schema, files_per_trigger=15), reference, log_path, metrics,
-                      LS.work_dir(spark, "ckpt"), numeric=["value"], categorical=["event_type"], clock=lambda: MONITOR_CLOCK)
+                      LS.work_dir(spark, "ckpt"), numeric=["value"], categorical=["event_type"], clock=lambda: MONITOR_CLOCK,
+                      batch_step=MONITOR_STEP)
     return spark.read.parquet(metrics)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,9 +105,11 @@ def stream_monitor(stream: DataFrame, reference: DataFrame, log_path: str, metri
                    ts: str = "ts", order: tuple[str, ...] = ("ts", "event_id"), probability: str = "score",
                    numeric: list[str] | None = None, categorical: list[str] | None = None,
                    window: int = C.CURRENT_WINDOW_SIZE, gate_tiers: bool = True,
-                   clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)) -> None:
+                   clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+                   batch_step: timedelta = timedelta(0)) -> None:
     """Per micro-batch: append the batch to the log (partition ``batch_id``), then write the
-    metrics of that batch id, stamped with the time that ``clock`` gives.
+    metrics of that batch id, stamped with the time that ``clock`` gives plus ``batch_step``
+    for each earlier batch id, which moves a fixed clock on alike in a rerun or a repeated batch.
 
     Tiers: row count, newest event, freshness and the up flag every batch; model-quality and
     data-quality stats and drift over the latest window when ``quality.due_tiers`` says so,
@@ -131,7 +133,7 @@ def stream_monitor(stream: DataFrame, reference: DataFrame, log_path: str, metri
         spark = batch.sparkSession
         own = f"{log_path}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(own)
-        now = clock().astimezone(timezone.utc)
+        now = clock().astimezone(timezone.utc) + batch_step * batch_id
         stamp = F.lit(now.strftime("%Y-%m-%d %H:%M:%S.%f+00:00")).cast("timestamp")
         last, newest = history(spark, batch_id)
         head = spark.read.parquet(own).agg(

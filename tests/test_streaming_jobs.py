@@ -39,6 +39,18 @@ def test_stream_monitor_writes_metrics_per_batch(spark):
     assert last == spark.read.parquet(f"{SF001}/events.parquet").count()
 
 
+def test_stream_monitor_runs_every_tier_in_every_batch(spark, monkeypatch):
+    from churnwatch.streaming import log_stream as LS
+
+    stage = LS.stage_as_files
+    monkeypatch.setattr(LS, "stage_as_files", lambda df, path: stage(df, path, rows_per_file=20))
+    m = E.queries()["stream_monitor"](spark, SF001)
+    tiers = {(r["batch_id"], r["tier"]) for r in m.select("batch_id", "tier").distinct().collect()}
+    batches = {b for b, _ in tiers}
+    assert len(batches) > 2
+    assert tiers == {(b, t) for b in batches for t in ("fast", "medium", "drift")}
+
+
 def test_preprocess_job_split_and_tables(spark):
     out = E.queries()["preprocess_job"](spark, SF001)
     got = {(r["table"], r[C.SPLIT_COLUMN]): r["rows"] for r in out.collect()}
