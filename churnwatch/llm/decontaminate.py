@@ -1,8 +1,9 @@
 """Benchmark decontamination by SimHash windows, in DataFrame operations alone.
 
-Item-sized windows of a document are fingerprinted wherever the document shares a
-five-word shingle with the benchmark (a window similar enough to an item shares most of
-them, so no window that could pass is left out). Fingerprints of 64 bits are cut into 8
+Every item-sized window of a document is a candidate in which enough places hold a five-word
+shingle of the items of that size: the shared weight is at most the number of those
+places, in any order, so no window that could pass is left out. Candidates are fingerprinted.
+Fingerprints of 64 bits are cut into 8
 blocks; two fingerprints within the radius agree in some block up to ``RADIUS // 8`` bits, so
 an index of the items' blocks with up to that many bits flipped finds every item within
 the radius. Candidates are verified by the exact similarity of their weighted shingles.
@@ -70,12 +71,30 @@ def _bounded(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def _runs(ats: Column, long: Column, total: Column, similarity: float) -> Column:
+    """Array of ``first, last``: disjoint runs of the starts whose windows hold enough of the sorted places ``ats``.
+
+    The fewest places a window needs are ``need``; of ``need`` places in a row, a window holds all if it starts at the
+    first or before it and ends behind the last. Starts up to the place before belong to the run before.
+    """
+    size = F.least(long, total)
+    need = F.greatest(F.lit(1), F.floor(similarity * (size + long) / 2.0 + (1 - 1e-9)).cast("int"))
+
+    def run(i: Column) -> Column:
+        before = F.when(i > 1, F.get(ats, i - 2)).otherwise(F.lit(-1))
+        first = F.greatest(F.lit(0), before + 1, F.get(ats, i + need - 2) - long + 1)
+        return F.struct(first.alias("first"), F.least(F.get(ats, i - 1), total - size).alias("last"))
+
+    each = F.when(F.size(ats) >= need, F.transform(F.sequence(F.lit(1), F.size(ats) - need + 1), run))
+    return F.filter(each, lambda r: r["first"] <= r["last"])
+
+
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``_a, _b, item, similarity``: the documents that hold a window similar to an item.
 
     Similarity is twice the shared shingle weight over both weights, weights being
-    occurrences. Windows are as long as the item that gave the shared shingle, laid where
-    that shingle would put it; at a document's ends they are moved inside. Items without
+    occurrences. Windows are as long as an item and start anywhere in the document (one
+    window where the document is shorter), so passages in another order count. Items without
     words, and null items, are in no document; repeated items count once each; a null
     document is empty; equal rows are one document.
     """
@@ -84,21 +103,22 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     )
     placed = cut_lineage(bench.select("item", "nth", F.size("hs").alias("long"), F.posexplode("hs").alias("at", "h")), "bench-shingles")
     weights = cut_lineage(placed.groupBy("nth", "long", "h").agg(F.count("*").alias("n")), "bench-weights")
-    anchors = placed.select("h", F.col("at").alias("item_at"), "long").distinct()
+    anchors = placed.select("h", "long").distinct()
     n_anchors = anchors.count()
     doc = ["_a", "_b"]
     texts = docs.select(*row_key(key, text), F.col(f"`{text}`").alias("_text"))
     spots = texts.select(*doc, shingles(F.col("_text")).alias("hs")).select(*doc, F.posexplode_outer("hs").alias("at", "h"))  # outer: no filter that hashes once more
-    starts = spots.join(_bounded(anchors, n_anchors, BROADCAST_SHINGLES), "h").select(*doc, "long", (F.col("at") - F.col("item_at")).alias("start"))
-    starts = cut_lineage(starts.distinct(), "bench-spots")
-    # only documents with a shared shingle are read again, and each once
-    per_doc = starts.groupBy(*doc).agg(F.collect_set(F.struct("start", "long")).alias("windows"))
+    hits = cut_lineage(spots.join(_bounded(anchors, n_anchors, BROADCAST_SHINGLES), "h").select(*doc, "long", "at").distinct(), "bench-spots")
+    # a window holds no more of an item than all hits of its size; it weighs no less than what it holds
+    places = hits.groupBy(*doc, "long").agg(F.sort_array(F.collect_list("at")).alias("ats")).where(2.0 * F.size("ats") / (F.size("ats") + F.col("long")) >= similarity)
+    # only documents with enough shared shingles are read again, and each once
+    per_doc = places.groupBy(*doc).agg(F.collect_list(F.struct("long", "ats")).alias("places"))
     # a merge join at every size: the hits grow with the documents, so a broadcast of them would not last
-    held = texts.join(per_doc.hint("merge"), doc).dropDuplicates(doc).select(*doc, "windows", shingles(F.col("_text")).alias("hs"))
-    first = F.greatest(F.lit(0), F.least(F.col("w.start"), F.size("hs") - F.col("w.long")))
+    held = texts.join(per_doc.hint("merge"), doc).dropDuplicates(doc).select(*doc, "places", shingles(F.col("_text")).alias("hs"))
     window = [*doc, "start", "long"]
     windows = cut_lineage(
-        held.withColumn("w", F.explode("windows")).select(*doc, first.alias("start"), F.col("w.long").alias("long"), "hs").dropDuplicates(window)
+        held.withColumn("p", F.explode("places")).withColumn("run", F.explode(_runs(F.col("p.ats"), F.col("p.long"), F.size("hs"), similarity)))
+        .select(*doc, "hs", F.col("p.long").alias("long"), F.explode(F.sequence("run.first", "run.last")).alias("start"))
         .select(*window, F.explode(F.slice("hs", F.col("start") + 1, F.col("long"))).alias("h"))
         .groupBy(*window, "h").agg(F.count("*").alias("n")),
         "bench-windows",

@@ -55,6 +55,41 @@ def test_planted_passages(spark):
     assert exact <= found
 
 
+def test_reordered_passages(spark):
+    rng = random.Random(23)
+    vocab = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(2000)]
+    words = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [(i, " ".join(words(60 + i % 3))) for i in range(12)]
+    docs = []
+    for i in range(24):
+        item, body = items[i % 12][1].split(), words(100 * (i % 3))
+        cut = 30 if i < 12 else 12 + i
+        docs.append((i, " ".join(body[: len(body) // 2] + item[cut:] + item[:cut] + body[len(body) // 2 :])))
+    # a part of an item, 45 of its 56 shingles, alone and inside other words
+    docs += [(100, " ".join(items[0][1].split()[:49])), (101, " ".join(words(80) + items[0][1].split()[:49] + words(80)))]
+    got = decontaminate.flag(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = brute(docs, items)
+    assert len(want) >= 25
+    assert {(r.doc_id, k) for r in got.collect() for k in r["items"]} == want
+
+
+def test_runs_are_all_windows_with_enough_places(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(2)
+    rows = []
+    for n in range(200):
+        total = rng.randrange(1, 60)
+        rows.append((n, sorted(rng.sample(range(total), rng.randrange(0, total + 1))), rng.randrange(1, 30), total))
+    df = spark.createDataFrame(rows, "n int, ats array<int>, long int, total int")
+    got = df.select("n", F.explode(decontaminate._runs(F.col("ats"), F.col("long"), F.col("total"), 0.8)).alias("r")).select("n", F.explode(F.sequence("r.first", "r.last"))).collect()
+    want = []
+    for n, ats, long, total in rows:
+        size = min(long, total)
+        want += [(n, s) for s in range(total - size + 1) if 2.0 * sum(s <= a < s + long for a in ats) / (size + long) >= 0.8]
+    assert sorted(map(tuple, got)) == want
+
+
 def test_shuffled_index_gives_the_same(spark, monkeypatch):
     items = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog again")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "well the quick brown fox jumps over the lazy dog again and again", 3), (2, "nothing of the kind is said in here", 4)], "doc_id long, text string, items int")
