@@ -13,6 +13,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,9 @@ from churnwatch.session import ready_python
 
 KINDS = ["assign", "access", "hex", "guess"]
 MIN_COST = 8.0
-MAX_WORD, MAX_VALUE = 24, 256  # longest word looked up; beyond the second length brute force alone is counted
+MAX_WORD = 24  # longest word looked up
+LONG_VALUE = 256  # repeats of longer values are found by hashes instead of the pattern, and their costs are not remembered
+PAIRS = 1 << 18  # places compared at once in the search for repeats
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A | re.I)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # maximal runs, so the same matches as the open run with a length test
 HEX = re.compile(r"[0-9a-f]{24,}")
@@ -78,12 +81,69 @@ def _runs(labels: list) -> Iterator[tuple[int, int]]:
             start = i if i == len(labels) or labels[i] is None else i - 1
 
 
-@lru_cache(maxsize=1 << 16)
+def _repeats(value: str) -> list[tuple[int, int, int]]:
+    """``start, end, unit`` of what ``REPEAT`` matches at each character, in n log^2 n steps.
+
+    A square of unit u holds a multiple p of u in its first half; how far the texts at p and
+    p + u agree to both sides, by hashes of prefixes, gives the starts of all squares around p.
+    """
+    n = len(value)
+    points = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), dtype="<u4").tolist()
+    tables = []
+    for mod, base in (((1 << 31) - 1, 1_000_003_019 % ((1 << 31) - 1)), ((1 << 31) - 19, 911_382_323)):
+        sums, powers = [0], [1]
+        for c in points:
+            sums.append((sums[-1] * base + c + 1) % mod)
+            powers.append(powers[-1] * base % mod)
+        tables.append((np.uint64(mod), np.array(sums, np.uint64), np.array(powers, np.uint64)))
+
+    def same(a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+        out = np.ones(len(a), dtype=bool)
+        for mod, sums, powers in tables:
+            x = (sums[a + size] + mod - sums[a] * powers[size] % mod) % mod
+            y = (sums[b + size] + mod - sums[b] * powers[size] % mod) % mod
+            out &= x == y
+        return out
+
+    def agree(a: np.ndarray, b: np.ndarray, most: np.ndarray, side: int) -> np.ndarray:
+        """How many characters agree from a and b on (side 1) or before them (side -1), at most ``most``."""
+        low, high = np.zeros_like(most), most.copy()
+        while (low < high).any():
+            mid = (low + high + 1) // 2
+            back = mid if side < 0 else 0
+            ok = same(a - back, b - back, mid)
+            low, high = np.where(ok, mid, low), np.where(ok, high, mid - 1)
+        return low
+
+    unit = np.zeros(n, np.int64)
+    first = 1
+    while first <= n // 2:  # units in ascending order, about ``PAIRS`` pairs of places at a time
+        units, pairs = [], 0
+        while first <= n // 2 and pairs < PAIRS:
+            units.append(first)
+            pairs += n // first
+            first += 1
+        p = np.concatenate([np.arange(0, n - u, u) for u in units])
+        u = np.repeat(units, [len(range(0, n - u, u)) for u in units])
+        ahead = agree(p, p + u, np.minimum(u, n - u - p), 1)
+        behind = agree(p, p + u, np.minimum(u - 1, p), -1)
+        hit = ahead + behind >= u
+        for a, b, k in zip((p - behind)[hit].tolist(), (p + ahead - u + 1)[hit].tolist(), u[hit].tolist()):
+            own = unit[a:b]
+            own[own == 0] = k
+    at = np.nonzero(unit)[0]
+    u = unit[at]
+    ends = at + u * (1 + agree(at, at + u, n - at - u, 1) // u)
+    return [(i, j, k) for i, j, k in zip(at.tolist(), ends.tolist(), u.tolist()) if j - i >= 3]
+
+
 def guess_cost(value: str) -> float:
     """Log10 of the guesses of the cheapest segmentation of ``value``."""
+    return _short_cost(value) if len(value) <= LONG_VALUE else _cost(value)
+
+
+def _cost(value: str) -> float:
     n = len(value)
-    if n > MAX_VALUE:
-        return sum(math.log10(_class(c)) for c in set(value)) if len(set(value)) < 4 else n * math.log10(10)
     low = value.lower()
     plain = low.translate(LEET)
     spans: dict[tuple[int, int], float] = {}
@@ -115,12 +175,19 @@ def guess_cost(value: str) -> float:
         offer(i, j, math.log10(47 * (j - i)) + turns * math.log10(3))
     best = [0.0] + [math.inf] * n
     brute = [math.inf] * (n + 1)  # cheapest when the last character is inside a brute-force span
-    repeats = [(i, m.end(), len(m[1])) for i in range(n) if (m := REPEAT.match(value, i)) and m.end() - i >= 3]
+    if n > LONG_VALUE:
+        repeats = _repeats(value)
+    else:
+        repeats = [(i, m.end(), len(m[1])) for i in range(n) if (m := REPEAT.match(value, i)) and m.end() - i >= 3]
     ends: dict[int, list[tuple[int, float]]] = {}
     for (i, j), cost in spans.items():
         ends.setdefault(j, []).append((i, cost))
+    costs: dict[str, float] = {}  # of the units of this value
     for i, j, unit in repeats:
-        base = unit * math.log10(_class(value[i])) if unit < 3 or unit == n else guess_cost(value[i : i + unit])
+        if unit < 3 or unit == n:
+            base = unit * math.log10(_class(value[i]))
+        elif (base := costs.get(one := value[i : i + unit])) is None:
+            base = costs[one] = guess_cost(one)
         ends.setdefault(j, []).append((i, base + math.log10((j - i) // unit)))
     for j in range(1, n + 1):
         brute[j] = min(best[j - 1] + (0.3 if j > 1 else 0), brute[j - 1]) + math.log10(_class(value[j - 1]))
@@ -128,6 +195,8 @@ def guess_cost(value: str) -> float:
     return best[n]
 
 
+_short_cost = lru_cache(maxsize=1 << 16)(_cost)
+
 _HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 

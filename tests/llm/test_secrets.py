@@ -75,6 +75,29 @@ def test_guess_cost():
     assert max(map(secrets.guess_cost, cheap)) < secrets.MIN_COST <= min(map(secrets.guess_cost, dear))
 
 
+def test_long_values_are_segmented():
+    import random
+
+    rng = random.Random(4)
+    cheap = ["changeme" * 40, "abcd" * 100, "password" * 33 + "1", "a" * 5000]
+    assert max(map(secrets.guess_cost, cheap)) < secrets.MIN_COST
+    irregular = "".join(rng.choice("xy1") for _ in range(300))
+    assert secrets.guess_cost(irregular) >= secrets.MIN_COST
+    assert [s[0] for s in secrets.spans_of("pwd = " + irregular)] == ["guess"]
+    assert secrets.spans_of("pwd = " + cheap[0]) == []
+
+
+def test_repeats_are_those_of_the_pattern():
+    import random
+
+    rng = random.Random(9)
+    for _ in range(150):
+        parts = ["".join(rng.choice("abc"[: rng.randrange(1, 4)]) for _ in range(rng.randrange(1, 12))) * rng.randrange(1, 5) for _ in range(rng.randrange(1, 7))]
+        value = "".join(parts)
+        want = [(i, m.end(), len(m[1])) for i in range(len(value)) if (m := secrets.REPEAT.match(value, i)) and m.end() - i >= 3]
+        assert secrets._repeats(value) == want, value
+
+
 def test_context(spark):
     rows = [(1, "db pwd = 'xK9vQ2mLp7Zr' ok", 0), (2, "pwd=changeme2020", 0), (3, "ratio: xK9vQ2mLp7Zr", 0), (4, None, 0), (None, "", 0), (5, "Authorization: Bearer xK9vQ2mLp7Zr" * 1, 0), (5, "Authorization: Bearer xK9vQ2mLp7Zr", 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans int")
