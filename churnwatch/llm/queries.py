@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnwatch.llm import ann, chat, decontaminate, langid, mixing, secrets, simhash, templates, toxicity, warc
+from churnwatch.llm import ann, chat, decontaminate, importance, langid, mixing, pieces, secrets, simhash, templates, toxicity, warc, whitening
 from churnwatch.llm.common import held_out, read
 from churnwatch.session import cut_lineage
 
@@ -78,6 +78,24 @@ def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), ["doc_id"]))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2(F.array_join(F.transform(F.arrays_zip("begins", "ends"), lambda s: F.concat_ws(":", s["begins"], s["ends"])), ","), 256).alias("spans_sha256"),
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc_transactions,
         op9_entropy_mix,
         op10_simhash_pigeonring,
+        op11_bit_sliced_whitening,
+        op12_piece_spans,
+        op13_importance_resampling,
     )
 }
 
@@ -164,4 +185,43 @@ SELECT d.doc_id, coalesce(c.n_dropped, 0) AS n_dropped, length(CASE WHEN c.n_dro
 FROM documents d LEFT JOIN cleaned c ON c.doc_id = d.doc_id
 """
 
-ORACLE: dict[str, str] = {"op3_template_tree": _TEMPLATES, "op5_simhash_windows": _DECONTAMINATION}
+# crc32 by its polynomial, byte by byte over the distinct n-grams; words by a plain split of each text
+_IMPORTANCE = r"""
+WITH RECURSIVE shifted(i, k, c) AS (
+  SELECT i, 0, i::UBIGINT FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM shifted WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS tab FROM shifted WHERE k = 8
+), doc AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+  SELECT regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), gram AS (
+  SELECT doc_id, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))])) AS f FROM doc
+), target_gram AS (
+  SELECT unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))])) AS f FROM item
+), hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::UBIGINT, [('0x' || substr(hex(encode(f)), 2 * i + 1, 2))::UBIGINT FOR i IN range(octet_length(encode(f)))]),
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255)::INT + 1])), 4294967295::UBIGINT) % 10000 AS bucket
+  FROM (SELECT f FROM gram UNION SELECT f FROM target_gram), crc
+), s AS (
+  SELECT bucket, count(*) AS s FROM gram JOIN hashed USING (f) GROUP BY bucket
+), t AS (
+  SELECT bucket, count(*) AS t FROM target_gram JOIN hashed USING (f) GROUP BY bucket
+), gain AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1) * ((SELECT count(*) FROM gram) + 10000))::DOUBLE
+                                 / ((coalesce(s, 0) + 1) * ((SELECT count(*) FROM target_gram) + 10000))::DOUBLE))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket)
+), weight AS (
+  SELECT doc_id, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM gram JOIN hashed USING (f) JOIN gain USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(len(w), 0) >= 20 AS able,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM doc d LEFT JOIN weight USING (doc_id)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY able) AS n FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 25 * n // 100 THEN place END AS rank FROM placed
+"""
+
+ORACLE: dict[str, str] = {"op3_template_tree": _TEMPLATES, "op5_simhash_windows": _DECONTAMINATION, "op13_importance_resampling": _IMPORTANCE}
