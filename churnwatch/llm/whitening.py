@@ -15,8 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnwatch.session import cut_lineage, ready_python
@@ -39,20 +38,36 @@ class Whitener:
     trace: float
 
 
-def integers(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """``id, x``: rows whose vector is not null and holds no null or non-finite entry, entries as integers."""
-    v = F.col(f"`{vector}`").cast("array<double>")
-    good = v.isNotNull() & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    as_long: Column = F.transform(v, lambda c: F.floor(c * SCALE) + F.lit(SHIFT).cast("long"))
-    return rows.where(good).select(F.col(f"`{key}`").alias("id"), as_long.alias("x"))
+def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
+    """``id, v``: the rows' keys and vectors; other number types than floats become doubles."""
+    kind = rows.schema[vector].dataType.simpleString()
+    v = F.col(f"`{vector}`")
+    return rows.select(F.col(f"`{key}`").alias("id"), (v if kind in ("array<float>", "array<double>") else v.cast("array<double>")).alias("v"))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[np.ndarray]:
-    """Matrices of up to a block of rows, from batches whose last column holds lists of ``dim``."""
+def _sound(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the lists that are not null and hold no null or non-finite entry, and their lengths."""
+    offsets = lists.offsets.to_numpy()
+    entries = lists.values
+    values = entries.to_numpy(zero_copy_only=False)  # nulls become NaN
+    wrong = np.concatenate(([0], np.cumsum(~np.isfinite(values))))
+    good = (wrong[offsets[1:]] == wrong[offsets[:-1]]) & np.asarray(lists.is_valid())
+    at = np.nonzero(good)[0]
+    return at, np.diff(offsets)[at]
+
+
+def _integers(lists: pa.ListArray, at: np.ndarray, dim: int) -> np.ndarray:
+    """The integers of the lists at ``at``, all of length ``dim``."""
+    scaled = np.floor(lists.take(pa.array(at)).flatten().to_numpy().astype(float).reshape(-1, dim) * SCALE)
+    if scaled.size and np.abs(scaled).max() >= 1 << 62:
+        raise ValueError("an entry does not fit a long after scaling")
+    return scaled.astype(np.int64) + SHIFT
+
+
+def _blocks(matrices: Iterator[np.ndarray], dim: int) -> Iterator[np.ndarray]:
+    """The same rows in matrices of up to a block of rows."""
     most, held, n = max(64, min(BLOCK_ROWS, BLOCK_BYTES // (8 * dim))), [], 0
-    for batch in batches:
-        lists = batch.column(batch.num_columns - 1)
-        m = lists.flatten().to_numpy().reshape(-1, dim)
+    for m in matrices:
         for at in range(0, len(m), most):
             held.append(m[at : at + most])
             n += len(held[-1])
@@ -63,6 +78,15 @@ def _blocks(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[np.ndarray]
         yield np.concatenate(held)
 
 
+def _usual(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Per batch of ``id, v``: ids and integers of the sound vectors of length ``dim``."""
+    for batch in batches:
+        at, dims = _sound(batch.column(1))
+        at = at[dims == dim]
+        if len(at):
+            yield batch.column(0).take(pa.array(at)), _integers(batch.column(1), at, dim)
+
+
 def bit_planes(y: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Planes x words: bit b of column i over all rows, dimension by dimension, low bits first. ``y`` is not negative."""
     n = len(y)
@@ -100,40 +124,47 @@ def cross_products(planes: np.ndarray, bits: np.ndarray) -> tuple[list[int], lis
     return sums, rows
 
 
-def fit(x: DataFrame) -> Whitener | None:
-    """Fits on all rows of ``id, x`` whose vector has the usual length; None where there is none.
+def limits(rows: DataFrame) -> DataFrame:
+    """``dim, n, low, high``: per task and length of vectors, how many there are and the limits of each dimension."""
 
-    Two passes: limits per dimension (a row per task and dimension), then the bit-sliced sums
+    def run(batches):
+        seen: dict[int, list] = {}
+        for batch in batches:
+            at, dims = _sound(batch.column(1))
+            for dim in np.unique(dims).tolist():
+                m = _integers(batch.column(1), at[dims == dim], dim) if dim else np.zeros((int((dims == 0).sum()), 0), np.int64)
+                n, low, high = seen.get(dim, (0, m[0], m[0]))
+                seen[dim] = [n + len(m), np.minimum(low, m.min(axis=0)), np.maximum(high, m.max(axis=0))]
+        many, longs = pa.list_(pa.int64()), [*zip(*seen.values())] or [[], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), *(pa.array(c, k) for c, k in zip(longs, (pa.int64(), many, many)))], names=["dim", "n", "low", "high"])
+
+    return rows.mapInArrow(run, "dim int, n long, low array<long>, high array<long>")
+
+
+def fit(rows: DataFrame) -> Whitener | None:
+    """Fits on all sound rows of ``id, v`` whose vector has the usual length; None where there is none.
+
+    Two passes: limits per dimension (a row per task and length), then the bit-sliced sums
     (a row per task and pair of dimensions). Both are added up by Spark; the driver gets
     one row per dimension and pair of dimensions, and solves the eigenproblem.
     """
-    lengths = x.groupBy(F.size("x").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).limit(1).collect()
+    ready_python(rows.sparkSession)
+    found = cut_lineage(limits(rows), "limits")
+    lengths = found.groupBy("dim").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), F.desc("dim")).limit(1).collect()
     if not lengths or lengths[0]["dim"] == 0:
         return None
-    dim = lengths[0]["dim"]
+    dim, n = lengths[0]
     if dim > MAX_DIM:
         raise ValueError(f"vectors of {dim} components; the covariance of at most {MAX_DIM} is solved")
-    ready_python(x.sparkSession)
-    usual = x.where(F.size("x") == dim).select("x")
-
-    def limits(batches):
-        n, low, high = 0, None, None
-        for m in _blocks(batches, dim):
-            n += len(m)
-            low = m.min(axis=0) if low is None else np.minimum(low, m.min(axis=0))
-            high = m.max(axis=0) if high is None else np.maximum(high, m.max(axis=0))
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim, dtype=np.int32)), pa.array(np.full(dim, n)), pa.array(low), pa.array(high)], names=["i", "n", "low", "high"])
-
-    found = usual.mapInArrow(limits, "i int, n long, low long, high long").groupBy("i").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).collect()
-    found.sort(key=lambda r: r["i"])
-    n, low, high = found[0]["n"], [r["low"] for r in found], [r["high"] for r in found]
+    each = found.where(F.col("dim") == dim).select(F.posexplode(F.arrays_zip("low", "high")).alias("i", "limit"))
+    ends = {r["i"]: r for r in each.groupBy("i").agg(F.min("limit.low").alias("low"), F.max("limit.high").alias("high")).collect()}
+    low, high = [ends[i]["low"] for i in range(dim)], [ends[i]["high"] for i in range(dim)]
     bits = np.array([(h - lo).bit_length() for lo, h in zip(low, high)], dtype=np.int64)
     wide = np.nonzero(bits)[0]  # a dimension that never changes has no plane and no covariance
 
     def scatter(batches):
         sums, pairs = np.zeros(len(wide), dtype=object), [np.zeros(len(wide) - i, dtype=object) for i in range(len(wide))]
-        for m in _blocks(batches, dim):
+        for m in _blocks((m for _, m in _usual(batches, dim)), dim):
             s, c = cross_products(bit_planes(m[:, wide] - np.array(low)[wide], bits[wide]), bits[wide])
             sums += np.array(s, dtype=object)
             for have, new in zip(pairs, c):
@@ -148,7 +179,7 @@ def fit(x: DataFrame) -> Whitener | None:
 
     shifted, cross = [0] * dim, [[0] * dim for _ in range(dim)]
     if len(wide):
-        for r in usual.mapInArrow(scatter, "i int, j int, s decimal(38,0)").groupBy("i", "j").agg(F.sum("s").alias("s")).collect():
+        for r in rows.mapInArrow(scatter, "i int, j int, s decimal(38,0)").groupBy("i", "j").agg(F.sum("s").alias("s")).collect():
             j = int(wide[r["j"]])
             if r["i"] < 0:
                 shifted[j] = int(r["s"])
@@ -162,13 +193,13 @@ def fit(x: DataFrame) -> Whitener | None:
     return Whitener(n, [s + n * lo for s, lo in zip(shifted, low)], low, high, vectors, values, trace)
 
 
-def project(x: DataFrame, model: Whitener, components: int = 8) -> DataFrame:
+def project(rows: DataFrame, model: Whitener, components: int = 8) -> DataFrame:
     """``id, deviation, whitened``: exact squared deviation (times n squared) and the first components, over sqrt(e).
 
     Components whose eigenvalue is zero but for rounding cannot be whitened and are left out, so
     ``whitened`` may be shorter than ``components``. Vectors of another length than the fit's take no part.
     """
-    ready_python(x.sparkSession)
+    ready_python(rows.sparkSession)
     dim, n = len(model.sums), model.n
     real = int((model.values > model.values.max(initial=0) * dim * 1e-14).sum())
     count = min(components, real)
@@ -179,18 +210,17 @@ def project(x: DataFrame, model: Whitener, components: int = 8) -> DataFrame:
     sums = np.array(model.sums, dtype=kind)
 
     def run(batches):
-        for batch in batches:
-            m = batch.column(1).flatten().to_numpy().reshape(-1, dim)
+        for ids, m in _usual(batches, dim):
             off = m.astype(kind) * n - sums
             squares = (off * off).sum(axis=1)
             white = (off / n).astype(float) @ axes
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([int(s) for s in squares], pa.decimal128(38, 0)), pa.array(list(white), pa.list_(pa.float64()))],
+                [ids, pa.array([int(s) for s in squares], pa.decimal128(38, 0)), pa.array(list(white), pa.list_(pa.float64()))],
                 names=["id", "deviation", "whitened"],
             )
 
-    key = x.schema["id"].dataType.simpleString()
-    return x.where(F.size("x") == dim).select("id", "x").mapInArrow(run, f"id {key}, deviation decimal(38,0), whitened array<double>")
+    key = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {key}, deviation decimal(38,0), whitened array<double>")
 
 
 def identity_error(projected: DataFrame) -> float:
@@ -202,7 +232,7 @@ def identity_error(projected: DataFrame) -> float:
 
     def products(batches):
         total, n = np.zeros((count, count)), 0
-        for m in _blocks(batches, count):
+        for m in _blocks((b.column(0).flatten().to_numpy().reshape(-1, count) for b in batches), count):
             off = m - np.array(means)
             total, n = total + off.T @ off, n + len(m)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(count * count, dtype=np.int32)), pa.array(total.ravel()), pa.array(np.full(count * count, n))], names=["k", "s", "n"])
@@ -223,7 +253,7 @@ def whiten(rows: DataFrame, components: int = 8, key: str = "vec_id", vector: st
     of the trace, ``identity_error`` one value for the whole fit.
     """
     spark = rows.sparkSession
-    x = integers(rows, key, vector)
+    x = usable(rows, key, vector)
     kind = rows.schema[key].dataType.simpleString()
     model = fit(x)
     names = f"`{key}` {kind}, component int, n long, deviation decimal(38,0), whitened double, explained double, identity_error double"
