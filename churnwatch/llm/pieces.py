@@ -2,21 +2,20 @@
 
 A text is normalised by the model's compiled character map: at every place the longest
 prefix in the map is replaced, and each character of the result keeps the byte offset of
-its source. Pieces are found in the normalised text by merging neighbours, best score
-first, and every piece's ends are projected back through the alignment.
+its source. The normalised text is cut into pieces by the library, whose own normalisation is
+switched off, and every piece's ends are projected back through the alignment.
 """
 
 from __future__ import annotations
 
-import re
 import struct
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from heapq import heapify, heappop, heappush
-from itertools import chain, groupby
+from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,17 +24,15 @@ from churnwatch.session import ready_python
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_LIMIT = 16 << 20  # bytes; the model is broadcast, so its size is checked
 SPACE = "▁"  # FIXED VALUE: stands for a space inside pieces
-# FIXED VALUES: kinds of pieces and of models in a model file
-NORMAL, UNKNOWN, CONTROL, BYTE, BPE = 1, 2, 3, 6, 2
-REMEMBERED, LONGEST_REMEMBERED = 1 << 17, 32  # runs whose pieces a worker remembers
+# FIXED VALUES: kinds of pieces in a model file
+UNKNOWN, CONTROL, USER, BYTE = 2, 3, 4, 6
 
 
 @dataclass(frozen=True)
 class Model:
-    """What a model file says: pieces by id, and how text is normalised."""
+    """What a model file says: pieces by id, how text is normalised, and the model that takes text as it is."""
 
     pieces: list[str]
-    scores: list[float]
     kinds: list[int]
     charsmap: bytes
     dummy_prefix: bool
@@ -43,10 +40,11 @@ class Model:
     escape: bool
     suffix: bool
     unknown: str
+    plain: bytes
 
 
 def load_model(path: str = MODEL) -> Model:
-    """Reads a model file where the driver runs. BPE models with byte fallback, without user-defined or unused pieces."""
+    """Reads a model file where the driver runs. Models need byte fallback and no user-defined pieces."""
     from sentencepiece import sentencepiece_model_pb2
 
     with open(path, "rb") as f:
@@ -56,13 +54,14 @@ def load_model(path: str = MODEL) -> Model:
     proto = sentencepiece_model_pb2.ModelProto()
     proto.ParseFromString(content)
     kinds = [p.type for p in proto.pieces]
-    if proto.trainer_spec.model_type != BPE or not proto.trainer_spec.byte_fallback or set(kinds) - {NORMAL, UNKNOWN, CONTROL, BYTE}:
-        raise ValueError("only BPE models with byte fallback and without user-defined or unused pieces are read")
+    if not proto.trainer_spec.byte_fallback or USER in kinds:
+        raise ValueError("only models with byte fallback and without user-defined pieces are read")
     rule = proto.normalizer_spec
-    return Model(
-        [p.piece for p in proto.pieces], [p.score for p in proto.pieces], kinds, rule.precompiled_charsmap, rule.add_dummy_prefix,
-        rule.remove_extra_whitespaces, rule.escape_whitespaces, proto.trainer_spec.treat_whitespace_as_suffix, proto.trainer_spec.unk_surface,
-    )
+    said = rule.precompiled_charsmap, rule.add_dummy_prefix, rule.remove_extra_whitespaces, rule.escape_whitespaces
+    rule.name, rule.precompiled_charsmap = "identity", b""
+    rule.add_dummy_prefix = rule.remove_extra_whitespaces = rule.escape_whitespaces = False
+    suffix, unknown = proto.trainer_spec.treat_whitespace_as_suffix, proto.trainer_spec.unk_surface
+    return Model([p.piece for p in proto.pieces], kinds, *said, suffix, unknown, proto.SerializeToString())
 
 
 class CharacterMap:
@@ -107,41 +106,27 @@ def _offsets(text: str) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000))))
 
 
-class _Remembered(dict):
-    """Pieces by run of characters; long runs, and any once it is full, are computed each time."""
+def _lead(byte: int) -> range:
+    """The bytes that follow the first byte of a character."""
+    return range((byte >= 0xC0) + (byte >= 0xE0) + (byte >= 0xF0))
 
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
 
-    def __missing__(self, run: str):
-        value = self.make(run)
-        if len(run) <= LONGEST_REMEMBERED and len(self) < REMEMBERED:
-            self[run] = value
-        return value
-
-
-@dataclass
 class Codec:
     """Encodes and decodes by a model; built once per Python worker."""
 
-    model: Model
-    by_run: dict = field(init=False)
-
-    def __post_init__(self):
-        m = self.model
+    def __init__(self, model: Model):
+        self.model = m = model
         self.map = CharacterMap(m.charsmap)
-        self.ids = {p: i for i, (p, k) in enumerate(zip(m.pieces, m.kinds)) if k == NORMAL}
-        self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(m.pieces, m.kinds)) if k == BYTE}
-        # no piece goes on with a space after another character, so merges stay inside runs that end before a space
-        whole = any(a != SPACE and b == SPACE for p in self.ids for a, b in zip(p, p[1:]))
-        self.runs = re.compile("(?s).+" if whole else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.by_run = _Remembered(self._merge)
-        self.last_mark = max((i for i, k in enumerate(m.kinds) if k in (UNKNOWN, CONTROL)), default=-1)
+        self.cut = sentencepiece.SentencePieceProcessor(model_proto=m.plain).encode
+        byte = {i: int(p[3:5], 16) for i, (p, k) in enumerate(zip(m.pieces, m.kinds)) if k == BYTE}
         self.surfaces = [
-            {BYTE: bytes([int(p[3:5], 16)]) if k == BYTE else b"", CONTROL: b"", UNKNOWN: m.unknown.encode()}.get(k, p.replace(SPACE, " ").encode())
-            for p, k in zip(m.pieces, m.kinds)
+            bytes([byte[i]]) if k == BYTE else b"" if k == CONTROL else (m.unknown if k == UNKNOWN else p.replace(SPACE, " ")).encode()
+            for i, (p, k) in enumerate(zip(m.pieces, m.kinds))
         ]
+        self.last_mark = max((i for i, k in enumerate(m.kinds) if k in (UNKNOWN, CONTROL)), default=-1)
+        # characters that a piece takes; of a character's byte pieces the last takes it, and the first says which that is
+        self.taken = np.array([0 if k == BYTE else len(p) for p, k in zip(m.pieces, m.kinds)], dtype=np.int64)
+        self.to_last = np.array([-1 if i not in byte or 0x80 <= byte[i] < 0xC0 else len(_lead(byte[i])) for i in range(len(m.pieces))])
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text, and for each of its characters and its end the byte offset of the source."""
@@ -171,8 +156,7 @@ class Codec:
         while at < len(raw):
             found = self.map.longest(raw, at) if raw[at] in self.map.first else None
             if found is None:
-                lead = raw[at]
-                size = 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
+                size = 1 + len(_lead(raw[at]))
                 found = size, raw[at : at + size]
             new = found[1].decode()
             out.append(new)
@@ -192,46 +176,13 @@ class Codec:
             end, kept = int(sources[kept[last]]), kept[:last]
         return "".join(map(chr, chars[kept].tolist())), sources[kept], end
 
-    def _merge(self, run: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
-        """Ids of a run's pieces and the characters each takes; of a character's byte pieces the last one takes it."""
-        ids, scores = self.ids, self.model.scores
-        part, after, before = list(run), [*range(1, len(run)), -1], list(range(-1, len(run) - 1))
-
-        def pair(left: int, right: int):
-            at = ids.get(part[left] + part[right])
-            return None if at is None else (-scores[at], left, right, len(part[left]) + len(part[right]))
-
-        queue = [p for k in range(len(run) - 1) if (p := pair(k, k + 1))]
-        heapify(queue)
-        while queue:
-            _, left, right, size = heappop(queue)
-            if not part[left] or not part[right] or len(part[left]) + len(part[right]) != size:
-                continue
-            part[left], part[right] = part[left] + part[right], ""
-            after[left] = after[right]
-            if after[left] >= 0:
-                before[after[left]] = left
-                if new := pair(left, after[left]):
-                    heappush(queue, new)
-            if before[left] >= 0 and (new := pair(before[left], left)):
-                heappush(queue, new)
-        out, taken = [], []
-        for p in filter(None, part):
-            if p in ids:
-                out.append(ids[p])
-                taken.append(len(p))
-            else:
-                raw = p.encode()
-                out += [self.bytes[b] for b in raw]
-                taken += [0] * (len(raw) - 1) + [1]
-        return tuple(out), tuple(taken)
-
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the first and one past the last byte of the original text that each piece stands for."""
         normal, sources = self.normalise(text)
-        found = list(map(self.by_run.__getitem__, self.runs.findall(normal)))
-        ids = np.fromiter(chain.from_iterable(f[0] for f in found), np.int32)
-        taken = np.fromiter(chain.from_iterable(f[1] for f in found), np.int64)
+        ids = np.array(self.cut(normal), dtype=np.int32)
+        taken, step = self.taken[ids], self.to_last[ids]
+        at = np.nonzero(step >= 0)[0]
+        taken[at + step[at]] = 1
         ends = np.cumsum(taken)
         return ids, sources[ends - taken].astype(np.int32), sources[ends].astype(np.int32)
 
@@ -242,9 +193,9 @@ class Codec:
         m = self.model
         parts = [self.surfaces[i] for i in ids]
         for k, i in enumerate(ids):  # the space of the prefix; more of them where the model allows no extra spaces
-            if not (m.dummy_prefix or m.remove_extra) or m.kinds[i] not in (NORMAL, CONTROL):
+            if not (m.dummy_prefix or m.remove_extra) or m.kinds[i] in (UNKNOWN, BYTE):
                 break
-            if m.kinds[i] == NORMAL:
+            if m.kinds[i] != CONTROL:
                 parts[k] = parts[k].removeprefix(b" ")
                 if parts[k] or not m.remove_extra:
                     break
@@ -282,28 +233,32 @@ def _with_columns(rows: DataFrame, new: str) -> str:
     return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), new])
 
 
-def encode(rows: DataFrame, keep: list[str], text: str = "text", model: str = MODEL) -> DataFrame:
+def encode(rows: DataFrame, keep: list[str], text: str = "text", model: str = MODEL, decoded: str | None = None) -> DataFrame:
     """The ``keep`` columns plus ``ids``, ``begins`` and ``ends``: the pieces of each whole text and their byte spans.
 
     Ids are those the library gives without begin or end ids. A span is the original text's bytes that a piece
     came from; of the byte pieces of one character, and of the pieces that one source character turned into,
-    the last holds its span and those before are empty at its start. Null and empty texts have no pieces. Rows are
-    kept as they are, repeated ones too; kept columns named like a new one are replaced; an empty table gives no rows.
+    the last holds its span and those before are empty at its start. With ``decoded``, a column of that name holds the
+    text that the ids decode to. Null and empty texts have no pieces. Rows are kept as they are, repeated ones
+    too; kept columns named like a new one are replaced; an empty table gives no rows.
     """
     spark = rows.sparkSession
     ready_python(spark)
     shared = spark.sparkContext.broadcast(load_model(model))
-    new = ["ids", "begins", "ends"]
-    kept = rows.select(F.col(f"`{text}`").cast("string").alias("ids"), *[F.col(f"`{c}`") for c in keep if c.lower() not in new])
+    new = ["ids", "begins", "ends", *filter(None, [decoded])]
+    kept = rows.select(F.col(f"`{text}`").cast("string").alias("ids"), *[F.col(f"`{c}`") for c in keep if c.lower() not in map(str.lower, new)])
 
     def run(batches):
         codec = _codec(shared)
         for batch in batches:
             found = [codec.encode(t or "") for t in batch.column(0).to_pylist()]
             arrays = [pa.array([f[k] for f in found], pa.list_(pa.int32())) for k in range(3)]
+            if decoded:
+                arrays.append(pa.array([codec.decode(f[0].tolist()) for f in found], pa.string()))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *arrays], names=[*batch.schema.names[1:], *new])
 
-    return kept.mapInArrow(run, _with_columns(kept.drop("ids"), "ids array<int>, begins array<int>, ends array<int>"))
+    kinds = ", ".join(["ids array<int>, begins array<int>, ends array<int>", *(f"`{n}` string" for n in new[3:])])
+    return kept.mapInArrow(run, _with_columns(kept.drop("ids"), kinds))
 
 
 def decode(rows: DataFrame, ids: str = "ids", name: str = "decoded", model: str = MODEL) -> DataFrame:

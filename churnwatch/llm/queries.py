@@ -83,11 +83,11 @@ def op11_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), ["doc_id"]))
+    found = pieces.encode(read(spark, sf_dir, "documents"), ["doc_id"], decoded="decoded")
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.sha2(F.array_join(F.transform(F.arrays_zip("begins", "ends"), lambda s: F.concat_ws(":", s["begins"], s["ends"])), ","), 256).alias("spans_sha256"),
+        F.xxhash64("begins", "ends").alias("spans_xxh64"),
     )
 
 

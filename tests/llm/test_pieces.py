@@ -29,7 +29,7 @@ def test_pieces_spans_and_text_are_those_of_the_library(parts):
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.lists(st.one_of(st.integers(0, 258), st.integers(0, 31_999), st.sampled_from([CODEC.ids["▁"], CODEC.ids["▁▁"], CODEC.ids["▁the"], 0, 1, 2])), max_size=8))
+@given(st.lists(st.one_of(st.integers(0, 258), st.integers(0, 31_999), st.sampled_from([*map(CODEC.model.pieces.index, ("▁", "▁▁", "▁the")), 0, 1, 2])), max_size=8))
 def test_any_ids_decode_as_in_the_library(ids):
     assert CODEC.decode(ids) == LIBRARY.decode(ids)
 
@@ -70,12 +70,15 @@ def test_query_matches_the_library(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: r for r in queries.op12_piece_spans(spark, SF01).collect()}
     assert len(got) == len(docs)
+    spans = {}
     for d in docs:
-        ids = LIBRARY.encode(d.text or "")
-        spans = ",".join(f"{p.begin}:{p.end}" for p in LIBRARY.encode(d.text or "", return_type="proto").pieces)
-        want = len(ids), *(hashlib.sha256(s.encode()).hexdigest() for s in (",".join(map(str, ids)), LIBRARY.decode(ids), spans))
+        ids, found = LIBRARY.encode(d.text or ""), LIBRARY.encode(d.text or "", return_type="proto").pieces
+        spans[d.doc_id] = [p.begin for p in found], [p.end for p in found]
+        want = len(ids), *(hashlib.sha256(s.encode()).hexdigest() for s in (",".join(map(str, ids)), LIBRARY.decode(ids)))
         r = got[d.doc_id]
-        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256, r.spans_sha256) == want
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == want
+    hashed = spark.createDataFrame([(k, *v) for k, v in spans.items()], "doc_id long, b array<int>, e array<int>").selectExpr("doc_id", "xxhash64(b, e) as h")
+    assert {r.doc_id: r.h for r in hashed.collect()} == {k: r.spans_xxh64 for k, r in got.items()}
 
 
 def test_columns_and_empty_rows(spark):
@@ -84,5 +87,7 @@ def test_columns_and_empty_rows(spark):
     assert made.columns == ["doc_id", "text", "decoded", "ids", "begins", "ends"]
     found = sorted(((r.doc_id or 0, r.ids, r.decoded) for r in pieces.decode(made).collect()), key=str)
     assert found == sorted([(1, [], ""), (1, [], ""), (0, [], ""), (2, LIBRARY.encode(" a  b"), " a  b")], key=str)
+    both = pieces.encode(df, ["doc_id", "Decoded"], decoded="decoded")
+    assert both.columns == ["doc_id", "ids", "begins", "ends", "decoded"] and sorted(r.decoded for r in both.collect()) == ["", "", "", " a  b"]
     assert pieces.encode(df.limit(0), ["doc_id"]).count() == 0
     assert pieces.decode(spark.createDataFrame([(None,)], "ids array<int>")).first().decoded == ""
