@@ -85,8 +85,9 @@ def feature_totals(num_counts: DataFrame) -> dict[str, dict]:
     return {r["feature"]: r.asDict() for r in rows}
 
 
-def with_cumulative(num_counts: DataFrame) -> DataFrame:
-    """Adds cum_ref / cum_cur (inclusive running counts by value) and the feature totals.
+def with_cumulative(num_counts: DataFrame, keep_part: bool = False) -> DataFrame:
+    """Adds cum_ref / cum_cur (inclusive running counts by value) and the feature totals;
+    with ``keep_part`` also the number of the value range that each row lies in.
 
     Exact for any partitioning. Range bounds are sampled, so the dealt rows are written
     before anything reads their partition number. A value shared by many rows is already
@@ -112,6 +113,7 @@ def with_cumulative(num_counts: DataFrame) -> DataFrame:
         "feature", "value", "n_ref", "n_cur", "n_ref_total", "n_cur_total",
         (F.col("off_ref") + F.sum("n_ref").over(running)).alias("cum_ref"),
         (F.col("off_cur") + F.sum("n_cur").over(running)).alias("cum_cur"),
+        *([F.col("part")] if keep_part else []),
     )
 
 

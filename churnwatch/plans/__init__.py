@@ -8,6 +8,7 @@ from churnwatch.plans import (  # noqa: F401
     feature_plans,
     jobs,
     ml_plans,
+    monitor_plans,
     profile_plans,
     quality_plans,
     series_plans,

@@ -122,3 +122,53 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat((status / 100).cast("int").cast("string"), F.lit("xx")).alias("status_class"),
         (F.col("value") / F.lit(1000.0)).alias("latency"),
     )
+
+
+# ---------------------------------------------------------------------------
+# events as a monitored log with known faults
+# ---------------------------------------------------------------------------
+MONITOR_FROM = "2024-01-08 00:00:00"  # rows before are the reference
+MONITOR_NUMERIC = ["amount", "k"]
+MONITOR_CATEGORICAL = ["event_type", "segment"]
+# fault: first and last instant (excluded) in which it holds
+FAULTS = {
+    "amounts_up": ("2024-01-10", "2024-01-13"),
+    "slow": ("2024-01-12", "2024-01-13"),
+    "renamed": ("2024-01-15", "2024-01-17"),
+    "amounts_missing": ("2024-01-18", "2024-01-20"),
+    "out_of_range": ("2024-01-20", "2024-01-21"),
+    "no_segment": ("2024-01-22", "2024-01-24"),
+    "silent": ("2024-01-24 06:00:00", "2024-01-25 12:00:00"),
+    "failing": ("2024-01-27", "2024-01-27 12:00:00"),
+}
+
+
+def _during(fault: str) -> Column:
+    first, last = FAULTS[fault]
+    ts = F.col("ts")
+    return (ts >= F.lit(first).cast("timestamp_ntz")) & (ts < F.lit(last).cast("timestamp_ntz"))
+
+
+def monitored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events -> (event_id, ts, is_ref, amount, k, event_type, segment, endpoint, status_class, latency).
+
+    The rows after ``MONITOR_FROM`` hold the faults of ``FAULTS``: amounts rise or go missing, a category is renamed, a
+    number leaves its range, a column is empty, the log is silent, requests are slow or all fail.
+    """
+    e = table(spark, sf_dir, "events").where(~_during("silent"))
+    m = F.create_map(*[x for k, v in ENDPOINT_OF_EVENT.items() for x in (F.lit(k), F.lit(v))])
+    k = F.get_json_object("props", "$.k").cast("double")
+    status = F.when(_during("failing") | (F.col("event_id") % 20 == 0), "5xx").when(F.col("event_id") % 20 == 1, "4xx").otherwise("2xx")
+    amount = F.when(_during("amounts_missing") & (F.col("event_id") % 4 == 0), F.lit(None)).when(_during("amounts_up"), F.col("value") * 1.6).otherwise(F.col("value"))
+    return e.select(
+        "event_id",
+        "ts",
+        (F.col("ts") < F.lit(MONITOR_FROM).cast("timestamp_ntz")).alias("is_ref"),
+        amount.alias("amount"),
+        F.when(_during("out_of_range"), k + 1000).otherwise(k).alias("k"),
+        F.when(_during("renamed") & (F.col("event_type") == "click"), "tap").otherwise(F.col("event_type")).alias("event_type"),
+        F.when(~_during("no_segment"), F.concat(F.lit("s"), (F.col("user_id") % 5).cast("string"))).alias("segment"),
+        F.element_at(m, F.col("event_type")).alias("endpoint"),
+        status.alias("status_class"),
+        (F.col("value") / F.when(_during("slow"), 50.0).otherwise(1000.0)).alias("latency"),
+    )
