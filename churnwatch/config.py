@@ -174,6 +174,47 @@ MIN_NEW_ROWS = 100
 CURRENT_WINDOW_SIZE = 5000
 
 
+# ---------------------------------------------------------------------------
+# FIXED VALUES: limit series and alert rules
+# ---------------------------------------------------------------------------
+LIMIT_SERIES = {
+    "drift_threshold_ks": KS_CRITICAL,
+    "drift_threshold_js": JS_CRITICAL,
+    "drift_threshold_psi": PSI_CRITICAL,
+    "drift_threshold_feature_fraction": DRIFT_FRACTION_CRITICAL,
+    "dq_threshold_missing_ratio": MISSING_RATIO_THRESHOLD,
+    "dq_threshold_schema_violation_fraction": SCHEMA_VIOLATION_THRESHOLD,
+    "dq_threshold_unseen_category_ratio": UNSEEN_CATEGORY_THRESHOLD,
+    "dq_threshold_out_of_range_ratio": OUT_OF_RANGE_THRESHOLD,
+    "dq_threshold_freshness_lag_seconds": FRESHNESS_LAG_THRESHOLD_SECONDS,
+    "model_threshold_low_confidence_fraction": LOW_CONFIDENCE_FRACTION_THRESHOLD,
+    "model_threshold_positive_rate_min": POSITIVE_RATE_MIN_THRESHOLD,
+    "model_threshold_positive_rate_max": POSITIVE_RATE_MAX_THRESHOLD,
+}
+# name, metric, series (None: any), comparison, limit (a number or a limit series), seconds it must hold, severity, type
+ALERT_RULES = [
+    ("DriftCriticalKS", "drift_numeric_ks_max", None, ">", "drift_threshold_ks", 600, "critical", "drift"),
+    ("DriftCriticalJS", "drift_categorical_js_max", None, ">", "drift_threshold_js", 600, "critical", "drift"),
+    ("DriftCriticalPSI", "drift_numeric_psi_max", None, ">", "drift_threshold_psi", 600, "critical", "drift"),
+    ("DriftHighFeatureFraction", "drift_features_alert_fraction", None, ">", "drift_threshold_feature_fraction", 600, "critical", "drift"),
+    ("DriftRetrainingRecommended", "drift_retrain_recommended", None, "==", 1.0, 600, "warning", "retraining"),
+    ("APITargetDown", "target_down", "job=api", "==", 1.0, 120, "critical", "service"),
+    ("APIHigh5xxErrorRate", "api_error_ratio", None, ">", 0.05, 300, "critical", "service"),
+    ("APIHighLatencyP95", "api_latency_p95", None, ">", 1.0, 600, "warning", "service"),
+    ("APILowRequestRate", "api_request_rate", None, "<", 0.01, 1800, "warning", "service"),
+    ("DriftExporterTargetDown", "target_down", "job=drift_exporter", "==", 1.0, 120, "critical", "drift-exporter"),
+    ("DriftExporterCollectionFailure", "drift_exporter_up", None, "==", 0.0, 300, "critical", "drift-exporter"),
+    ("DataQualityMissingValuesHigh", "dq_missing_ratio", None, ">", "dq_threshold_missing_ratio", 600, "warning", "data-quality"),
+    ("DataQualitySchemaViolation", "dq_schema_violation_fraction", None, ">", "dq_threshold_schema_violation_fraction", 120, "critical", "data-quality"),
+    ("DataQualityUnseenCategoryHigh", "dq_unseen_category_ratio", None, ">", "dq_threshold_unseen_category_ratio", 600, "warning", "data-quality"),
+    ("DataQualityOutOfRangeHigh", "dq_out_of_range_ratio", None, ">", "dq_threshold_out_of_range_ratio", 600, "warning", "data-quality"),
+    ("DataFreshnessLagHigh", "dq_freshness_lag_seconds", None, ">", "dq_threshold_freshness_lag_seconds", 900, "warning", "data-quality"),
+    ("ModelLowConfidenceHigh", "model_low_confidence_fraction", None, ">", "model_threshold_low_confidence_fraction", 900, "warning", "model-quality"),
+    ("ModelPositiveRateTooLow", "model_prediction_positive_rate", None, "<", "model_threshold_positive_rate_min", 1200, "warning", "model-quality"),
+    ("ModelPositiveRateTooHigh", "model_prediction_positive_rate", None, ">", "model_threshold_positive_rate_max", 1200, "warning", "model-quality"),
+]
+
+
 @dataclass(frozen=True)
 class DriftLimits:
     numeric: float = NUMERIC_DRIFT_THRESHOLD

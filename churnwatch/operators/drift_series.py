@@ -249,7 +249,8 @@ def as_samples(df: DataFrame, metrics: dict[str, str]) -> DataFrame:
 
 def drift_gauge_series(report: DataFrame, limits: C.DriftLimits = C.DriftLimits()) -> DataFrame:
     """The exported drift gauges of every window, as samples."""
-    return as_samples(D.drift_summary(report, limits, ("ts",)), DRIFT_METRICS)
+    windows = cut_lineage(report, "window-reports")  # windows x features rows, rolled up twice
+    return as_samples(D.drift_summary(windows, limits, ("ts",)), DRIFT_METRICS)
 
 
 def quality_gauge_series(quality: DataFrame) -> DataFrame:

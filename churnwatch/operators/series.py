@@ -54,6 +54,18 @@ def counter_samples(log: DataFrame, metric: str, labels: list[str], interval: st
     )
 
 
+def bucket_samples(log: DataFrame, metric: str, column: str, bounds: list[float], labels: list[str], interval: str = "1 hour") -> DataFrame:
+    """A histogram's bucket counters: per label set and upper bound ``le`` the rows so far, sampled at the end of each interval with activity."""
+    from churnwatch.operators.quality import cumulative_histogram
+
+    per = cumulative_histogram(log.withColumn("bucket", interval_start(F.col("ts"), interval)), column, bounds, ["bucket", *labels])
+    w = Window.partitionBy(*labels, "le").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    return per.select(
+        (F.col("bucket") + F.expr(f"INTERVAL {interval}")).alias("ts"), F.lit(metric).alias("metric"), series_key([*labels, "le"]).alias("series"),
+        *labels, "le", F.sum("cumulative").over(w).cast("double").alias("value"),
+    )
+
+
 def gauge_samples(log: DataFrame, metric: str, value: Column, labels: list[str] | None = None,
                   interval: str = "1 hour") -> DataFrame:
     """A gauge per label set: the aggregate ``value`` over each interval, stamped at its end."""
@@ -82,20 +94,37 @@ def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+CHUNK_SECONDS = 7 * 24 * 3600  # length of the time chunks that a series is cut into
+
+
+def in_chunk() -> Window:
+    return Window.partitionBy("metric", "series", "_chunk").orderBy("_t")
+
+
+def chunked(samples: DataFrame, range_seconds: int, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """Samples by chunk of time: each in its own chunk, and again (``_own`` false) in those whose windows reach back to it.
+
+    So a chunk holds every sample in (t - range, t] of each of its own samples, whatever the chunk's length, and a
+    series is as many tasks as it has chunks. With chunks of many ranges few samples are held twice."""
+    t, chunk = micros("ts"), chunk_seconds * 1_000_000
+    place = lambda c: F.floor(c / F.lit(chunk))
+    s = samples.withColumn("_t", t).withColumn("_chunk", F.explode(F.sequence(place(t), place(t + F.lit(range_seconds * 1_000_000 - 1)))))
+    return s.withColumn("_own", F.col("_chunk") == place(F.col("_t")))
+
+
 def trailing(range_seconds: int) -> Window:
-    """Samples of a series in (t - range, t], t in whole microseconds."""
-    return Window.partitionBy("metric", "series").orderBy("_t").rangeBetween(1 - range_seconds * 1_000_000, 0)
+    """Samples of a chunked series in (t - range, t], t in whole microseconds."""
+    return in_chunk().rangeBetween(1 - range_seconds * 1_000_000, 0)
 
 
-def increase(samples: DataFrame, range_seconds: int, rate_per_second: bool = False) -> DataFrame:
+def increase(samples: DataFrame, range_seconds: int, rate_per_second: bool = False, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Reset-aware growth of each counter over the trailing range (samples in (t - range, t]).
 
     A drop between two samples is a reset: the later value counts as the growth. No
     extrapolation to the range edges; at least two samples are needed. With
     ``rate_per_second`` the growth is divided by the seconds the samples cover."""
-    ordered = Window.partitionBy("metric", "series").orderBy("_t")
-    s = samples.withColumn("_t", micros("ts"))
-    prev = F.lag("value").over(ordered)
+    s = chunked(samples, range_seconds, chunk_seconds)
+    prev = F.lag("value").over(in_chunk())
     s = s.withColumn("_d", F.when(prev.isNull(), F.lit(0.0)).when(F.col("value") < prev, F.col("value"))
                      .otherwise(F.col("value") - prev))
     w = trailing(range_seconds)
@@ -103,22 +132,22 @@ def increase(samples: DataFrame, range_seconds: int, rate_per_second: bool = Fal
     n = F.count("*").over(w)
     covered = (F.col("_t") - F.min("_t").over(w)) / F.lit(1e6)
     out = s.select(*[c for c in samples.columns if c != "value"], inc.alias("increase"), n.alias("_n"),
-                   covered.alias("covered"))
-    out = out.where(F.col("_n") >= 2)
+                   covered.alias("covered"), "_own")
+    out = out.where(F.col("_own") & (F.col("_n") >= 2)).drop("_own")
     if rate_per_second:
         out = out.withColumn("rate", F.col("increase") / F.col("covered"))
     return out.drop("_n")
 
 
-def changes(samples: DataFrame, range_seconds: int) -> DataFrame:
+def changes(samples: DataFrame, range_seconds: int, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Number of value changes between consecutive samples inside the trailing range."""
-    ordered = Window.partitionBy("metric", "series").orderBy("_t")
-    s = samples.withColumn("_t", micros("ts"))
-    prev = F.lag("value").over(ordered)
+    s = chunked(samples, range_seconds, chunk_seconds)
+    prev = F.lag("value").over(in_chunk())
     s = s.withColumn("_c", F.when(prev.isNotNull() & (F.col("value") != prev), 1).otherwise(0))
     w = trailing(range_seconds)
-    return s.select(*[c for c in samples.columns if c != "value"],
-                    (F.sum("_c").over(w) - F.first("_c").over(w)).alias("changes"))
+    out = s.select(*[c for c in samples.columns if c != "value"],
+                   (F.sum("_c").over(w) - F.first("_c").over(w)).alias("changes"), "_own")
+    return out.where("_own").drop("_own")
 
 
 def histogram_quantile(buckets: DataFrame, q: float, group: list[str], le: str = "le", count: str = "cumulative") -> DataFrame:
@@ -188,22 +217,54 @@ def match_limits(samples: DataFrame, limits: DataFrame, on: list[str], limit: st
     return left.join(keyed, same, "left").drop("since", "until", *[f"_{c}" for c in on])
 
 
-def alert_for(evaluated: DataFrame, hold_seconds: int | None, stale_seconds: int) -> DataFrame:
+def evaluate_limit_rules(samples: DataFrame, rules: DataFrame, limits: DataFrame) -> DataFrame:
+    """Rules whose limit is a series of its own: each sample against the limit that holds at its time.
+
+    rules columns: alertname, metric, series (NULL: any), op, threshold, limit_metric, hold_seconds, stale_seconds, severity, type; one of
+    ``threshold`` and ``limit_metric`` is given. limits columns: ts, metric, value. Where the limit series has no
+    value yet, the rule is not active. The rules table has one row per rule, so its broadcast is bounded."""
+    r = F.broadcast(rules.withColumnRenamed("series", "_of"))
+    j = samples.join(r, "metric").where(F.col("_of").isNull() | (F.col("_of") == F.col("series"))).drop("_of")
+    j = match_limits(j, limits.select("ts", F.col("metric").alias("limit_metric"), "value"), ["limit_metric"])
+    v, t = F.col("value"), F.coalesce(F.col("threshold"), F.col("limit"))
+    cond = F.when(F.col("op") == ">", v > t).when(F.col("op") == "<", v < t).when(F.col("op") == "==", v == t)
+    return j.select("alertname", "severity", "type", "ts", "series", "value", t.alias("limit"), "hold_seconds", "stale_seconds", F.coalesce(cond, F.lit(False)).alias("active"))
+
+
+def alert_for(evaluated: DataFrame, hold_seconds: int | None, stale_seconds: int | None, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Firing samples: the condition held without a break (false sample or a gap longer
-    than ``stale_seconds``) for at least ``hold_seconds`` (None: per-row ``hold_seconds``
-    column from the rules table). Gaps-and-islands per (rule, severity, series)."""
+    than ``stale_seconds``) for at least ``hold_seconds`` (None: the per-row column of that
+    name from the rules table). Gaps-and-islands per (rule, severity, series).
+
+    A series is worked on in chunks of time. What a chunk needs of those before it is one row per chunk: whether the
+    condition held at its last sample, when that was, and since when; the running window over them holds as many rows as there are chunks."""
     key = ["alertname", "severity", "series"]
-    w = Window.partitionBy(*key).orderBy("_t")
-    s = evaluated.withColumn("_t", epoch("ts"))
-    gap = F.col("_t") - F.lag("_t").over(w)
-    breaks = (~F.col("active")) | F.lag("active").over(w).isNull() | (~F.lag("active").over(w)) | (gap > stale_seconds)
-    s = s.withColumn("_brk", breaks.cast("int"))
-    s = s.withColumn("_run", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    rw = Window.partitionBy(*key, "_run")
-    s = s.withColumn("_start", F.min("_t").over(rw)).withColumn("active_since", F.min("ts").over(rw))
     hold = F.col("hold_seconds") if hold_seconds is None else F.lit(hold_seconds)
-    fired = s.where(F.col("active") & (F.col("_t") - F.col("_start") >= hold))
-    return fired.select("alertname", "severity", "type", "ts", "series", "value", "active_since")
+    stale = F.col("stale_seconds") if stale_seconds is None else F.lit(stale_seconds)
+    micro = micros("ts")
+    s = evaluated.withColumn("_t", epoch("ts")).withColumn("_chunk", F.floor(micro / F.lit(chunk_seconds * 1_000_000))).withColumn("_stale", stale.cast("double"))
+    w = Window.partitionBy(*key, "_chunk").orderBy("_t")
+    before = F.lag(F.struct(F.col("_t").alias("t"), "active")).over(w)
+    s = s.withColumn("_before", before)
+    # where a run starts; the first sample of a chunk is told by the chunks before
+    s = s.withColumn("_starts", F.when(F.col("_before").isNotNull(), ~F.col("active") | ~F.col("_before.active") | (F.col("_t") - F.col("_before.t") > F.col("_stale"))))
+    at = F.struct("_t", "active", "_stale", "ts")
+    ends = s.groupBy(*key, "_chunk").agg(F.min(at).alias("first"), F.max(at).alias("last"), F.max(F.when(F.col("_starts"), F.struct("_t", "ts"))).alias("inner"))
+    row = Window.partitionBy(*key).orderBy("_chunk")
+    past = F.lag("last").over(row)
+    cut = past.isNull() | ~F.col("first.active") | ~past["active"] | (F.col("first._t") - past["_t"] > F.col("first._stale"))
+    ends = ends.withColumn("_cut", F.coalesce(cut, F.lit(True)))
+    since = F.coalesce(F.col("inner"), F.when(F.col("_cut"), F.struct(F.col("first._t").alias("_t"), F.col("first.ts").alias("ts"))))
+    carried = F.last(since, ignorenulls=True).over(row.rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select(*[F.col(c).alias(f"_{c}") for c in key], F.col("_chunk").alias("_at"), "_cut", carried.alias("_carried"))
+    same = F.col("_chunk") == F.col("_at")
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    s = s.join(ends, same)
+    own = F.max(F.when(F.coalesce(F.col("_starts"), F.col("_cut")), F.struct("_t", "ts"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    s = s.withColumn("_since", F.coalesce(own, F.col("_carried")))
+    fired = s.where(F.col("active") & (F.col("_t") - F.col("_since._t") >= hold))
+    return fired.select("alertname", "severity", "type", "ts", "series", "value", F.col("_since.ts").alias("active_since"))
 
 
 def alert_inhibit(firing: DataFrame) -> DataFrame:

@@ -112,7 +112,7 @@ d AS (SELECT *, epoch_us(ts) / 1e6 AS t,
     AS dd FROM cnt WINDOW w AS (PARTITION BY metric, series ORDER BY ts)),
 inc AS (SELECT ts, metric, series, endpoint, method, status_class,
   sum(dd) OVER r - first_value(dd) OVER r AS increase, count(*) OVER r AS n, t - min(t) OVER r AS covered
-  FROM d WINDOW r AS (PARTITION BY metric, series ORDER BY t RANGE BETWEEN {RANGE_S - 1} PRECEDING AND CURRENT ROW)),
+  FROM (SELECT *, epoch_us(ts) AS us FROM d) WINDOW r AS (PARTITION BY metric, series ORDER BY us RANGE BETWEEN {RANGE_S * 1_000_000 - 1} PRECEDING AND CURRENT ROW)),
 rt AS (SELECT *, increase / covered AS rate FROM inc WHERE n >= 2)"""
 
 
@@ -172,10 +172,10 @@ def q_rate(spark, sf_dir):
 
 
 @register("changes", f"""WITH {gauges_sql()},
-c0 AS (SELECT ts, epoch_us(ts) / 1e6 AS t, CASE WHEN lag(value) OVER (ORDER BY ts) IS NOT NULL
+c0 AS (SELECT ts, epoch_us(ts) AS t, CASE WHEN lag(value) OVER (ORDER BY ts) IS NOT NULL
     AND value <> lag(value) OVER (ORDER BY ts) THEN 1 ELSE 0 END AS c FROM g_pos)
 SELECT ts, sum(c) OVER r - first_value(c) OVER r AS changes FROM c0
-WINDOW r AS (ORDER BY t RANGE BETWEEN {CHANGES_RANGE_S - 1} PRECEDING AND CURRENT ROW)""")
+WINDOW r AS (ORDER BY t RANGE BETWEEN {CHANGES_RANGE_S * 1_000_000 - 1} PRECEDING AND CURRENT ROW)""")
 def q_changes(spark, sf_dir):
     g = gauges(spark, sf_dir).where(F.col("metric") == "model_prediction_positive_rate")
     return SE.changes(g, CHANGES_RANGE_S).select("ts", F.col("changes").cast("bigint").alias("changes"))
@@ -313,3 +313,55 @@ FROM p GROUP BY endpoint""")
 def q_prediction_counters(spark, sf_dir):
     r = req(spark, sf_dir).join(S.scored_events(spark, sf_dir).select("event_id", "score"), "event_id")
     return SE.prediction_counters(r, "score")
+
+
+# ---------------------------------------------------------------------------
+# irregular samples: every event is a sample of its endpoint's series, at its own microsecond
+# ---------------------------------------------------------------------------
+IRREGULAR_RANGE_S = 5 * 3600
+IRREGULAR_CHUNK_S = 2 * 3600  # shorter than the range
+
+
+def irregular(spark, sf_dir):
+    e = S.table(spark, sf_dir, "events")
+    # values fall and rise, so about half of the steps are counter resets; a coarse one, so that values repeat
+    value = F.floor(F.col("value") / 20).cast("double")
+    return e.select("ts", F.lit("raw").alias("metric"), F.col("event_type").alias("series"), "event_id", value.alias("value"))
+
+
+IRREGULAR_SQL = f"""raw AS (SELECT ts, epoch_us(ts) AS t, event_type AS series, event_id, floor(value / 20) AS value FROM events),
+d AS (SELECT *, lag(value) OVER (PARTITION BY series ORDER BY t) AS before FROM raw),
+e AS (SELECT *, CASE WHEN before IS NULL THEN 0.0 WHEN value < before THEN value ELSE value - before END AS dd,
+  CASE WHEN before IS NOT NULL AND value <> before THEN 1 ELSE 0 END AS c FROM d),
+r AS (SELECT ts, series, event_id, sum(dd) OVER w - first_value(dd) OVER w AS increase, count(*) OVER w AS n, (t - min(t) OVER w) / 1e6 AS covered,
+  sum(c) OVER w - first_value(c) OVER w AS changes
+  FROM e WINDOW w AS (PARTITION BY series ORDER BY t RANGE BETWEEN {IRREGULAR_RANGE_S * 1_000_000 - 1} PRECEDING AND CURRENT ROW))"""
+
+
+@register("rate_irregular", f"WITH {IRREGULAR_SQL} SELECT event_id, series, increase, round(covered, 6) AS covered, round(increase / covered, 9) AS rate FROM r WHERE n >= 2")
+def q_rate_irregular(spark, sf_dir):
+    r = SE.increase(irregular(spark, sf_dir), IRREGULAR_RANGE_S, True, IRREGULAR_CHUNK_S)
+    return r.select("event_id", "series", "increase", F.round("covered", 6).alias("covered"), rnd(F.col("rate")).alias("rate"))
+
+
+@register("changes_irregular", f"WITH {IRREGULAR_SQL} SELECT event_id, series, changes FROM r")
+def q_changes_irregular(spark, sf_dir):
+    c = SE.changes(irregular(spark, sf_dir), IRREGULAR_RANGE_S, IRREGULAR_CHUNK_S)
+    return c.select("event_id", "series", F.col("changes").cast("bigint").alias("changes"))
+
+
+IRREGULAR_HOLD_S, IRREGULAR_STALE_S = 5400, 7200
+
+
+@register("alert_for_irregular", f"""WITH ev AS (SELECT ts, epoch_us(ts) AS t, event_type AS series, event_id, value, value > 20 AS active FROM events),
+b AS (SELECT *, CASE WHEN NOT active OR lag(active) OVER w IS NULL OR NOT lag(active) OVER w OR t - lag(t) OVER w > {IRREGULAR_STALE_S * 1_000_000} THEN 1 ELSE 0 END AS brk
+  FROM ev WINDOW w AS (PARTITION BY series ORDER BY t)),
+g AS (SELECT *, sum(brk) OVER (PARTITION BY series ORDER BY t ROWS UNBOUNDED PRECEDING) AS run FROM b),
+f AS (SELECT *, min(t) OVER (PARTITION BY series, run) AS since, min(ts) OVER (PARTITION BY series, run) AS active_since FROM g)
+SELECT ts, series, value, active_since FROM f WHERE active AND t - since >= {IRREGULAR_HOLD_S * 1_000_000}""")
+def q_alert_for_irregular(spark, sf_dir):
+    """Runs that go on over many chunks of time (an hour each) and end by a false sample or by a gap."""
+    e = S.table(spark, sf_dir, "events")
+    ev = e.select(F.lit("ValueHigh").alias("alertname"), F.lit("warning").alias("severity"), F.lit("test").alias("type"), "ts", F.col("event_type").alias("series"), "value",
+                  (F.col("value") > 20).alias("active"))
+    return SE.alert_for(ev, IRREGULAR_HOLD_S, IRREGULAR_STALE_S, 3600).select("ts", "series", "value", "active_since")

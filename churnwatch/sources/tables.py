@@ -136,7 +136,7 @@ FAULTS = {
     "slow": ("2024-01-12", "2024-01-13"),
     "renamed": ("2024-01-15", "2024-01-17"),
     "amounts_missing": ("2024-01-18", "2024-01-20"),
-    "out_of_range": ("2024-01-20", "2024-01-21"),
+    "out_of_range": ("2024-01-16", "2024-01-21"),
     "no_segment": ("2024-01-22", "2024-01-24"),
     "silent": ("2024-01-24 06:00:00", "2024-01-25 12:00:00"),
     "failing": ("2024-01-27", "2024-01-27 12:00:00"),
@@ -159,7 +159,7 @@ def monitored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.create_map(*[x for k, v in ENDPOINT_OF_EVENT.items() for x in (F.lit(k), F.lit(v))])
     k = F.get_json_object("props", "$.k").cast("double")
     status = F.when(_during("failing") | (F.col("event_id") % 20 == 0), "5xx").when(F.col("event_id") % 20 == 1, "4xx").otherwise("2xx")
-    amount = F.when(_during("amounts_missing") & (F.col("event_id") % 4 == 0), F.lit(None)).when(_during("amounts_up"), F.col("value") * 1.6).otherwise(F.col("value"))
+    amount = F.when(_during("amounts_missing") & (F.col("event_id") % 4 == 0), F.lit(None)).when(_during("amounts_up"), F.col("value") * 4.0).otherwise(F.col("value"))
     return e.select(
         "event_id",
         "ts",
