@@ -109,7 +109,7 @@ def evaluate_models(df: DataFrame, score: str = "score", label: str = "label", g
 
 def threshold_sweep(df: DataFrame, score: str = "score", label: str = "label", group: str | None = "model",
                     thresholds: list[float] = C.SWEEP_THRESHOLDS) -> DataFrame:
-    """(group, threshold, accuracy, precision, recall, f1_score, predicted_positive_rate).
+    """(group, threshold, accuracy, precision, recall, f1_score, predicted_positive_rate); rows without a score take no part.
 
     One conditional aggregate per group computes all thresholds at once, then ``stack``
     turns it long: no cross join with the data."""
@@ -119,7 +119,7 @@ def threshold_sweep(df: DataFrame, score: str = "score", label: str = "label", g
         pred = F.col(score) >= F.lit(t)
         aggs += [F.count_if(pred & y).alias(f"tp{i}"), F.count_if(pred & ~y).alias(f"fp{i}"),
                  F.count_if(~pred & y).alias(f"fn{i}"), F.count_if(~pred & ~y).alias(f"tn{i}")]
-    wide = df.groupBy(_group(group).alias("group")).agg(*aggs)
+    wide = _scored(df, score).groupBy(_group(group).alias("group")).agg(*aggs)
     args = []
     for i, t in enumerate(thresholds):
         args += [F.lit(float(t)), F.col(f"tp{i}"), F.col(f"fp{i}"), F.col(f"fn{i}"), F.col(f"tn{i}")]

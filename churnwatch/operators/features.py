@@ -163,7 +163,8 @@ class FittedPreprocessor:
         ohe = [f"{c}_{v}" for c in self.onehot for v in self.onehot_categories[c]]
         return num + self.binary + ohe
 
-    def expressions(self) -> list[Column]:
+    def number_expressions(self) -> list[Column]:
+        """Filled (and, for the linear kind, scaled) numeric columns."""
         out = []
         if self.kind == "tree":
             for c in self.numeric:
@@ -173,6 +174,10 @@ class FittedPreprocessor:
                 out.append(((_fill(c, self.medians[c]) - F.lit(self.means[c])) / F.lit(self.scales[c])).alias(c))
             for c in self.unscaled:
                 out.append(_fill(c, self.modes[c]).alias(c))
+        return out
+
+    def expressions(self) -> list[Column]:
+        out = self.number_expressions()
         for c in self.binary:
             cats = self.ordinal_categories[c]
             filled = F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c]))
@@ -254,7 +259,19 @@ def distinct_values(df: DataFrame, columns: list[str], fill: dict) -> dict[str,
 
 
 def fit_preprocessor(train: DataFrame, kind: str = "tree") -> FittedPreprocessor:
-    """Fit on train rows: a role pass, a median pass, a mode pass, a category pass, and
+    """``fit_numbers`` and the category lists: for wide tables, whose columns are the categories. Where there may be many,
+    ``categories.fit_encoder`` keeps them as a table."""
+    pre = fit_numbers(train, kind)
+    fill = {c: pre.modes[c] for c in pre.binary}
+    fill.update({c: C.MISSING_TOKEN for c in pre.onehot})
+    cats = distinct_values(train, pre.binary + pre.onehot, fill)
+    pre.ordinal_categories = {c: cats[c] for c in pre.binary}
+    pre.onehot_categories = {c: cats[c] for c in pre.onehot}
+    return pre
+
+
+def fit_numbers(train: DataFrame, kind: str = "tree") -> FittedPreprocessor:
+    """Fit on train rows, without categories: a role pass, a median pass, a mode pass, and
     for the linear kind one mean/std pass over the median-filled columns."""
     numeric, _, binary, onehot = split_roles(train)
     if not numeric and not (binary or onehot):
@@ -272,9 +289,6 @@ def fit_preprocessor(train: DataFrame, kind: str = "tree") -> FittedPreprocessor
             means[c] = row[f"m_{c}"]
             s = row[f"s_{c}"]
             scales[c] = 1.0 if (s is None or s == 0.0) else s
-    fill = {c: modes[c] for c in binary}
-    fill.update({c: C.MISSING_TOKEN for c in onehot})
-    cats = distinct_values(train, binary + onehot, fill)
     return FittedPreprocessor(
         kind=kind,
         numeric=numeric,
@@ -286,8 +300,6 @@ def fit_preprocessor(train: DataFrame, kind: str = "tree") -> FittedPreprocessor
         modes=modes,
         means=means,
         scales=scales,
-        ordinal_categories={c: cats[c] for c in binary},
-        onehot_categories={c: cats[c] for c in onehot},
     )
 
 

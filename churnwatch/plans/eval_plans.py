@@ -115,6 +115,13 @@ def q_threshold_sweep(spark, sf_dir):
     return _r(EV.threshold_sweep(scored(spark, sf_dir)), ["group", "threshold"])
 
 
+@register("threshold_sweep_gaps", f"""WITH {SCORED_SQL}, gaps AS (SELECT * FROM scored WHERE event_id % 17 <> 0 AND event_id % 19 <> 0), {_sweep_sql('gaps')} SELECT * FROM sw""")
+def q_threshold_sweep_gaps(spark, sf_dir):
+    """Every 17th score is NaN and every 19th NULL: those rows take no part."""
+    gaps = F.when(F.col("event_id") % 17 == 0, F.lit(float("nan"))).when(F.col("event_id") % 19 != 0, F.col("score"))
+    return _r(EV.threshold_sweep(scored(spark, sf_dir).withColumn("score", gaps)), ["group", "threshold"])
+
+
 @register("threshold_choice", f"""WITH {SCORED_SQL}, {_sweep_sql('scored')},
 br AS (SELECT avg(CAST(label AS DOUBLE)) AS b FROM scored),
 cand AS (SELECT sw.*, abs(predicted_positive_rate - (SELECT b FROM br)) AS ppr_penalty FROM sw

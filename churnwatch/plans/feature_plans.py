@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnwatch import config as C
 from churnwatch.functions.scalar import is_yes, rnd
+from churnwatch.operators import categories as CG
 from churnwatch.operators import clean as CL
 from churnwatch.operators import features as FE
 from churnwatch.plans import clean_plans as CP
@@ -45,13 +47,14 @@ def fitted(spark: SparkSession, sf_dir: str, kind: str):
     return ft, FE.fit_preprocessor(train, kind)
 
 
-def long_encoded(ft: DataFrame, pre: FE.FittedPreprocessor) -> DataFrame:
-    wide = pre.transform(ft, keep=[KEY, C.TARGET_COLUMN, C.SPLIT_COLUMN])
-    cols = pre.output_columns()
-    args = [x for c in cols for x in (F.lit(c), F.col(f"`{c}`"))]
-    return wide.select(
-        KEY, C.TARGET_COLUMN, C.SPLIT_COLUMN, F.stack(F.lit(len(cols)), *args).alias("column", "value")
-    ).select(KEY, "column", rnd(F.col("value")).alias("value"), C.TARGET_COLUMN, C.SPLIT_COLUMN)
+def encoder(spark: SparkSession, sf_dir: str, kind: str):
+    ft = features(spark, sf_dir)
+    return ft, CG.fit_encoder(ft.where(F.col(C.SPLIT_COLUMN) == "train").drop(KEY), kind)
+
+
+def long_encoded(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    ft, enc = encoder(spark, sf_dir, kind)
+    return enc.long(ft, [KEY, C.TARGET_COLUMN, C.SPLIT_COLUMN]).select(KEY, "column", rnd(F.col("value")).alias("value"), C.TARGET_COLUMN, C.SPLIT_COLUMN)
 
 
 # ---------------------------------------------------------------------------
@@ -328,37 +331,32 @@ def q_scale_standard(spark, sf_dir):
     f"SELECT '{c}' AS \"column\", v AS category, CAST(row_number() OVER (ORDER BY v) - 1 AS DOUBLE) AS code "
     f"FROM (SELECT DISTINCT coalesce({c}, {_mode_sql('train', c)}) AS v FROM train)" for c in BINARY)))
 def q_encode_ordinal(spark, sf_dir):
-    ft, pre = fitted(spark, sf_dir, "tree")
-    rows = [(c, v, float(i)) for c, cats in pre.ordinal_categories.items() for i, v in enumerate(cats)]
-    return ft.sparkSession.createDataFrame(rows, "column string, category string, code double")
+    _, enc = encoder(spark, sf_dir, "tree")
+    return enc.categories.where(F.col("column").isin(enc.pre.binary)).select("column", "category", "code")
 
 
 @register("encode_onehot", _w(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", v AS category, '{c}_' || v AS output_column "
     f"FROM (SELECT DISTINCT coalesce({c}, 'missing') AS v FROM train)" for c in ONEHOT)))
 def q_encode_onehot(spark, sf_dir):
-    ft, pre = fitted(spark, sf_dir, "tree")
-    rows = [(c, v, f"{c}_{v}") for c, cats in pre.onehot_categories.items() for v in cats]
-    return ft.sparkSession.createDataFrame(rows, "column string, category string, output_column string")
+    _, enc = encoder(spark, sf_dir, "tree")
+    return enc.categories.where(F.col("column").isin(enc.pre.onehot)).select("column", "category", F.concat_ws("_", "column", "category").alias("output_column"))
 
 
 @register("tree_table", tree_long_sql("tree"))
 def q_tree_table(spark, sf_dir):
-    ft, pre = fitted(spark, sf_dir, "tree")
-    return long_encoded(ft, pre)
+    return long_encoded(spark, sf_dir, "tree")
 
 
 @register("linear_table", tree_long_sql("linear"))
 def q_linear_table(spark, sf_dir):
-    ft, pre = fitted(spark, sf_dir, "linear")
-    return long_encoded(ft, pre)
+    return long_encoded(spark, sf_dir, "linear")
 
 
 @register("model_ready_output", f"""SELECT data_split, "column", count(*) AS rows, round(sum(value), 2) AS total
 FROM ({tree_long_sql('tree')}) GROUP BY data_split, "column\"""")
 def q_model_ready(spark, sf_dir):
-    ft, pre = fitted(spark, sf_dir, "tree")
-    lg = long_encoded(ft, pre)
+    lg = long_encoded(spark, sf_dir, "tree")
     return lg.groupBy(C.SPLIT_COLUMN, "column").agg(F.count("*").alias("rows"), F.round(F.sum("value"), 2).alias("total"))
 
 
@@ -366,3 +364,15 @@ def _param_table(ft: DataFrame, rows: list[tuple], name: str, typ: str = "double
     """Fitted parameters (computed over the whole train table) as a frame, one row per column."""
     out = ft.sparkSession.createDataFrame(rows, f"column string, {name} {typ}")
     return out.select("column", rnd(F.col(name)).alias(name)) if typ == "double" else out
+
+
+@register("encode_vectors", f"""WITH l AS ({tree_long_sql('tree')})
+SELECT row_key, round(sum(value), 6) AS total, count(*) FILTER (WHERE value <> 0) AS non_zero, count(*) AS width FROM l GROUP BY row_key""")
+def q_encode_vectors(spark, sf_dir):
+    """The encoded rows as sparse vectors, read back: sum, places that are not zero, and width."""
+    ft, enc = encoder(spark, sf_dir, "tree")
+    v = enc.vectors(ft, [KEY])
+    dense = vector_to_array("features")
+    return v.groupBy(KEY).agg(  # rows of one key together
+        F.round(F.sum(F.aggregate(dense, F.lit(0.0), lambda a, x: a + x)), 6).alias("total"),
+        F.sum(F.size(F.filter(dense, lambda x: x != 0))).alias("non_zero"), F.sum(F.size(dense)).alias("width"))

@@ -20,10 +20,12 @@ from churnwatch.operators import features as FE
 from churnwatch.operators import model as M
 from churnwatch.plans import contract_plans as CP
 from churnwatch.plans import eval_plans as EP
+from churnwatch.plans import feature_plans as FP
 from churnwatch.plans.registry import register
-from churnwatch.session import cut_lineage, path_exists
+from churnwatch.session import cut_lineage
 from churnwatch.sources import churn as CH
 from churnwatch.sources import files
+from churnwatch.sources.batch_log import BatchLog
 from churnwatch.sources import tables as S
 from churnwatch.streaming.log_stream import work_dir
 
@@ -69,8 +71,8 @@ def preprocess_job(spark: SparkSession, raw: DataFrame, out: str) -> dict:
     -> tree and linear tables (partitioned by split) + bundle. Returns the output paths."""
     cleaned, _ = CL.clean_table(raw, strict_schema=True, require_target=True)
     split = FE.stratified_assign(cut_lineage(cleaned, "cleaned"))
-    high_charge = FE.high_charge_threshold(split.where(F.col(C.SPLIT_COLUMN) == "train"))
-    ft, dropped = FE.feature_table(split)
+    high_charge = FE.high_charge_threshold(split)  # one value: the tables use it, the bundle keeps it, scoring reads it there
+    ft, dropped = FE.feature_table(split, high_charge)
     ft = cut_lineage(ft, "features")  # read by every fit pass and both transforms
     train = ft.where(F.col(C.SPLIT_COLUMN) == "train")
     paths = {}
@@ -91,22 +93,29 @@ def drift_input_job(reference_raw: DataFrame, current_raw: DataFrame, out: str)
     return {"reference": f"{out}/reference", "current": f"{out}/current"}
 
 
+SCORE_LOGS = ("raw", "clean", "encoded", "rejected")
+
+
 def score_log_job(spark: SparkSession, batch: DataFrame, log_path: str, model, pre: FE.FittedPreprocessor,
-                  high_charge: float, now: str) -> dict:
+                  high_charge: float, now: str, batch_id: str | None = None) -> dict:
     """Contract and batch rules -> reject table; accepted rows whose id is new -> clean ->
-    features -> encode -> score -> append the raw, clean and encoded logs (one write
-    each) stamped with the UTC time ``now``."""
+    features -> encode -> score -> the raw, clean and encoded logs, stamped with the UTC time ``now``.
+
+    The four tables are one ``BatchLog`` batch (``batch_id``, by default the digits of ``now``): a run that fails between two of them
+    leaves nothing to be read, the id check does not see its rows, and running it again gives each row once. A batch that
+    is committed is not scored again."""
+    paths = {k: f"{log_path}/{k}" for k in SCORE_LOGS}
+    log = BatchLog(spark, log_path)
+    batch_id = batch_id or "".join(ch for ch in now if ch.isdigit())
+    if log.is_committed(batch_id):
+        return paths
     batch = cut_lineage(batch, "batch")  # the arriving batch, read by every rule below
-    raw_log = f"{log_path}/raw"
-    if path_exists(spark, raw_log):
-        logged = spark.read.parquet(raw_log).select(C.ID_COLUMN)
-    else:  # first batch: nothing logged yet
-        logged = batch.select(C.ID_COLUMN).limit(0)
+    logged = log.read("raw")
+    logged = logged.select(C.ID_COLUMN) if logged is not None else batch.select(C.ID_COLUMN).limit(0)
     checked = CT.contract_check(batch)
     contract_bad = checked.where(~F.col("accepted")).select("row_no", F.explode("violations").alias("rule"))
     batch_bad = CT.batch_rules(batch, logged).select("row_no", "rule")
     rejected = cut_lineage(contract_bad.unionByName(batch_bad), "rejected")
-    sink_append(rejected, f"{log_path}/rejected")
     accepted = cut_lineage(batch.join(rejected.select("row_no").distinct(), "row_no", "left_anti"), "accepted")
     # the id column carries the row number through cleaning, so padded ids find their raw row again
     numbered = accepted.withColumn(C.ID_COLUMN, F.col("row_no").cast("string")).drop("row_no")
@@ -118,10 +127,13 @@ def score_log_job(spark: SparkSession, batch: DataFrame, log_path: str, model, p
     ts = F.lit(now).cast("timestamp")
     probs = scored.select(F.col("_key").alias(C.ID_COLUMN), F.col("churn_probability").alias("prediction"))
     raw = accepted.join(probs.withColumnRenamed(C.ID_COLUMN, "_key"), F.col("row_no").cast("string") == F.col("_key"))
-    sink_append(raw.drop("_key").withColumn("timestamp", ts), raw_log)
-    sink_append(cleaned.join(probs, C.ID_COLUMN).drop(C.ID_COLUMN).withColumn("timestamp", ts), f"{log_path}/clean")
-    sink_append(scored.drop("_key").withColumn("timestamp", ts), f"{log_path}/encoded")
-    return {k: f"{log_path}/{k}" for k in ("raw", "clean", "encoded", "rejected")}
+    log.append(batch_id, {
+        "raw": raw.drop("_key").withColumn("timestamp", ts),
+        "clean": cleaned.join(probs, C.ID_COLUMN).drop(C.ID_COLUMN).withColumn("timestamp", ts),
+        "encoded": scored.drop("_key").withColumn("timestamp", ts),
+        "rejected": rejected,
+    })
+    return paths
 
 
 def monitoring_report(spark: SparkSession, reference: DataFrame | None, log: DataFrame | None,
@@ -162,23 +174,27 @@ def monitoring_report(spark: SparkSession, reference: DataFrame | None, log: Dat
 # ---------------------------------------------------------------------------
 # registered queries (rows-only: side-effecting jobs, checked by tests)
 # ---------------------------------------------------------------------------
-@register("preprocess_job")
+@register("preprocess_job", FP._w("""SELECT t."table", data_split, count(*) AS rows, CAST(sum(high_monthly_charge) AS BIGINT) AS high_charges
+FROM fe CROSS JOIN (VALUES ('tree'), ('linear')) t("table") GROUP BY ALL"""))
 def q_preprocess_job(spark, sf_dir):
     out = work_dir(spark, "preprocess")
     paths = preprocess_job(spark, CH.churn_view(spark, sf_dir), out)
-    parts = [spark.read.parquet(p).groupBy(C.SPLIT_COLUMN).agg(F.count("*").alias("rows"))
-             .select(F.lit(k).alias("table"), C.SPLIT_COLUMN, "rows") for k, p in paths.items()]
+    parts = [spark.read.parquet(p).groupBy(C.SPLIT_COLUMN).agg(F.count("*").alias("rows"), F.sum("high_monthly_charge").cast("bigint").alias("high_charges"))
+             .select(F.lit(k).alias("table"), C.SPLIT_COLUMN, "rows", "high_charges") for k, p in paths.items()]
     return parts[0].unionByName(parts[1])
 
 
-@register("sink_fit_bundle")
+@register("sink_fit_bundle", FP._w(
+    f"SELECT 'high_charge' AS parameter, round({FP._quantile_sql('splitted', 'MonthlyCharges', C.HIGH_CHARGE_QUANTILE)}, 9) AS value UNION ALL "
+    + " UNION ALL ".join(f"SELECT 'median {c}', round({FP._median_sql('train', c)}, 9)" for c in FP.NUMERIC)))
 def q_sink_fit_bundle(spark, sf_dir):
+    """The numbers that the written bundle holds: the charge threshold and the medians."""
     out = work_dir(spark, "preprocess")
     preprocess_job(spark, CH.churn_view(spark, sf_dir), out)
     b = spark.read.text(f"{out}/bundle_tree")
-    return b.select(F.get_json_object("value", "$.kind").alias("kind"),
-                    F.get_json_object("value", "$.numeric").alias("numeric"),
-                    F.get_json_object("value", "$.dropped_columns").alias("dropped_columns"))
+    medians = b.select(F.explode(F.from_json(F.get_json_object("value", "$.medians"), "map<string,double>")).alias("c", "value"))
+    charge = b.select(F.lit("high_charge").alias("parameter"), F.round(F.get_json_object("value", "$.high_charge").cast("double"), 9).alias("value"))
+    return charge.unionByName(medians.select(F.concat(F.lit("median "), "c").alias("parameter"), F.round("value", 9).alias("value")))
 
 
 @register("sink_table")
@@ -228,21 +244,26 @@ def q_drift_input_job(spark, sf_dir):
         spark.read.parquet(paths["current"]).select(F.lit("current").alias("side"))).groupBy("side").count()
 
 
-@register("score_log_job")
+@register("score_log_job", f"""WITH {CP.batch_ctes()}, b AS (SELECT *, {CP._nid('customerID')} AS nid FROM batch),
+bad AS (SELECT row_no FROM ({CP.rules_sql()}) UNION ALL SELECT row_no FROM b WHERE nid IS NULL
+  UNION ALL SELECT row_no FROM (SELECT row_no, count(*) OVER (PARTITION BY nid) AS k FROM b WHERE nid IS NOT NULL) WHERE k > 1
+  UNION ALL SELECT row_no FROM batch WHERE {CP._n('TotalCharges')} < {CP._n('MonthlyCharges')}),
+good AS (SELECT * FROM batch ANTI JOIN bad USING (row_no))
+SELECT l.log, count(*) AS count FROM good CROSS JOIN (VALUES ('raw'), ('clean'), ('encoded')) l(log) GROUP BY l.log
+UNION ALL SELECT 'rejected', count(*) FROM bad""")
 def q_score_log_job(spark, sf_dir):
     from churnwatch.plans import ml_plans as ML
 
     wide, pre, cols, model = ML._fit(spark, sf_dir, "gbt")
-    cleaned, _ = CL.clean_table(CH.churn_view(spark, sf_dir), strict_schema=True, require_target=True)
-    hc = FE.high_charge_threshold(cleaned)
-    batch = CP.batch(spark, sf_dir)
+    hc = ML.fitted_charge(spark, sf_dir)
     log_path = work_dir(spark, "score-log")
-    paths = score_log_job(spark, batch, log_path, model, pre, hc, "2024-02-01 00:00:00")
-    return (spark.read.parquet(paths["raw"]).select(F.lit("raw").alias("log"))
-            .unionByName(spark.read.parquet(paths["clean"]).select(F.lit("clean").alias("log")))
-            .unionByName(spark.read.parquet(paths["encoded"]).select(F.lit("encoded").alias("log")))
-            .unionByName(spark.read.parquet(paths["rejected"]).select(F.lit("rejected").alias("log")))
-            .groupBy("log").count())
+    score_log_job(spark, CP.batch(spark, sf_dir), log_path, model, pre, hc, "2024-02-01 00:00:00")
+    log = BatchLog(spark, log_path)
+    out = None
+    for name in SCORE_LOGS:
+        one = log.read(name).select(F.lit(name).alias("log"))
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("log").count()
 
 
 @register("monitoring_report", f"""WITH {EP._period_sql()}, {EP._deg_sql()},

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from churnwatch import config as C
 from churnwatch.functions.scalar import rnd
-from churnwatch.operators import clean as CL
 from churnwatch.operators import evaluate as EV
 from churnwatch.operators import features as FE
 from churnwatch.operators import model as M
@@ -24,6 +23,11 @@ def model_ready(spark, sf_dir, kind="tree"):
     return wide, pre
 
 
+def fitted_charge(spark, sf_dir):
+    """The charge threshold that the model's features were made with: that of the whole cleaned table."""
+    return FE.high_charge_threshold(FP.cleaned(spark, sf_dir))
+
+
 def _fit(spark, sf_dir, kind="gbt"):
     wide, pre = model_ready(spark, sf_dir, "tree" if kind != "logreg" else "linear")
     cols = pre.output_columns()
@@ -55,8 +59,7 @@ def q_score_batch(spark, sf_dir):
     """Raw rows (without the label and one optional column) through the whole scoring chain."""
     _, pre, _, model = _fit(spark, sf_dir, "gbt")
     view = CH.churn_view(spark, sf_dir)
-    cleaned, _ = CL.clean_table(view, strict_schema=True, require_target=True)
-    return M.score_raw(model, pre, view.drop("Churn", "StreamingTV"), FE.high_charge_threshold(cleaned))
+    return M.score_raw(model, pre, view.drop("Churn", "StreamingTV"), fitted_charge(spark, sf_dir))
 
 
 @register("train_logreg")

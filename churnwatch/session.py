@@ -50,8 +50,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        configured = tempfile.mkdtemp(prefix="churnwatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        # a static setting, so the folder is kept on the context
+        configured = getattr(spark.sparkContext, "_churnwatch_work", None) or tempfile.mkdtemp(prefix="churnwatch-ckpt-")
+        spark.sparkContext._churnwatch_work = configured
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
     return configured
