@@ -151,6 +151,8 @@ MAX_ALLOWED_DEGRADATION = 0.05
 GATE_RATIO = 0.95
 GATE_DEFAULTS = {"f1_score": 0.60, "roc_auc": 0.65}
 SELECTED_THRESHOLD = 0.6
+BOOSTING_ITERATIONS = 666
+BOOSTING_TOLERANCE = 0.01  # share of the validation loss that further trees must save
 SWEEP_THRESHOLDS = [round(0.10 + 0.05 * i, 2) for i in range(17)]  # 0.10 ... 0.90
 THRESHOLD_RANGE = (0.30, 0.70)
 # threshold score = 0.35 recall + 0.30 precision + 0.20 f1 - 0.40 |ppr - base rate|

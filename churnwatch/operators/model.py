@@ -6,13 +6,17 @@ column computed by one aggregate; probabilities come out of ``vector_to_array``.
 
 from __future__ import annotations
 
+import itertools
+import json
+import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnwatch import config as C
@@ -54,6 +58,52 @@ def train_classifier(train: DataFrame, feature_cols: list[str], kind: str = "gbt
     return Pipeline(stages=[assembler, classifier(kind, label, weighted, **params)]).fit(data)
 
 
+VALIDATION = "is_validation"
+
+
+def train_boosted(train: DataFrame, feature_cols: list[str], validation: Column, label: str = C.TARGET_COLUMN,
+                  max_iter: int = C.BOOSTING_ITERATIONS, tolerance: float = C.BOOSTING_TOLERANCE, **params) -> PipelineModel:
+    """Boosted trees up to the configured number; the data choose how many.
+
+    Rows for which ``validation`` is true are not fitted: after each tree their loss is taken, and fitting ends when it
+    no longer falls by the tolerance (a share of the loss). The model keeps the trees up to the lowest loss;
+    ``boosting_iterations`` tells how many. NULL counts as a row to fit."""
+    held = train.withColumn(VALIDATION, F.coalesce(validation, F.lit(False)))
+    return train_classifier(held, feature_cols, "gbt", label, maxIter=max_iter, validationIndicatorCol=VALIDATION, validationTol=tolerance, **params)
+
+
+def boosting_iterations(model: PipelineModel) -> int:
+    return model.stages[-1].getNumTrees
+
+
+# ---------------------------------------------------------------------------
+# saved models
+# ---------------------------------------------------------------------------
+def save_model(model: PipelineModel, path: str, parameters: dict) -> None:
+    """The fitted pipeline (``<path>/model``) beside its parameters (``<path>/parameters``: one JSON row).
+
+    ``parameters`` has ``feature_columns``, in the order of the fit, and whatever scoring needs (threshold, charge limit)."""
+    if "feature_columns" not in parameters:
+        raise ValueError("parameters must name the feature_columns of the fit")
+    spark = SparkSession.active()
+    model.write().overwrite().save(f"{path}/model")
+    text = json.dumps(parameters, sort_keys=True)
+    spark.createDataFrame([(text,)], "parameters string").coalesce(1).write.mode("overwrite").text(f"{path}/parameters")
+
+
+def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
+    """A saved pipeline and its parameters."""
+    parameters = json.loads(spark.read.text(f"{path}/parameters").first()[0])
+    return PipelineModel.load(f"{path}/model"), parameters
+
+
+def score_saved(spark: SparkSession, path: str, encoded: DataFrame, keep: list[str]) -> DataFrame:
+    """Encoded rows scored by a saved model, after a strict check of the columns: one that is missing or no number is an error, not a fill."""
+    model, parameters = load_model(spark, path)
+    aligned = CL.align_columns_strict(encoded, parameters["feature_columns"], keep)
+    return score_batch(model, aligned, parameters.get("threshold", C.SELECTED_THRESHOLD), parameters.get("model_name", "gbt"), keep)
+
+
 def score_batch(model: PipelineModel, df: DataFrame, threshold: float = C.SELECTED_THRESHOLD,
                 model_name: str = "gbt", keep: list[str] | None = None) -> DataFrame:
     """Input columns (or ``keep``) + churn_probability, prediction, threshold, model_name."""
@@ -96,25 +146,47 @@ def importance_rollup(model: PipelineModel, feature_cols: list[str], onehot_sour
     return sorted(agg.items(), key=lambda kv: (-kv[1], kv[0]))
 
 
+def draw_settings(space: dict[str, list], trials: int, seed: int = C.RANDOM_STATE) -> list[dict]:
+    """Distinct settings, drawn without replacement from all combinations; all of them if there are no more than ``trials``."""
+    names = sorted(space)
+    size = math.prod(len(space[n]) for n in names)
+    places = sorted(random.Random(seed).sample(range(size), trials)) if trials < size else range(size)
+    out = []
+    for place in places:
+        setting = {}
+        for n in reversed(names):
+            place, k = divmod(place, len(space[n]))
+            setting[n] = space[n][k]
+        out.append({n: setting[n] for n in names})
+    return out
+
+
 def random_search_cv(train: DataFrame, feature_cols: list[str], space: dict[str, list], trials: int = 3,
                      folds: int = 3, fold_col: str = "fold", kind: str = "logreg", seed: int = C.RANDOM_STATE,
-                     label: str = C.TARGET_COLUMN) -> list[dict]:
-    """Seeded random draws from ``space``; each scored by out-of-fold average precision.
-
-    Folds come from the row hash (``features.stratified_folds``); each fit is a
-    distributed Spark ML job. Returns one dict per trial."""
-    rng = random.Random(seed)
-    train = cut_lineage(train, "search-train")  # read by every fit
-    results = []
-    for t in range(trials):
-        params = {k: rng.choice(v) for k, v in sorted(space.items())}
-        oof = None
-        for f in range(folds):
-            fit_rows = train.where(F.col(fold_col) != f)
-            model = train_classifier(fit_rows, feature_cols, kind, label, **dict(params))
-            scored = score_batch(model, train.where(F.col(fold_col) == f), keep=[label])
-            oof = scored if oof is None else oof.unionByName(scored)
-        row = EV.evaluate_models(cut_lineage(oof, "out-of-fold"), "churn_probability", label, group=None).first()
-        metrics = {name: row[name] for name in row.asDict() if name != "group"}
-        results.append({"trial": t, **params, **metrics, "average_precision": metrics["pr_auc"]})
-    return results
+                     label: str = C.TARGET_COLUMN, parallel: int = 4) -> DataFrame:
+    """Distinct random settings from ``space``, each scored by the eight metrics of its out-of-fold predictions.
+
+    One row per trial: ``trial``, the setting, the metrics. Rows are assembled once and written with their folds and class weights;
+    the fits of all trials and folds, each a distributed Spark ML job, are submitted a few at a time. Out-of-fold scores are
+    evaluated for all trials together, in one pass. Folds come from the row hash (``features.stratified_folds``)."""
+    assembler = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")
+    data = cut_lineage(assembler.transform(train).select("features", label, fold_col), "search-train")  # read by every fit
+    settings = draw_settings(space, trials, seed)
+
+    def held_out(job: tuple[int, int]) -> DataFrame:
+        trial, fold = job
+        fit_rows = with_balanced_weights(data.where(F.col(fold_col) != fold), label)
+        model = classifier(kind, label, True, **dict(settings[trial])).fit(fit_rows)
+        p = vector_to_array(F.col("probability"))[1]
+        return model.transform(data.where(F.col(fold_col) == fold)).select(F.lit(str(trial)).alias("trial"), p.alias("p"), F.col(label).alias("label"))
+
+    jobs = list(itertools.product(range(len(settings)), range(folds)))
+    with ThreadPoolExecutor(parallel) as pool:  # only submits; the fits run on the executors
+        parts = list(pool.map(held_out, jobs))
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
+    metrics = EV.evaluate_models(cut_lineage(scored, "out-of-fold"), "p", "label", group="trial")
+    names = sorted(space)
+    table = data.sparkSession.createDataFrame([(str(t), *[s[n] for n in names]) for t, s in enumerate(settings)], ["group", *names])
+    return table.join(metrics, "group").withColumn("trial", F.col("group").cast("int")).drop("group")

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnwatch import config as C
@@ -61,6 +61,21 @@ def stream_unique_ids(stream: DataFrame, key: str, ts: str, delay: str, sink: st
     run_available(q)
 
 
+ID_BUCKETS = 256
+
+
+def id_bucket(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(ID_BUCKETS)).cast("int")
+
+
+def stored_ids(spark: SparkSession, store: str, wanted: DataFrame, before_batch: int) -> DataFrame:
+    """Accepted ids of earlier batches in the buckets that ``wanted`` (with a ``bucket`` column) touches: at most ``ID_BUCKETS``
+    numbers come to the driver, and the scan is of those partitions only."""
+    touched = [r["bucket"] for r in wanted.select("bucket").distinct().collect()]
+    held = spark.read.schema("_id string, batch_id int, bucket int").parquet(store)
+    return held.where((F.col("batch_id") < before_batch) & F.col("bucket").isin(touched)).select("_id")
+
+
 def stream_unique_ids_exact(stream: DataFrame, key: str, order: str, accepted: str, rejected: str,
                             checkpoint: str) -> None:
     """Exact id uniqueness over the whole log; accepted and rejected rows together are the input.
@@ -68,19 +83,25 @@ def stream_unique_ids_exact(stream: DataFrame, key: str, order: str, accepted: s
     Per micro-batch the rows get numbers that are written with them. NULL and blank ids are
     rejected; of each other id the row with the smallest (order, number) stays (partial
     ``min`` per id, no per-id sort) unless an earlier batch accepted the id (anti-join with
-    the accepted table). Everything else is rejected by row number, so ties lose nothing.
-    Each batch writes its own partition, so a retried batch gives the same result."""
+    the id store). Everything else is rejected by row number, so ties lose nothing.
+    Each batch writes its own partition, so a retried batch gives the same result.
+
+    The id store (``<accepted>-ids``) holds the accepted ids by hash bucket; a batch reads the
+    buckets that its own ids fall into, by partition, and nothing else of the log."""
     from churnwatch.operators.contract import norm_id
 
+    store = f"{accepted.rstrip('/')}-ids"
+
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = cut_lineage(batch.withColumn("_id", norm_id(key)).withColumn("_row", F.monotonically_increasing_id()), "arrivals")
         first = rows.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.min(F.struct(order, "_row")).alias("r"))
-        keep = first.select("_id", "r._row")
-        if path_exists(spark, accepted):
-            seen = spark.read.parquet(accepted).where(F.col("batch_id") < batch_id).select("_id")
-            keep = keep.join(seen, "_id", "left_anti")
-        keep = cut_lineage(keep.select("_row"), "first-rows")
+        keep = cut_lineage(first.select("_id", "r._row", id_bucket(F.col("_id")).alias("bucket")), "candidates")
+        if path_exists(spark, store):
+            seen = stored_ids(spark, store, keep, batch_id)
+            keep = cut_lineage(keep.join(seen, "_id", "left_anti"), "first-rows")
+        (keep.select("_id", "bucket").repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch_id={batch_id}"))
+        keep = keep.select("_row")
         rows.join(keep, "_row", "left_semi").drop("_row").write.mode("overwrite").parquet(f"{accepted}/batch_id={batch_id}")
         rows.join(keep, "_row", "left_anti").drop("_row").write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
 
@@ -116,7 +137,11 @@ def stream_monitor(stream: DataFrame, reference: DataFrame, log_path: str, metri
     judged on the clock against the last time each tier ran. Row count and newest event go
     on from the earlier batches' metrics (``batch_id`` below this one), so the log is not read
     again for them and a repeated batch sees what it saw the first time. A batch whose
-    collection fails leaves ``up`` 0 and its row count, and the stream goes on."""
+    collection fails leaves ``up`` 0 and its row count, and the stream goes on.
+
+    The latest window is carried on: the newest rows after a batch are those of the window after the
+    batch before it and of the batch itself (``<log_path>-window``), so a batch reads its own rows and one window,
+    however long the log is. ``window`` 0 or less keeps all rows, and then the log is read."""
     numeric = numeric or []
     categorical = categorical or []
 
@@ -144,6 +169,9 @@ def stream_monitor(stream: DataFrame, reference: DataFrame, log_path: str, metri
         fast = [("row_count", float(rows)), ("latest_event_seconds", latest_event), ("freshness_lag_seconds", lag)]
         due = QU.due_tiers(now.timestamp(), last, rows, int(newest.get("drift_rows", 0))) if gate_tiers else {"medium": True, "drift": True}
 
+        # part of the append, as the log's own rows are: a collection that fails loses no row of the next window
+        carried = carry_window(spark, own, f"{log_path}-window", batch_id, window, order) if window > 0 else None
+
         def write(up: float, parts: list[DataFrame]) -> None:
             out = spark.createDataFrame([("fast", k, v) for k, v in [*fast, ("up", up)]], "tier string, metric string, value double")
             for p in parts:
@@ -154,8 +182,7 @@ def stream_monitor(stream: DataFrame, reference: DataFrame, log_path: str, metri
         try:
             parts = []
             if due["medium"] or due["drift"]:
-                log = spark.read.parquet(log_path).where(F.col("batch_id") <= batch_id)
-                latest = cut_lineage(QU.latest_window(log, window, order), "monitor-window")
+                latest = carried if carried is not None else spark.read.parquet(log_path).where(F.col("batch_id") <= batch_id)
                 if due["medium"]:
                     parts += _medium_parts(latest, reference, probability, numeric, categorical)
                 if due["drift"] and (numeric or categorical):
@@ -169,6 +196,25 @@ def stream_monitor(stream: DataFrame, reference: DataFrame, log_path: str, metri
     run_available(q)
 
 
+def carry_window(spark: SparkSession, own: str, state: str, batch_id: int, window: int, order: tuple[str, ...]) -> DataFrame:
+    """The newest ``window`` rows of the log after this batch, from the last state before it and the batch's own rows (``own``).
+
+    Written as this batch's state; a repeated batch reads the same earlier state again. States older than the
+    one before are dropped: a batch is repeated only before the next one starts."""
+    rows = spark.read.parquet(own)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(state).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath().getName() for f in fs.listStatus(fs_path(state))] if path_exists(spark, state) else []
+    earlier = sorted(k for name in found if (k := int(name.removeprefix("after="))) < batch_id)
+    if earlier:
+        rows = spark.read.schema(rows.schema).parquet(f"{state}/after={earlier[-1]}").unionByName(rows)
+    path = f"{state}/after={batch_id}"
+    QU.latest_window(rows, window, order).write.mode("overwrite").parquet(path)
+    for k in earlier[:-1]:
+        fs.delete(fs_path(f"{state}/after={k}"), True)
+    return spark.read.parquet(path)
+
+
 def _long(df: DataFrame, tier: str) -> DataFrame:
     return df.select(F.lit(tier).alias("tier"), F.stack(F.lit(len(df.columns)), *[
         x for c in df.columns for x in (F.lit(c), F.col(c).cast("double"))]).alias("metric", "value"))
