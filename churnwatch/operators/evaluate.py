@@ -69,8 +69,11 @@ def score_counts(df: DataFrame, score: str, label: str, group: str | None = None
 def ranking_metrics(df: DataFrame, score: str = "score", label: str = "label", group: str | None = None) -> DataFrame:
     """(group, roc_auc, pr_auc): Mann-Whitney AUC with half credit for ties, and step-wise
     average precision over distinct thresholds; 0.0 when a class is absent."""
-    counts = score_counts(df, score, label, group)
-    cum = K.with_cumulative(counts)
+    cum = K.with_cumulative(score_counts(df, score, label, group))
+    return cum.groupBy(F.col("feature").alias("group")).agg(*_ranking_sums()).select("group", *_ranking_columns())
+
+
+def _ranking_sums() -> list[Column]:
     neg_below = F.col("cum_ref") - F.col("n_ref")
     pos, neg = F.col("n_cur").cast("double"), F.col("n_ref").cast("double")
     n_pos, n_neg = F.col("n_cur_total").cast("double"), F.col("n_ref_total").cast("double")
@@ -78,16 +81,15 @@ def ranking_metrics(df: DataFrame, score: str = "score", label: str = "label", g
     fp_ge = n_neg - F.col("cum_ref") + F.col("n_ref")
     auc_term = pos * (neg_below.cast("double") + F.lit(0.5) * neg)
     ap_term = F.when(pos > 0, pos * (tp_ge / (tp_ge + fp_ge)))
-    agg = cum.groupBy(F.col("feature").alias("group")).agg(
-        F.sum(auc_term).alias("auc_num"), F.sum(ap_term).alias("ap_num"),
-        F.max(n_pos).alias("P"), F.max(n_neg).alias("N"),
-    )
+    return [F.sum(auc_term).alias("auc_num"), F.sum(ap_term).alias("ap_num"), F.max(n_pos).alias("P"), F.max(n_neg).alias("N")]
+
+
+def _ranking_columns() -> list[Column]:
     ok = (F.col("P") > 0) & (F.col("N") > 0)
-    return agg.select(
-        "group",
+    return [
         F.when(ok, F.col("auc_num") / (F.col("P") * F.col("N"))).otherwise(F.lit(0.0)).alias("roc_auc"),
         F.when(F.col("P") > 0, F.col("ap_num") / F.col("P")).otherwise(F.lit(0.0)).alias("pr_auc"),
-    )
+    ]
 
 
 def log_loss(df: DataFrame, score: str = "score", label: str = "label", group: str | None = None) -> DataFrame:
@@ -100,11 +102,23 @@ def log_loss(df: DataFrame, score: str = "score", label: str = "label", group: s
 
 def evaluate_models(df: DataFrame, score: str = "score", label: str = "label", group: str | None = "model",
                     threshold: float = C.SELECTED_THRESHOLD) -> DataFrame:
-    """The eight metrics side by side, one row per group."""
-    lm = confusion_metrics(df, score, label, threshold, group).drop("tp", "fp", "fn", "tn")
-    rk = ranking_metrics(df, score, label, group)
-    ll = log_loss(df, score, label, group)
-    return lm.join(rk, "group").join(ll, "group")  # all three: one row per group
+    """The eight metrics side by side, one row per group.
+
+    Everything follows from the rows per (group, score): the table is read and shuffled once, and the counts with their
+    running sums are what the rest reads. A NULL label takes no part; any other than 1 counts as 0."""
+    cum = K.with_cumulative(score_counts(df, score, label, group))
+    s = F.col("value")
+    p = F.least(F.greatest(s, F.lit(EPS)), F.lit(1.0 - EPS))
+    pos, neg = F.col("n_cur"), F.col("n_ref")
+    hit = s >= F.lit(threshold)
+    total = lambda c, x: F.sum(F.when(c, x).otherwise(0))
+    loss = F.try_divide(F.sum(-(pos.cast("double") * F.ln(p) + neg.cast("double") * F.ln(F.lit(1.0) - p))), F.sum(pos + neg))
+    per = cum.groupBy(F.col("feature").alias("group")).agg(
+        total(hit, pos).alias("tp"), total(hit, neg).alias("fp"), total(~hit, pos).alias("fn"), total(~hit, neg).alias("tn"),
+        loss.alias("log_loss"), *_ranking_sums(),
+    )
+    return label_metrics(per).select(
+        "group", "accuracy", "precision", "recall", "f1_score", "predicted_positive_rate", *_ranking_columns(), "log_loss")
 
 
 def threshold_sweep(df: DataFrame, score: str = "score", label: str = "label", group: str | None = "model",

@@ -348,6 +348,15 @@ def stratified_assign(df: DataFrame, key: str = C.ID_COLUMN, label: str = C.TARG
     return work.withColumn(out_col, F.when(F.coalesce(is_test, F.lit(False)), test_name).otherwise(train_name)).drop("_h")
 
 
+def split_filter(df: DataFrame, split_col: str = C.SPLIT_COLUMN, names: tuple[str, ...] = ("train", "test")) -> dict[str, DataFrame]:
+    """The rows of each named split; raises where one has no row. Looks for one row of each name, in one job."""
+    there = df.agg(*[F.bool_or(F.col(split_col) == n).alias(n) for n in names]).first()
+    empty = [n for n in names if not there[n]]
+    if empty:
+        raise ValueError(f"no rows with {split_col} = {', '.join(empty)}")
+    return {n: df.where(F.col(split_col) == n) for n in names}
+
+
 def stratified_folds(df: DataFrame, key: str = C.ID_COLUMN, label: str = C.TARGET_COLUMN, k: int = 5,
                      seed: int = C.RANDOM_STATE) -> DataFrame:
     """Adds ``fold`` in 0..k-1: per class, rows in order of the seeded hash are dealt in turn.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnwatch.functions.scalar import nan_to_null
+from churnwatch.session import cut_lineage
 from churnwatch.operators import quantiles as Q
 from churnwatch.operators.clean import null_counts
 
@@ -49,14 +50,17 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def value_frequency(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(feature, value, n, share) per column, share of non-null rows, most frequent first."""
+    """(feature, value, n, share) per column, share of non-null rows; by feature, most frequent first, ties by value.
+
+    The rows are counted once; totals are sums of the counts, which are written for the two readers."""
     args = [x for c in columns for x in (F.lit(c), F.col(c).cast("string"))]
     long = df.select(F.stack(F.lit(len(columns)), *args).alias("feature", "value")).where(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
+    counts = cut_lineage(long.groupBy("feature", "value").agg(F.count("*").alias("n")), "frequencies")
     # one row per column: bounded broadcast, no per-feature window over all distinct values
-    totals = long.groupBy("feature").agg(F.count("*").alias("total"))
-    return counts.join(F.broadcast(totals), "feature").select(
+    totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
+    shares = counts.join(F.broadcast(totals), "feature").select(
         "feature", "value", "n", (F.col("n") / F.col("total")).alias("share"))
+    return shares.orderBy("feature", F.desc("n"), "value")
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:

@@ -102,16 +102,22 @@ def _melt_text(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(F.stack(F.lit(len(cols)), *args).alias("feature", "value")).where(F.col("value").isNotNull())
 
 
+def unseen_values(reference: DataFrame, current: DataFrame, categorical: list[str]) -> DataFrame:
+    """(feature, value, n): current non-null values that the reference never has, with their counts.
+
+    Values are counted before the anti-join, so one held by a third of the rows is one row in it."""
+    seen = _melt_text(reference, categorical).distinct()
+    counts = _melt_text(current, categorical).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    return counts.join(seen, ["feature", "value"], "left_anti")
+
+
 def dq_unseen_ratio(reference: DataFrame, current: DataFrame, categorical: list[str]) -> DataFrame:
     """Mean over categorical columns of the share of current non-null values never seen in
     the reference; columns with no current values are skipped; 0 when none remain."""
     if not categorical:
         return current.agg(F.lit(0.0).alias("unseen_category_ratio"))
-    seen = _melt_text(reference, categorical).distinct()
-    # counts per value before the anti-join: a value held by a third of the rows is one row in it
-    cur = _melt_text(current, categorical).groupBy("feature", "value").agg(F.count("*").alias("n"))
-    unseen = cur.join(seen, ["feature", "value"], "left_anti").groupBy("feature").agg(F.sum("n").alias("u"))
-    tot = cur.groupBy("feature").agg(F.sum("n").alias("n"))
+    unseen = unseen_values(reference, current, categorical).groupBy("feature").agg(F.sum("n").alias("u"))
+    tot = _melt_text(current, categorical).groupBy("feature").agg(F.count("*").alias("n"))
     per = tot.join(unseen, "feature", "left").select(
         (F.coalesce(F.col("u"), F.lit(0)) / F.col("n")).alias("r")  # tot has one row per feature, n > 0
     )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnwatch import config as C
+from churnwatch.session import cut_lineage
 
 
 def epoch(ts: str | Column) -> Column:
@@ -248,6 +249,7 @@ def alert_for(evaluated: DataFrame, hold_seconds: int | None, stale_seconds: int
     s = s.withColumn("_before", before)
     # where a run starts; the first sample of a chunk is told by the chunks before
     s = s.withColumn("_starts", F.when(F.col("_before").isNotNull(), ~F.col("active") | ~F.col("_before.active") | (F.col("_t") - F.col("_before.t") > F.col("_stale"))))
+    s = cut_lineage(s, "alert-samples")  # read for the chunks' ends and for the runs
     at = F.struct("_t", "active", "_stale", "ts")
     ends = s.groupBy(*key, "_chunk").agg(F.min(at).alias("first"), F.max(at).alias("last"), F.max(F.when(F.col("_starts"), F.struct("_t", "ts"))).alias("inner"))
     row = Window.partitionBy(*key).orderBy("_chunk")

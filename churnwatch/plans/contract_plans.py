@@ -97,6 +97,28 @@ def q_result_contract(spark, sf_dir):
     return CT.violations_long(CT.result_contract(scored))
 
 
+@register("result_contract_all", """WITH s AS (SELECT event_id AS row_no,
+    CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 7 = 0 THEN -0.1 ELSE value / 400.0 END AS p,
+    CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 1.5 ELSE 0.6 END AS t,
+    CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 2 ELSE 1 END AS y,
+    CASE WHEN event_id % 19 <> 0 THEN 'gbt' END AS m FROM events)
+SELECT row_no, 'churn_probability:range' AS rule FROM s WHERE p IS NULL OR p < 0 OR p > 1
+UNION ALL SELECT row_no, 'threshold:range' FROM s WHERE t IS NULL OR t < 0 OR t > 1
+UNION ALL SELECT row_no, 'prediction:allowed' FROM s WHERE y IS NULL OR y NOT IN (0, 1)
+UNION ALL SELECT row_no, 'model_name:required' FROM s WHERE m IS NULL""")
+def q_result_contract_all(spark, sf_dir):
+    """Results that break every rule of the contract, alone and together."""
+    k = F.col("event_id")
+    scored = S.table(spark, sf_dir, "events").select(
+        k.alias("row_no"),
+        F.when(k % 11 == 0, F.lit(None)).when(k % 7 == 0, -0.1).otherwise(F.col("value") / 400.0).alias("churn_probability"),
+        F.when(k % 13 == 0, F.lit(None)).when(k % 5 == 0, 1.5).otherwise(0.6).alias("threshold"),
+        F.when(k % 17 == 0, F.lit(None)).when(k % 3 == 0, 2).otherwise(1).alias("prediction"),
+        F.when(k % 19 != 0, "gbt").alias("model_name"),
+    )
+    return CT.violations_long(CT.result_contract(scored))
+
+
 def _nid(c: str) -> str:
     x = f"lower({_t(c)})"
     return f"(CASE WHEN {x} <> '' THEN {x} END)"
@@ -112,6 +134,22 @@ def q_batch_rules(spark, sf_dir):
     return CT.batch_rules(batch(spark, sf_dir), inference_log(spark, sf_dir))
 
 
+@register("batch_rules_all", f"""WITH {batch_ctes()}, faulty AS (SELECT * REPLACE (CASE WHEN row_no % 31 = 0 THEN ' ' ELSE customerID END AS customerID,
+  CASE WHEN row_no % 29 = 0 THEN '0.5' ELSE TotalCharges END AS TotalCharges, CASE WHEN row_no % 29 = 0 THEN '70' ELSE MonthlyCharges END AS MonthlyCharges) FROM batch),
+b AS (SELECT *, {_nid('customerID')} AS nid FROM faulty)
+SELECT 'blank_id' AS rule, row_no FROM b WHERE nid IS NULL
+UNION ALL SELECT 'duplicate_id', row_no FROM (SELECT row_no, count(*) OVER (PARTITION BY nid) AS k FROM b WHERE nid IS NOT NULL) WHERE k > 1
+UNION ALL SELECT 'id_in_log', row_no FROM b WHERE nid IN (SELECT id FROM log)
+UNION ALL SELECT 'total_lt_monthly', row_no FROM faulty WHERE {_n('TotalCharges')} < {_n('MonthlyCharges')}""")
+def q_batch_rules_all(spark, sf_dir):
+    """The batch with blank ids and totals below the monthly charge put in: every rule yields rows."""
+    k = F.col("row_no")
+    faulty = (batch(spark, sf_dir).withColumn(C.ID_COLUMN, F.when(k % 31 == 0, " ").otherwise(F.col(C.ID_COLUMN)))
+              .withColumn("TotalCharges", F.when(k % 29 == 0, "0.5").otherwise(F.col("TotalCharges")))
+              .withColumn("MonthlyCharges", F.when(k % 29 == 0, "70").otherwise(F.col("MonthlyCharges"))))
+    return CT.batch_rules(faulty, inference_log(spark, sf_dir))
+
+
 @register("existing_id_semi_join", f"""WITH {batch_ctes()}
 SELECT row_no, customerID FROM batch WHERE {_nid('customerID')} IN (SELECT id FROM log)""")
 def q_existing_ids(spark, sf_dir):

@@ -261,8 +261,7 @@ def q_stratified_assign(spark, sf_dir):
 def q_split_filter(spark, sf_dir):
     s = split_cleaned(spark, sf_dir)
     out = None
-    for name in ("train", "test"):
-        part = s.where(F.col(C.SPLIT_COLUMN) == name)
+    for name, part in FE.split_filter(s).items():
         one = part.agg(F.lit(name).alias("data_split"), F.count("*").alias("rows"),
                        F.count_if(F.col(C.TARGET_COLUMN) == 1).alias("positives"))
         out = one if out is None else out.unionByName(one)

@@ -99,9 +99,7 @@ SELECT feature, value, count(*) AS n FROM c WHERE NOT EXISTS (SELECT 1 FROM r WH
 GROUP BY feature, value""")
 def q_unseen_values(spark, sf_dir):
     ref, cur = _pair(spark, sf_dir)
-    seen = QU._melt_text(ref, S.DRIFT_CATEGORICAL).distinct()
-    return QU._melt_text(cur, S.DRIFT_CATEGORICAL).join(seen, ["feature", "value"], "left_anti").groupBy(
-        "feature", "value").agg(F.count("*").alias("n"))
+    return QU.unseen_values(ref, cur, S.DRIFT_CATEGORICAL)
 
 
 @register("range_broadcast_join", f"""WITH {PAIR_SQL},

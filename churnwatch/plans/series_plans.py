@@ -311,8 +311,7 @@ SELECT endpoint, count(*) AS predictions, count(*) FILTER (WHERE p >= {C.POSITIV
   count(*) FILTER (WHERE greatest(p, 1.0 - p) < {C.LOW_CONFIDENCE_PROB_THRESHOLD}) AS low_confidence
 FROM p GROUP BY endpoint""")
 def q_prediction_counters(spark, sf_dir):
-    r = req(spark, sf_dir).join(S.scored_events(spark, sf_dir).select("event_id", "score"), "event_id")
-    return SE.prediction_counters(r, "score")
+    return SE.prediction_counters(req(spark, sf_dir), "score")
 
 
 # ---------------------------------------------------------------------------
