@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from churnwatch import config as C
 from churnwatch.functions.scalar import nan_to_null
+from churnwatch.session import cut_lineage
 
 
 # ---------------------------------------------------------------------------
@@ -199,38 +200,39 @@ def due_tiers(now_s: float, last: dict, rows: int, last_rows: int) -> dict[str,
 
 
 def dq_report_labelled(df: DataFrame, numeric: list[str], categorical: list[str], side_col: str = "is_ref",
-                       required: list[str] | None = None, counts: DataFrame | None = None) -> DataFrame:
-    """The four data-quality ratios from one frame holding both samples (one scan).
+                       required: list[str] | None = None) -> DataFrame:
+    """The four data-quality ratios from one frame holding both samples: one scan, one shuffle, no join of one-row results.
 
-    Unseen shares and reference ranges come from the paired-counts table (the same one the
-    drift report uses, pass it as ``counts`` to share it); missing cells come from one
-    aggregate over the current rows. Columns: missing_ratio, schema_violation_fraction,
+    Rows are counted by feature and value, missing ones included; what is missing, unseen or out of range then follows per
+    feature from the counts, and the ratios from the features (one row each). Columns: missing_ratio, schema_violation_fraction,
     unseen_category_ratio, out_of_range_ratio."""
-    from churnwatch.config import NULL_CATEGORY
-    from churnwatch.operators import counts as K
-
     cols = numeric + categorical
     required = cols if required is None else required
-    if counts is None:
-        counts = K.paired_counts(df, numeric, categorical, side_col)
-    cur = df.where(~F.col(side_col))
-    nulls = sum((F.count_if(_missing(df, c)) for c in cols), F.lit(0))
-    missing = cur.agg(F.coalesce(F.try_divide(nulls.cast("double"), F.count("*") * F.lit(len(cols))),
-                                 F.lit(0.0)).alias("missing_ratio"))
-    cat = K.categorical_counts(counts).where(F.col("value") != NULL_CATEGORY)
-    per_cat = cat.groupBy("feature").agg(
-        F.sum(F.when(F.col("n_ref") == 0, F.col("n_cur")).otherwise(0)).alias("u"), F.sum("n_cur").alias("n"))
-    unseen = per_cat.where(F.col("n") > 0).agg(
-        F.coalesce(F.avg(F.col("u") / F.col("n")), F.lit(0.0)).alias("unseen_category_ratio"))
-    num = K.numeric_counts(counts)
-    bounds = num.where(F.col("n_ref") > 0).groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    # one row per numeric feature: bounded broadcast
-    per_num = num.join(F.broadcast(bounds), "feature").groupBy("feature").agg(
-        F.sum(F.when((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi")), F.col("n_cur")).otherwise(0))
-        .alias("o"), F.sum("n_cur").alias("n"))
-    oor = per_num.where(F.col("n") > 0).agg(
-        F.coalesce(F.avg(F.col("o") / F.col("n")), F.lit(0.0)).alias("out_of_range_ratio"))
     schema = len([c for c in required if c not in df.columns]) / len(required) if required else 0.0
-    return missing.crossJoin(unseen).crossJoin(oor).select(  # one row x one row x one row
-        "missing_ratio", F.lit(float(schema)).alias("schema_violation_fraction"), "unseen_category_ratio",
-        "out_of_range_ratio")
+    zero = F.lit(0.0)
+    if not cols:
+        return df.limit(0).agg(zero.alias("missing_ratio"), F.lit(float(schema)).alias("schema_violation_fraction"),
+                               zero.alias("unseen_category_ratio"), zero.alias("out_of_range_ratio"))
+    args = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double") if i < len(numeric) else F.lit(None).cast("double")
+        args += [F.lit(i), _missing(df, c), F.when(~F.isnan(x), x), F.col(c).cast("string") if i >= len(numeric) else F.lit(None).cast("string")]
+    long = df.select(F.col(side_col).cast("boolean").alias("ref"), F.stack(F.lit(len(cols)), *args).alias("fid", "gone", "num", "text"))
+    counts = cut_lineage(long.groupBy("fid", "gone", "num", "text").agg(F.count_if("ref").alias("n_ref"), F.count_if(~F.col("ref")).alias("n_cur")), "dq-counts")
+    is_text = F.col("fid") >= len(numeric)
+    bounds = counts.where(F.col("n_ref") > 0).groupBy("fid").agg(F.min("num").alias("lo"), F.max("num").alias("hi"))
+    n = F.col("n_cur")
+    valued = F.when(is_text, F.col("text").isNotNull()).otherwise(F.col("num").isNotNull())
+    odd = F.when(is_text, F.col("text").isNotNull() & (F.col("n_ref") == 0)).otherwise((F.col("num") < F.col("lo")) | (F.col("num") > F.col("hi")))
+    # one row per feature: bounded broadcast
+    per = counts.join(F.broadcast(bounds), "fid", "left").groupBy("fid").agg(
+        F.sum(n).alias("n"), F.sum(F.when(F.col("gone"), n).otherwise(0)).alias("gone"), F.sum(F.when(valued, n).otherwise(0)).alias("values"),
+        F.sum(F.when(odd, n).otherwise(0)).alias("odd"), F.max("lo").alias("lo"),
+    )
+    share = F.when((F.col("values") > 0) & (is_text | F.col("lo").isNotNull()), F.col("odd") / F.col("values"))
+    return per.agg(
+        F.coalesce(F.try_divide(F.sum("gone").cast("double"), F.sum("n")), zero).alias("missing_ratio"),
+        F.lit(float(schema)).alias("schema_violation_fraction"),
+        F.coalesce(F.avg(F.when(is_text, share)), zero).alias("unseen_category_ratio"),
+        F.coalesce(F.avg(F.when(~is_text, share)), zero).alias("out_of_range_ratio"),
+    )
