@@ -38,7 +38,7 @@ def test_stages(spark):
 
 def test_registered(spark):
     names = [q for q in entry.queries() if q.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_odd_rows(spark, tmp_path):
