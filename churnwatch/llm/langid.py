@@ -1,10 +1,14 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-Texts become symbol sequences: lower-cased letters of a learned alphabet, everything
-between letters one boundary symbol. For every language an order-4 model is estimated from
-the n-gram counts of its training documents; all languages share sorted arrays of n-gram
-hashes whose rows hold the interpolated log probability per language, so one binary search
-serves every language. The language with the lowest cross-entropy per symbol wins; how
+Texts become symbol sequences: the UTF-16 units of lower-cased letters, everything between
+letters one boundary symbol, so four symbols are exactly one 64-bit code and no alphabet has
+to be chosen. For every language Spark counts all order-4 n-grams of its training
+documents and derives from them the continuation counts, discounts, probabilities and
+back-off weights of orders 4 to 1. N-grams rarer than ``RARE`` of their own language's symbols
+leave their mass to the lower order; all others are gathered, so what is gathered grows with the texts and the
+languages, and a small language is cut by its own size only. Languages share sorted
+arrays of n-gram hashes in groups of ``GROUP``, whose rows hold the interpolated log probability
+per language. The language with the lowest cross-entropy per symbol wins; how
 far that entropy may lie above what is usual for the language and the length is
 calibrated on training documents that the counts do not use.
 """
@@ -19,71 +23,66 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnwatch.llm.common import held_out
 from churnwatch.session import cut_lineage, ready_python
 
-ORDER = 4
-LETTERS = 220  # alphabet: the most frequent letters; any other letter is one shared symbol
-OTHER = LETTERS + 1
-MAX_GRAMS = 600_000  # top-order n-grams kept over all languages, most frequent first: bounds the model that is broadcast
-MAX_LANGS = 500
+ORDER, BITS = 4, 16
+RARE = 1e-6  # least share of a language's symbols that an n-gram ends at: at most a million n-grams of an order and language
+GROUP = 8  # languages in one table: its rows hold a number for each of them
+HELD = 1 << 21  # distinct n-grams a counting task holds at once for a language
 SLICE = 1 << 20  # symbols worked on at once
 CALIBRATION_ROWS = 20_000  # bound on the documents that calibrate rejection, smallest hash first
 REJECT_WIDTH, REJECT_EXCESS = 8.0, 0.75  # a text in no learned language: standard deviations, and nats a symbol, above the usual entropy
 MIX = np.uint64(0x9E3779B97F4A7C15)
-_LETTER = np.array([chr(c).isalpha() for c in range(1 << 16)])
-
-
-def _points(text: str) -> np.ndarray:
-    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
+_LETTER = np.array([chr(c).isalpha() for c in range(1 << BITS)])
 
 
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def symbols(text: str, alphabet: np.ndarray) -> np.ndarray:
-    """Symbols of a text: 0 between letters, 1.. in the alphabet's order, ``OTHER`` for further letters."""
-    points = _points(text)
-    low = np.minimum(points, 0xFFFF)
-    out = alphabet[low]
-    high = points > 0xFFFF
-    if high.any():
-        out[high] = [OTHER if chr(p).isalpha() else 0 for p in points[high].tolist()]
+def symbols(text: str) -> np.ndarray:
+    """Symbols of a text: 0 between letters, the UTF-16 units of lower-cased letters (two for a letter above 0xFFFF)."""
+    units = np.frombuffer(text.lower().encode("utf-16-le", "surrogatepass"), dtype="<u2")
+    out = np.where(_LETTER[units], units, np.uint16(0))
+    at = np.nonzero((units[:-1] & 0xFC00 == 0xD800) & (units[1:] & 0xFC00 == 0xDC00))[0]
+    if len(at):
+        points = 0x10000 + ((units[at].astype(np.int64) & 0x3FF) << 10) + (units[at + 1] & 0x3FF)
+        kinds, back = np.unique(points, return_inverse=True)
+        at = at[np.array([chr(p).isalpha() for p in kinds.tolist()])[back]]
+        out[at], out[at + 1] = units[at], units[at + 1]
     keep = np.ones(len(out), dtype=bool)
     keep[1:] = (out[1:] != 0) | (out[:-1] != 0)
     return out[keep]
 
 
-def make_alphabet(letters: list[int]) -> np.ndarray:
-    table = np.where(_LETTER, OTHER, 0).astype(np.uint8)
-    table[np.array(letters, dtype=np.int64)] = np.arange(1, len(letters) + 1, dtype=np.uint8)
-    return table
-
-
 def grams(syms: np.ndarray, order: int) -> np.ndarray:
-    """Codes of the ``order``-grams that end at each symbol, boundaries standing before the first; 8 bits a symbol, last lowest."""
-    padded = np.concatenate((np.zeros(order - 1, np.uint8), syms)).astype(np.uint32 if order <= 4 else np.uint64)
+    """Codes of the ``order``-grams that end at each symbol, boundaries standing before the first; 16 bits a symbol, last lowest."""
+    padded = np.concatenate((np.zeros(order - 1, np.uint16), syms)).astype(np.uint64)
     out = padded[order - 1 :].copy()
     for back in range(1, order):
-        out |= padded[order - 1 - back : len(padded) - back] << (8 * back)
+        out |= padded[order - 1 - back : len(padded) - back] << np.uint64(BITS * back)
     return out
 
 
-def pieces(texts: list[str | None], alphabet: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def last(codes: np.ndarray, symbols: int) -> np.ndarray:
+    """The codes of the last ``symbols`` symbols."""
+    return codes & np.uint64((1 << BITS * symbols) - 1)
+
+
+def pieces(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
     """``(row, symbols with ORDER - 1 symbols of context before them)``, long texts in slices."""
     for i, text in enumerate(texts):
         if not text:
             continue
-        s = np.concatenate((np.zeros(ORDER - 1, np.uint8), symbols(text, alphabet)))
+        s = np.concatenate((np.zeros(ORDER - 1, np.uint16), symbols(text)))
         for at in range(ORDER - 1, len(s), SLICE):
             yield i, s[at - ORDER + 1 : at + SLICE]
 
 
-def batches_of(texts: list[str | None], alphabet: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def batches_of(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``(codes, row of each code)`` for about ``SLICE`` symbols at a time."""
     codes, rows, held = [], [], 0
-    for i, s in pieces(texts, alphabet):
+    for i, s in pieces(texts):
         c = grams(s, ORDER)[ORDER - 1 :]
         codes.append(c)
         rows.append(np.full(len(c), i, np.int32))
@@ -96,7 +95,7 @@ def batches_of(texts: list[str | None], alphabet: np.ndarray) -> Iterator[tuple[
 
 
 def hashed(codes: np.ndarray) -> np.ndarray:
-    return codes.astype(np.uint64) * MIX
+    return codes * MIX  # odd, so different codes have different hashes
 
 
 class HashArray:
@@ -115,53 +114,30 @@ class HashArray:
         return at
 
 
-class Model:
-    """Interpolated Kneser-Ney over all languages, from top-order counts ``lang, code, n``."""
+class Tables:
+    """Interpolated log probabilities of some languages, from their rows of ``kneser_ney``."""
 
-    def __init__(self, counts: pd.DataFrame, letters: list[int]):
-        self.langs = sorted(counts["lang"].unique())
-        self.letters = letters
-        self.alphabet = make_alphabet(letters)
+    def __init__(self, langs: list[str], rows: pd.DataFrame, floor: float):
+        self.floor = np.float32(floor)
         self.probs: dict[int, HashArray] = {}
         self.backoff: dict[int, HashArray] = {}
-        size = len(self.langs)
-        # per language and order: sorted codes and counts (top order: occurrences; below: distinct left neighbours)
-        table: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        for k, lang in enumerate(self.langs):
-            own = counts[counts["lang"] == lang]
-            codes, n = own["code"].to_numpy(np.uint64), own["n"].to_numpy(np.float64)
-            order = np.argsort(codes)
-            table[k, ORDER] = codes[order], n[order]
-            for m in range(ORDER - 1, 0, -1):
-                suffix = table[k, m + 1][0] & np.uint64((1 << 8 * m) - 1)
-                table[k, m] = tuple(x.astype(t) for x, t in zip(np.unique(suffix, return_counts=True), (np.uint64, np.float64)))
-        floor = np.log(1.0 / (len(letters) + 2))
-        below_codes, below = np.zeros(1, np.uint64), np.full((1, size), floor)
+        column = {name: k for k, name in enumerate(langs)}
+        below_codes, below = np.zeros(1, np.uint64), np.full((1, len(langs)), floor)
         for m in range(1, ORDER + 1):
-            union = np.unique(np.concatenate([table[k, m][0] for k in range(size)]))
-            contexts = np.unique(union >> np.uint64(8))
-            if m == 1:
-                lower = np.broadcast_to(below, (len(union), size))
-            else:
-                lower = below[np.searchsorted(below_codes, union & np.uint64((1 << 8 * (m - 1)) - 1))]
-            weight = np.zeros((len(contexts), size))  # log of the mass left to the lower order; 0 where the context is unseen
-            own = np.zeros((len(union), size))
-            for k in range(size):
-                codes, n = table[k, m]
-                once, twice = (n == 1).sum(), (n == 2).sum()
-                discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
-                at = np.searchsorted(contexts, codes >> np.uint64(8))
-                total = np.bincount(at, n, len(contexts))
-                kinds = np.bincount(at, minlength=len(contexts))
-                seen = total > 0
-                weight[seen, k] = np.log(discount * kinds[seen] / total[seen])
-                own[np.searchsorted(union, codes), k] = (n - discount) / total[at]
-            values = np.log(own + np.exp(weight[np.searchsorted(contexts, union >> np.uint64(8))] + lower))
+            parts = []
+            for context in (False, True):
+                own = rows[(rows["order"] == m) & (rows["context"] == context)]
+                codes = own["code"].to_numpy().astype(np.int64).view(np.uint64)
+                union, at = np.unique(codes, return_inverse=True)
+                dense = np.zeros((len(union), len(langs)))
+                dense[at, own["lang"].map(column).to_numpy(dtype=np.int64)] = own["value"].to_numpy(np.float64)
+                parts.append((union, dense))
+            (union, own), (contexts, weight) = parts  # weight: log of the mass left to the lower order; 0 where the context is unseen
+            lower = below[np.searchsorted(below_codes, last(union, m - 1))]
+            values = np.log(own + np.exp(weight[np.searchsorted(contexts, union >> np.uint64(BITS))] + lower))
             self.probs[m] = HashArray(union, values.astype(np.float32))
             self.backoff[m] = HashArray(contexts, weight.astype(np.float32))
             below_codes, below = union, values
-        self.floor = np.float32(floor)
-        self.usual = np.zeros((size, 3))  # mean entropy, variance between texts, variance per symbol
 
     def log_probs(self, codes: np.ndarray) -> np.ndarray:
         """Natural log probability of each position in each language."""
@@ -173,23 +149,39 @@ class Model:
         for m in range(ORDER, 0, -1):
             if not len(miss):
                 return out
-            context = self.backoff[m].find((codes[miss] & np.uint32((1 << 8 * m) - 1 if m < 4 else 0xFFFFFFFF)) >> 8)
+            context = self.backoff[m].find(last(codes[miss], m) >> np.uint64(BITS))
             known = context >= 0
             out[miss[known]] += self.backoff[m].values[context[known]]
             if m == 1:
                 out[miss] += self.floor
                 return out
-            at = self.probs[m - 1].find(codes[miss] & np.uint32((1 << 8 * (m - 1)) - 1))
+            at = self.probs[m - 1].find(last(codes[miss], m - 1))
             found = at >= 0
             out[miss[found]] += self.probs[m - 1].values[at[found]]
             miss = miss[~found]
         return out
 
+
+class Model:
+    """Tables of all languages, in groups, and the usual entropies."""
+
+    def __init__(self, rows: pd.DataFrame):
+        """``rows``: those of ``kneser_ney``."""
+        self.langs = sorted(rows["lang"].unique())
+        self.kinds = rows.loc[(rows["order"] == 1) & ~rows["context"], "code"].nunique() + 1  # one more for all unseen symbols
+        groups = [self.langs[k : k + GROUP] for k in range(0, len(self.langs), GROUP)]
+        self.tables = [Tables(g, rows[rows["lang"].isin(g)], -np.log(self.kinds)) for g in groups]
+        self.usual = np.zeros((len(self.langs), 3))  # mean entropy, variance between texts, variance per symbol
+
+    def log_probs(self, codes: np.ndarray) -> np.ndarray:
+        each = [t.log_probs(codes) for t in self.tables]
+        return each[0] if len(each) == 1 else np.concatenate(each, axis=1)
+
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per symbol in each language, and the number of symbols."""
         total, n = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
         step = max(1, 4 * SLICE // len(self.langs))
-        for codes, rows in batches_of(texts, self.alphabet):
+        for codes, rows in batches_of(texts):
             for at in range(0, len(codes), step):
                 values, own = self.log_probs(codes[at : at + step]), rows[at : at + step]
                 first = np.nonzero(np.concatenate(([True], own[1:] != own[:-1])))[0]
@@ -212,7 +204,7 @@ class Model:
             between, per_symbol = np.linalg.lstsq(a, far[trim], rcond=None)[0]
             self.usual[k] = mean, max(between, 1e-4), max(per_symbol, 0.05)
         if np.isnan(self.usual).all():
-            self.usual[:] = (np.log(len(self.letters) + 2), 1.0, 1.0)
+            self.usual[:] = (np.log(self.kinds), 1.0, 1.0)
         else:
             self.usual[np.isnan(self.usual[:, 0])] = np.nanmean(self.usual, axis=0)
 
@@ -239,72 +231,87 @@ class Model:
         )
 
 
-def train(docs: DataFrame, train_rows, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """Fits the model on the rows that ``train_rows`` (a condition) admits and whose language is known.
+def kneser_ney(counts: DataFrame) -> DataFrame:
+    """``lang, order, context, code, value`` from all counts ``lang, code, n`` of top-order n-grams.
 
-    All of these rows are counted, in tasks that hold one slice of symbols at a time;
-    grouped counts come to the driver only cut to the alphabet (``LETTERS``) and to the
-    ``MAX_GRAMS`` most frequent n-grams. One row in ten (by hash of the key) is left out of
-    the counts, and up to ``CALIBRATION_ROWS`` of those calibrate rejection.
+    Rows of n-grams (``context`` false) hold their discounted share of what follows their
+    context, rows of contexts the log of the mass left to the lower order. Counts below the top
+    order are distinct left neighbours; every language and order has its own discount. All
+    n-grams enter counts, discounts and totals; those at fewer than ``RARE`` of their language's
+    symbols get no row, and their mass goes to the lower order. A suffix is
+    at least as frequent as its n-gram, so it has a row where the n-gram has one.
     """
-    spark = docs.sparkSession
-    ready_python(spark)
-    labelled = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang")).where(
-        train_rows(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
-    )
-    tenth = F.pmod(F.xxhash64("id"), F.lit(10)) == 0
-
-    def letters_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            for t in batch.column(0):
-                points = _points(t.as_py())
-                seen += np.bincount(points[points < 1 << 16], minlength=1 << 16)
-        at = np.nonzero(seen * _LETTER)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], names=["point", "n"])
-
-    found = labelled.select("text").mapInArrow(letters_of, "point int, n long").groupBy("point").agg(F.sum("n").alias("n"))
-    letters = [r.point for r in found.orderBy(F.col("n").desc(), "point").limit(LETTERS).collect()]
-    alphabet = make_alphabet(letters)
-    names = [r.lang for r in labelled.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGS).collect()]
-    if not names:
-        return None
+    sizes = counts.groupBy("lang").agg((F.sum("n") * RARE).alias("least"))
+    level, out = counts.withColumn("seen", F.col("n")), []
+    for m in range(ORDER, 0, -1):
+        if m < ORDER:
+            level = level.withColumn("code", F.col("code").bitwiseAND(F.lit((1 << BITS * m) - 1)))
+            level = cut_lineage(level.groupBy("lang", "code").agg(F.count("*").alias("n"), F.sum("seen").alias("seen")), "langid-level")
+        once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+        discount = F.least(F.lit(0.95), F.greatest(F.lit(0.05), once / F.greatest(F.lit(1), once + 2 * twice)))
+        by_lang = level.groupBy("lang").agg(discount.alias("d")).join(sizes, "lang")
+        rows = level.join(by_lang, "lang").withColumn("ctx", F.shiftrightunsigned("code", BITS)).withColumn("kept", F.col("seen") >= F.col("least"))
+        contexts = rows.groupBy("lang", "ctx").agg(
+            F.sum("n").alias("total"), F.sum(F.when(F.col("kept"), F.col("n") - F.col("d")).otherwise(0.0)).alias("held"), F.max("kept").alias("any")
+        ).where("any")
+        own = rows.where("kept").join(contexts, ["lang", "ctx"]).select("lang", F.lit(m).alias("order"), F.lit(False).alias("context"), "code", ((F.col("n") - F.col("d")) / F.col("total")).alias("value"))
+        left = contexts.select("lang", F.lit(m).alias("order"), F.lit(True).alias("context"), F.col("ctx").alias("code"), F.log((F.col("total") - F.col("held")) / F.col("total")).alias("value"))
+        out += [own, left]
+    whole = out[0]
+    for rows in out[1:]:
+        whole = whole.unionByName(rows)
+    return whole
+
+
+def count_grams(texts: DataFrame) -> DataFrame:
+    """``lang, tenth, code, n`` from ``text, lang, tenth``: counted in tasks that hold one slice of symbols at a time."""
+
+    def rows(name: str, tenth: bool, c: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array([name] * len(c), pa.string()), pa.array([tenth] * len(c), pa.bool_()), pa.array(c.view(np.int64)), pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "tenth", "code", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, dict] = {}
+        sums: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            langs, texts = np.array(batch.column(1).to_pylist(), dtype=object), batch.column(0).to_pylist()
-            for name in set(langs):
-                for codes, _ in batches_of([t for t, own in zip(texts, langs == name) if own], alphabet):
+            own: dict[tuple, list[str]] = {}
+            for text, *of in zip(*(c.to_pylist() for c in batch.columns)):
+                own.setdefault(tuple(of), []).append(text)
+            for of, some in own.items():
+                for codes, _ in batches_of(some):
                     c, n = np.unique(codes, return_counts=True)
-                    if name in sums:
-                        c0, n0 = sums[name]
+                    if of in sums:
+                        c0, n0 = sums[of]
                         c, at = np.unique(np.concatenate((c0, c)), return_inverse=True)
                         n = np.bincount(at, np.concatenate((n0, n))).astype(np.int64)
-                    sums[name] = c, n
-                    if len(c) > 2 * MAX_GRAMS:
-                        yield rows(name, *sums.pop(name))
-        for name, (c, n) in sums.items():
-            yield rows(name, c, n)
-
-    def rows(name: str, c: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([name] * len(c), pa.string()), pa.array(c.astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "code", "n"])
-
-    counted = labelled.where(~tenth).where(F.col("lang").isin(names)).select("text", "lang").mapInArrow(count, "lang string, code long, n long")
-    total = cut_lineage(counted.groupBy("lang", "code").agg(F.sum("n").alias("n")), "langid-counts")
-    sizes = total.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().orderBy(F.col("n").desc()).collect()
-    room, least = MAX_GRAMS, 10_000
-    for r in sizes:
-        room -= r["count"]
-        if room < 0:
-            break
-        least = r["n"]
-    counts = total.where(F.col("n") >= least).limit(MAX_GRAMS).toPandas()
-    if counts.empty:  # every training text fell to calibration
-        counts = labelled.select("text", "lang").mapInArrow(count, "lang string, code long, n long").limit(MAX_GRAMS).toPandas()
-    if counts.empty:
+                    sums[of] = c, n
+                    if len(c) > HELD:
+                        yield rows(*of, *sums.pop(of))
+        for of, (c, n) in sums.items():
+            yield rows(*of, c, n)
+
+    counted = texts.select("text", "lang", "tenth").mapInArrow(count, "lang string, tenth boolean, code long, n long")
+    return counted.groupBy("lang", "tenth", "code").agg(F.sum("n").alias("n"))
+
+
+def train(docs: DataFrame, train_rows, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
+    """Fits the model on the rows that ``train_rows`` (a condition) admits and whose language is known.
+
+    All of these rows are counted, all of their languages learned. What comes to the driver are the
+    rows of ``kneser_ney``, at most ``1 / RARE`` for an order of a language. One row in ten
+    (by hash of the key) is left out of the counts, and up to ``CALIBRATION_ROWS`` of those calibrate
+    rejection; a language that has no other rows is counted from these.
+    """
+    spark = docs.sparkSession
+    ready_python(spark)
+    labelled = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang")).where(
+        train_rows(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    ).withColumn("tenth", F.pmod(F.xxhash64("id"), F.lit(10)) == 0)
+    every = cut_lineage(count_grams(labelled), "langid-counts")
+    used = every.groupBy("lang").agg(F.min("tenth").alias("tenth"))
+    rows = kneser_ney(every.join(used, ["lang", "tenth"]).select("lang", "code", "n")).toArrow().to_pandas()
+    if rows.empty:
         return None
-    model = Model(counts, letters)
+    model = Model(rows)
     shared = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +323,7 @@ def train(docs: DataFrame, train_rows, key: str = "doc_id", text: str = "text",
             ok = at >= 0
             yield pa.RecordBatch.from_arrays([pa.array(lang[ok], pa.string()), pa.array(entropy[np.arange(len(at)), at][ok]), pa.array(n[ok])], names=["lang", "e", "n"])
 
-    sample = labelled.where(tenth).where(F.length("text") > 0)
+    sample = labelled.where("tenth").where(F.length("text") > 0)
     bound = sample.select(F.xxhash64("id", "text").alias("h")).orderBy("h").limit(CALIBRATION_ROWS).agg(F.max("h")).first()[0]
     if bound is not None:
         usual = sample.where(F.xxhash64("id", "text") <= bound).select("text", "lang").mapInArrow(score, "lang string, e double, n double").toPandas()

@@ -2,7 +2,6 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,22 +40,27 @@ def brute_kneser_ney(seqs, alphabet_size, order=langid.ORDER):
     return prob
 
 
-def test_probabilities_match_plain_kneser_ney():
-    letters = [ord(c) for c in "abcdeg"]
-    alphabet = langid.make_alphabet(letters)
-    train = {"x": ["abc abd", "aabb cab dab", "abcabc"], "y": ["dddc bad", "cab cab", "ggg"]}
+def counted(spark, train):
     rows = []
     for lang, texts in train.items():
         total = Counter()
-        for codes, _ in langid.batches_of(texts, alphabet):
+        for codes, _ in langid.batches_of(texts):
             total.update(codes.tolist())
-        rows += [(lang, c, n) for c, n in total.items()]
-    model = langid.Model(pd.DataFrame(rows, columns=["lang", "code", "n"]), letters)
-    probs = [brute_kneser_ney([langid.symbols(t, alphabet).tolist() for t in train[k]], len(letters)) for k in model.langs]
-    tests = ["abc", "dab cab", "zzz q", "gggg", "É a b1c", "edcba" * 20]
+        rows += [(lang, c - (1 << 64) if c >> 63 else c, n) for c, n in total.items()]
+    return spark.createDataFrame(rows, "lang string, code long, n long")
+
+
+def test_probabilities_match_plain_kneser_ney(spark, monkeypatch):
+    monkeypatch.setattr(langid, "GROUP", 2)  # three languages, two groups
+    train = {"x": ["abc abd", "aabb cab dab", "abcabc"], "y": ["dddc bad", "cab cab", "ggg"], "z": ["\U00020000\U00020001 a", "\uff41\u4e00\u4e01"]}
+    model = langid.Model(langid.kneser_ney(counted(spark, train)).toPandas())
+    seqs = {k: [langid.symbols(t).tolist() for t in train[k]] for k in model.langs}
+    kinds = {s for own in seqs.values() for seq in own for s in seq}
+    probs = [brute_kneser_ney(seqs[k], len(kinds) - 1) for k in model.langs]
+    tests = ["abc", "dab cab", "zzz q", "gggg", "É a b1c", "edcba" * 20, "\U00020000 \u4e00\u4e01\U0001f600a"]
     entropy, n = model.entropies(tests)
     for i, t in enumerate(tests):
-        s = tuple(langid.symbols(t, alphabet).tolist())
+        s = tuple(langid.symbols(t).tolist())
         assert n[i] == len(s)
         p = (0,) * (langid.ORDER - 1) + s
         for k, prob in enumerate(probs):
@@ -64,22 +68,51 @@ def test_probabilities_match_plain_kneser_ney():
             assert entropy[i, k] == pytest.approx(want, rel=1e-4)
 
 
-def test_long_texts_are_scored_whole(monkeypatch):
-    letters = [ord(c) for c in "abcd"]
-    alphabet = langid.make_alphabet(letters)
+def test_rare_grams_leave_their_mass_to_the_lower_order(spark, monkeypatch):
+    train = {"x": ["abc abd", "aabb cab dab", "abcabc"] * 3}
+    counts = counted(spark, train)
+    whole = langid.kneser_ney(counts).toPandas()
+    monkeypatch.setattr(langid, "RARE", 0.06)
+    rows = langid.kneser_ney(counts).toPandas()
+    assert len(rows) < len(whole)
+    model = langid.Model(rows)
+    kinds = sorted({s for t in train["x"] for s in langid.symbols(t).tolist()})
+    for context in ([0, 0, 0], [97, 98, 99], [0, 97, 98], [98, 98, 98]):
+        codes = np.array([langid.grams(np.array([*context, s], np.uint16), 4)[-1] for s in [*kinds, 0xFFFF]])
+        assert np.exp(model.log_probs(codes)).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_symbols():
+    assert langid.symbols("Ab  1c").tolist() == [97, 98, 0, 99]
+    assert langid.symbols("\U00020000\U0001f600\ud800x").tolist() == [0xD840, 0xDC00, 0, 120]
+    assert langid.symbols("\U00010400").tolist() == [0xD801, 0xDC28]  # a capital above 0xFFFF
+
+
+def test_long_texts_are_scored_whole(spark, monkeypatch):
     rng = np.random.default_rng(1)
     text = "".join(rng.choice(list("abcd "), 5000))
-    counts = Counter()
-    for codes, _ in langid.batches_of([text], alphabet):
-        counts.update(codes.tolist())
-    model = langid.Model(pd.DataFrame([("x", c, n) for c, n in counts.items()], columns=["lang", "code", "n"]), letters)
+    counts = counted(spark, {"x": [text]})
+    model = langid.Model(langid.kneser_ney(counts).toPandas())
     whole = model.entropies([text, "abc"])
     monkeypatch.setattr(langid, "SLICE", 100)
     assert np.allclose(model.entropies([text, "abc"])[0], whole[0])
-    again = Counter()
-    for codes, _ in langid.batches_of([text], alphabet):
-        again.update(codes.tolist())
-    assert again == counts
+    assert sorted(counted(spark, {"x": [text]}).collect()) == sorted(counts.collect())
+
+
+def test_small_languages_and_far_letters(spark):
+    """Two ideographic languages of disjoint letters beside many Latin documents, letters above 0xFFFF, a language of one row."""
+    rng = np.random.default_rng(2)
+
+    def text(letters, n):
+        return " ".join("".join(rng.choice(letters, 6)) for _ in range(n))
+
+    latin = [chr(c) for c in [*range(97, 123), *range(0xE0, 0xF7), *range(0x100, 0x17F), *range(0x3B1, 0x3CA), *range(0x430, 0x450)]]
+    sets = {"la": (latin, 300, 200), "i1": ([chr(0x4E00 + k) for k in range(100)], 60, 20), "i2": ([chr(0x5E00 + k) for k in range(100)], 60, 20), "far": ([chr(0x20000 + k) for k in range(100)], 20, 10)}
+    rows = [(lang, text(letters, n)) for lang, (letters, docs, n) in sets.items() for _ in range(docs)] + [("one", "ⴰⴱⴲ ⴳⴴⴵ ⴰⴱⴲ")]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = langid.train(docs, lambda i: F.lit(True))
+    assert model.langs == ["far", "i1", "i2", "la", "one"]
+    assert all(r.lang_pred == r.lang for r in langid.identify(docs, model).collect())
 
 
 def test_held_out_accuracy_and_rejection(spark):
