@@ -34,7 +34,7 @@ CONTEXT = re.compile(
     re.A | re.I,
 )
 VALUE = re.compile(r"[\x20\t]*(?:(?:bearer|basic)[\x20\t]+)?[\"']?([^\s\"'`<>,;()]{6,})", re.A | re.I)
-LOOK_BACK = 48
+LOOK_BACK = 16  # at least the longest word of CONTEXT and a quotation mark; blanks before the sign are passed over first
 
 # FIXED VALUES: frequent password words, most frequent first
 COMMON = """password admin welcome letmein qwerty monkey dragon master login princess sunshine football baseball shadow
@@ -215,7 +215,10 @@ def spans_of(text: str, min_cost: float = MIN_COST) -> list[tuple[str, int, int,
     out += [("hex", m.start(), m.end(), None) for m in HEX.finditer(text)]
     if signs:
         for m in SIGN.finditer(text):
-            if CONTEXT.search(text[max(0, m.start() - LOOK_BACK) : m.start()]) and (v := VALUE.match(text, m.end())):
+            end = m.start()
+            while end and text[end - 1] in " \t":
+                end -= 1
+            if CONTEXT.search(text[max(0, end - LOOK_BACK) : end]) and (v := VALUE.match(text, m.end())):
                 if (cost := guess_cost(v[1])) >= min_cost:
                     out.append(("guess", v.start(1), v.end(1), cost))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
@@ -237,6 +240,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", min_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [[dict(zip(("kind", "start", "end", "cost"), s)) for s in spans_of(t.as_py() or "", min_cost)] for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, item)], names=[key, "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, item)], names=["id", "spans"])
 
-    return docs.select(key, F.col(text).cast("string").alias("text")).mapInArrow(run, f"`{key}` {kind}, spans {SPANS}")
+    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    return rows.mapInArrow(run, f"id {kind}, spans {SPANS}").withColumnRenamed("id", key)

@@ -106,3 +106,15 @@ def test_context(spark):
     assert secrets.find_secrets(df.limit(0)).count() == 0
     long = "x" * 300000 + " token: abcdefgh12 " + "0" * 300000
     assert [s[0] for s in secrets.spans_of(long) if s[0] != "guess"] == ["assign", "hex"]
+
+
+def test_context_behind_any_number_of_blanks(spark):
+    value = "xK9#mQ2$vL7!zR"
+    for blanks in ("", " " * 6, " " * 60, " \t" * 5000):
+        for word in ("password", "authorization", "encryption_key'"):
+            text = f"the {word}{blanks}: {value}"
+            assert [(k, text[a:b]) for k, a, b, _ in secrets.spans_of(text) if k == "guess"] == [("guess", value)]
+    assert not [s for s in secrets.spans_of(f"password and then: {value}") if s[0] == "guess"]
+    docs = spark.createDataFrame([(1, f"token = {value}")], "`doc.id` long, `the.text` string")
+    found = secrets.find_secrets(docs, "doc.id", "the.text")
+    assert found.columns == ["doc.id", "spans"] and [s.kind for s in found.first()["spans"]] == ["guess"]
