@@ -51,15 +51,15 @@ class Trie:
     def walk(self, word: str) -> tuple[str, bool, int, float] | None:
         """Best term for ``word``: ``term, is_stem, edits, weight``; exact before misspelled, longer terms first.
 
-        A state is (letters of the word used, edits). Stems match at the beginning of a
-        word and without edits; whole words match with at most one edit, a swap of two
-        neighbours counting as one.
+        A state is (letters of the word used, edits); two edits stand for half a swap, where the term
+        must go on with the letter passed over. Stems match at the beginning of a word and
+        without edits; whole words match with at most one edit, a swap of two neighbours counting as one.
         """
         found: list[tuple[int, int, str, bool, float]] = []
-        stack = [(self.root, frozenset({(0, 0)}), "")]
+        stack = [(self.root, frozenset({(0, 0)}))]
         n = len(word)
         while stack:
-            node, states, last = stack.pop()
+            node, states = stack.pop()
             if "" in node:
                 term, is_stem, weight = node[""]
                 if is_stem:
@@ -74,6 +74,10 @@ class Trie:
                     continue
                 after = set()
                 for i, e in states:
+                    if e == 2:
+                        if word[i] == c:
+                            after.add((i + 2, 1))  # the other half of a swap
+                        continue
                     if i < n and word[i] == c:
                         after.add((i + 1, e))
                     if e == 0:
@@ -82,8 +86,9 @@ class Trie:
                             after.add((i + 1, 1))  # another letter stands for it
                         if i + 1 < n and word[i + 1] == c:
                             after.add((i + 2, 1))  # the word has a letter too many
+                            after.add((i, 2))  # or the two letters are swapped
                 if after:
-                    stack.append((below, frozenset(after), c))
+                    stack.append((below, frozenset(after)))
         if not found:
             return None
         edits, _, term, is_stem, weight = min(found)
@@ -100,9 +105,10 @@ class Scorer:
         self.words = {t for t, (stem, _) in terms.items() if not stem}
         self.stems = {t for t, (stem, _) in terms.items() if stem}
         self.stem_sizes = sorted({len(t) for t in self.stems})
-        # a word within one edit of a term keeps the term's first or its second half whole
+        # a word within one edit of a term keeps the term's first or its second half whole, but for a swap across the middle
         fuzzy = [t for t in self.words if len(t) >= MIN_FUZZY]
         self.heads = {(len(t) + d, t[: len(t) // 2]) for t in fuzzy for d in (-1, 0, 1)}
+        self.heads |= {(len(t), t[: len(t) // 2 - 1] + t[len(t) // 2]) for t in fuzzy}
         self.tails = {(len(t) + d, t[len(t) // 2 :]) for t in fuzzy for d in (-1, 0, 1)}
         self.head_sizes, self.tail_sizes = sorted({len(h) for _, h in self.heads}), sorted({len(h) for _, h in self.tails})
         self.starts, self.ends = {h[:2] for _, h in self.heads}, {t[-2:] for _, t in self.tails}

@@ -9,13 +9,24 @@ from tests.conftest import SF01
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
+    """Edit distance in which a swap of two neighbours is one edit."""
+    rows = [list(range(len(b) + 1))]
     for i, x in enumerate(a, 1):
         new = [i]
         for j, y in enumerate(b, 1):
-            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
-        row = new
-    return row[-1]
+            best = min(new[-1] + 1, rows[-1][j] + 1, rows[-1][j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                best = min(best, rows[-2][j - 2] + 1)
+            new.append(best)
+        rows.append(new)
+    return rows[-1][-1]
+
+
+def test_swapped_neighbours():
+    scorer = toxicity.Scorer({"scumbag": (False, 1.0)})
+    for word in ("csumbag", "sucmbag", "scmubag", "scubmag", "scumabg", "scumbga"):
+        assert scorer.match(word) == ("scumbag", False, 1, 1.0)
+    assert scorer.match("csumbga") is None
 
 
 @settings(max_examples=300, deadline=None)
