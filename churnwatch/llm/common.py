@@ -20,6 +20,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The ``names``, with underscores before those that ``columns`` already have in any case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def bind(value: Column, use) -> Column:
     """``use(value)`` with ``value`` computed once, also where ``use`` has it inside a lambda."""
     return F.element_at(F.transform(F.array(value), use), 1)

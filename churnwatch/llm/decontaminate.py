@@ -16,7 +16,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnwatch.llm.common import bind
+from churnwatch.llm.common import bind, unused
 from churnwatch.llm.templates import row_key
 from churnwatch.session import cut_lineage
 
@@ -154,5 +154,6 @@ def flag(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
         F.sort_array(F.collect_set("item")).alias("items"), F.max("similarity").alias("similarity")
     )
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
-    joined = docs.select(*kept, *row_key(key, text)).join(cut_lineage(found, "bench-found"), ["_a", "_b"], "left")
+    a, b = unused([*docs.columns, *added], "_a", "_b")
+    joined = docs.select(*kept, *row_key(key, text, (a, b))).join(cut_lineage(found, "bench-found").toDF(a, b, "items", "similarity"), [a, b], "left")
     return joined.select(*kept, F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.array()).alias("items"), "similarity")

@@ -241,7 +241,8 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     symbols get no row, and their mass goes to the lower order. A suffix is
     at least as frequent as its n-gram, so it has a row where the n-gram has one.
     """
-    sizes = counts.groupBy("lang").agg((F.sum("n") * RARE).alias("least"))
+    # a row per language, written so that its size decides how it is joined: a shuffle by language alone would put one into a task
+    sizes = cut_lineage(counts.groupBy("lang").agg((F.sum("n") * RARE).alias("least")), "langid-sizes")
     level, out = counts.withColumn("seen", F.col("n")), []
     for m in range(ORDER, 0, -1):
         if m < ORDER:
@@ -249,7 +250,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
             level = cut_lineage(level.groupBy("lang", "code").agg(F.count("*").alias("n"), F.sum("seen").alias("seen")), "langid-level")
         once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
         discount = F.least(F.lit(0.95), F.greatest(F.lit(0.05), once / F.greatest(F.lit(1), once + 2 * twice)))
-        by_lang = level.groupBy("lang").agg(discount.alias("d")).join(sizes, "lang")
+        by_lang = cut_lineage(level.groupBy("lang").agg(discount.alias("d")).join(sizes, "lang"), "langid-discounts")
         rows = level.join(by_lang, "lang").withColumn("ctx", F.shiftrightunsigned("code", BITS)).withColumn("kept", F.col("seen") >= F.col("least"))
         contexts = rows.groupBy("lang", "ctx").agg(
             F.sum("n").alias("total"), F.sum(F.when(F.col("kept"), F.col("n") - F.col("d")).otherwise(0.0)).alias("held"), F.max("kept").alias("any")
@@ -307,7 +308,7 @@ def train(docs: DataFrame, train_rows, key: str = "doc_id", text: str = "text",
         train_rows(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
     ).withColumn("tenth", F.pmod(F.xxhash64("id"), F.lit(10)) == 0)
     every = cut_lineage(count_grams(labelled), "langid-counts")
-    used = every.groupBy("lang").agg(F.min("tenth").alias("tenth"))
+    used = cut_lineage(every.groupBy("lang").agg(F.min("tenth").alias("tenth")), "langid-used")
     rows = kneser_ney(every.join(used, ["lang", "tenth"]).select("lang", "code", "n")).toArrow().to_pandas()
     if rows.empty:
         return None
@@ -358,9 +359,11 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: lis
         for batch in batches:
             got = shared.value.predict(batch.column(at).to_pylist())
             columns = [pa.array(got[c], t) for c, t in zip(RESULTS, (pa.string(), pa.float64(), pa.bool_(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *columns], names=[*keep, *names])
-
-    kept = [f"`{docs.schema[c].name}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    schema = ", ".join([*kept, *(f"`{n}` {t}" for n, t in zip(names, ("string", "double", "boolean", "double")))])
-    read = [f"`{c}`" for c in keep] + ([] if text in keep else [f"`{text}`"])
-    return docs.select(*read).mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *columns], names=inner)
+
+    # numbered inside, so that a column may have any name
+    inner = [f"c{i}" for i in range(len(keep) + len(RESULTS))]
+    types = [docs.schema[c].dataType.simpleString() for c in keep] + ["string", "double", "boolean", "double"]
+    read = keep + ([] if text in keep else [text])
+    numbered = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(read)])
+    return numbered.mapInArrow(run, ", ".join(f"{n} {t}" for n, t in zip(inner, types))).toDF(*keep, *names)

@@ -112,6 +112,8 @@ def solve_dual(hist: DataFrame, targets: DataFrame, cap: float, rounds: int = 60
         )
         if state.where("not done").isEmpty():
             break
+    else:
+        raise RuntimeError(f"the dual did not settle in {rounds} rounds")
     return state.select("src", "lam", "scale")
 
 

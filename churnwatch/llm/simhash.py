@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnwatch.llm.common import components
+from churnwatch.llm.common import components, unused
 from churnwatch.llm.templates import row_key
 from churnwatch.session import cut_lineage, ready_python
 
@@ -208,10 +208,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     text, whose other columns may differ, give the smallest row. The choice is a grouped minimum per
     component over hashes; texts meet once, in the join with the chosen rows.
     """
-    named = docs.select("*", *row_key(key, text))
-    rows = cut_lineage(fingerprints(named, ["_a", "_b", key], text, shingle), "keep-rows")
+    a, b = unused([*docs.columns, "fp", "root", "component_id", "none", "k"], "_a", "_b")
+    named = docs.select("*", *row_key(key, text, (a, b)))
+    rows = cut_lineage(fingerprints(named, [a, b, key], text, shingle), "keep-rows")
     found = rows.join(fingerprint_components(rows, key), "fp")
-    best = F.min(F.struct(F.col(f"`{key}`").isNull().alias("none"), F.col(f"`{key}`").alias("k"), "_a", "_b")).alias("m")
-    chosen = cut_lineage(found.groupBy("root").agg(best).select("m._a", "m._b"), "keep-chosen")
-    kept = named.join(chosen, ["_a", "_b"], "left_semi").groupBy("_a", "_b").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row"))
+    best = F.min(F.struct(F.col(f"`{key}`").isNull().alias("none"), F.col(f"`{key}`").alias("k"), a, b)).alias("m")
+    chosen = cut_lineage(found.groupBy("root").agg(best).select(f"m.{a}", f"m.{b}"), "keep-chosen")
+    kept = named.join(chosen, [a, b], "left_semi").groupBy(a, b).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row"))
     return kept.select("row.*")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnwatch.llm.common import WORD, bind
+from churnwatch.llm.common import WORD, bind, unused
 from churnwatch.session import cut_lineage
 
 LEAD, BANDS, WIDE = 3, 4, 8
@@ -23,10 +23,10 @@ LINE_END = r"\r?\n"
 VARIABLE = r"[0-9@]|://"
 
 
-def row_key(key: str, text: str) -> list[Column]:
-    """Two hashes that name a document by key and text: null keys are defined, equal rows are one document."""
+def row_key(key: str, text: str, names: tuple[str, str] | list[str] = ("_a", "_b")) -> list[Column]:
+    """Two hashes, called ``names``, that stand for a document by key and text: null keys are defined, equal rows are one document."""
     both = [F.col(f"`{key}`"), F.col(f"`{text}`")]
-    return [F.xxhash64(*both).alias("_a"), F.xxhash64(F.lit(1), *both).alias("_b")]
+    return [F.xxhash64(*both).alias(names[0]), F.xxhash64(F.lit(1), *both).alias(names[1])]
 
 
 def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -90,15 +90,17 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", size: s
     exactly as they were.
     """
     drops = cut_lineage(recurring_lines(docs, key, text, min_docs, min_docs_short), "line-drops")
-    named = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "n_dropped"], *row_key(key, text))
-    joined = named.join(drops.withColumnRenamed("lines", "_lines"), ["_a", "_b"], "left")
+    a, b, gone, left = unused([*docs.columns, "n_dropped"], "_a", "_b", "_lines", "_kept")
+    named = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "n_dropped"], *row_key(key, text, (a, b)))
+    joined = named.join(drops.toDF(a, b, gone), [a, b], "left")
+
     def rest(lines: Column) -> Column:
-        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_lines"))
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
         return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
 
-    joined = joined.withColumn("_kept", F.when(F.col("_lines").isNotNull(), bind(F.split(F.col(f"`{text}`"), LINE_END), rest)))
-    whole = ~F.coalesce(F.col("_kept").rlike(WORD), F.lit(False))
-    new = F.when(whole, F.col(f"`{text}`")).otherwise(F.col("_kept"))
+    joined = joined.withColumn(left, F.when(F.col(gone).isNotNull(), bind(F.split(F.col(f"`{text}`"), LINE_END), rest)))
+    whole = ~F.coalesce(F.col(left).rlike(WORD), F.lit(False))
+    new = F.when(whole, F.col(f"`{text}`")).otherwise(F.col(left))
     out = []
     for c in docs.columns:
         if c == text:
@@ -107,4 +109,4 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", size: s
             out.append(F.when(whole, F.col(f"`{c}`")).otherwise(F.length(new)).cast(docs.schema[c].dataType).alias(c))
         elif c != "n_dropped":
             out.append(F.col(f"`{c}`"))
-    return joined.select(*out, F.when(whole, 0).otherwise(F.size("_lines")).cast("long").alias("n_dropped"))
+    return joined.select(*out, F.when(whole, 0).otherwise(F.size(gone)).cast("long").alias("n_dropped"))

@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 import __spark_entry__ as entry
 from churnwatch.llm import simhash
@@ -59,3 +61,21 @@ def test_odd_rows(spark, tmp_path):
 def test_keep_one_keeps_whole_rows(spark):
     docs = spark.createDataFrame([(2, "a b c d e", "y"), (2, "a b c d e", "x"), (3, "A b c d e", "z"), (None, "a b c d e", "w"), (9, None, "q")], "doc_id long, text string, fp string")
     assert sorted(map(str, simhash.keep_one(docs).collect())) == sorted(map(str, spark.createDataFrame([(2, "a b c d e", "x"), (9, None, "q")], docs.schema).collect()))
+
+
+def test_clashing_names(spark, tmp_path):
+    """Columns called like the stages' own inner ones pass through unchanged."""
+    extra = ["_a", "_b", "_lines", "_kept", "_lang", "_score", "_rejected", "_entropy", "_text", "dotted.name"]
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").where("doc_id % 50 = 0")
+    plain = spark.createDataFrame(docs.collect(), docs.schema)
+    for k, c in enumerate(extra):
+        plain = plain.withColumn(c, F.concat_ws("-", F.lit(k), "doc_id"))
+    kept = plain
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, kept, SF01).write.parquet(f"{tmp_path}/{name}")
+        kept = spark.read.parquet(f"{tmp_path}/{name}")
+        assert kept.columns == plain.columns
+    rows = kept.collect()
+    assert rows and all(r[c] == f"{k}-{r.doc_id}" for r in rows for k, c in enumerate(extra))
+    mixed = corpus_pipeline.mix(spark, kept, SF01).collect()
+    assert mixed and all(r[c] == f"{k}-{r.doc_id}" for r in mixed for k, c in enumerate(extra))
