@@ -168,11 +168,12 @@ WITH line AS (
   SELECT doc_id, sum(words) AS all_words FROM (SELECT DISTINCT doc_id, nth, words FROM template) GROUP BY doc_id
 ), own AS (
   SELECT doc_id, sum(words) AS found FROM (SELECT DISTINCT doc_id, nth, words FROM repeated) GROUP BY doc_id
-), copies AS (
-  SELECT doc_id FROM total JOIN own USING (doc_id) WHERE found >= 0.6 * all_words
+), evidence AS (
+  SELECT r.doc_id, r.words, r.template FROM repeated r JOIN total t ON t.doc_id = r.doc_id JOIN own o ON o.doc_id = r.doc_id
+  WHERE t.all_words > r.words AND o.found - r.words < 0.6 * (t.all_words - r.words)
 ), dropped AS (
-  SELECT template FROM repeated ANTI JOIN copies USING (doc_id) GROUP BY template, words
-  HAVING count(DISTINCT doc_id) >= CASE WHEN words >= 6 THEN 3 ELSE 10 END
+  SELECT template FROM evidence GROUP BY template, words
+  HAVING count(DISTINCT doc_id) >= CASE WHEN words >= 50 THEN 2 WHEN words >= 6 THEN 3 ELSE 10 END
 ), gone AS (
   SELECT DISTINCT doc_id, nth FROM repeated SEMI JOIN dropped USING (template)
 ), cleaned AS (

@@ -18,7 +18,8 @@ from churnwatch.session import cut_lineage
 LEAD, BANDS, WIDE = 3, 4, 8
 MIN_DOCS = 3  # documents that a template of LONG tokens or more must recur in
 MIN_DOCS_SHORT, LONG = 10, 6  # shorter lines recur by chance
-COPY_SHARE = 0.6  # a document with this share of its words in lines found elsewhere is a copy and no evidence
+MIN_DOCS_PASSAGE, PASSAGE = 2, 50  # a passage of so many tokens never does
+COPY_SHARE = 0.6  # a document is no evidence about a line if this share of its other words is found elsewhere too
 LINE_END = r"\r?\n"
 VARIABLE = r"[0-9@]|://"
 
@@ -30,7 +31,7 @@ def row_key(key: str, text: str, names: tuple[str, str] | list[str] = ("_a", "_b
 
 
 def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``_a, _b, line, words, template``: one row per non-blank line and template."""
+    """``_a, _b, line, words, templates``: one row per non-blank line with its one or four templates."""
     whole = docs.select(*row_key(key, text), F.split(F.col(f"`{text}`"), LINE_END).alias("all"))
     lines = whole.select("_a", "_b", F.posexplode_outer("all").alias("line", "s"))  # outer: no filter that splits once more
     # one kind of space first, so that tokens are split at a plain character
@@ -52,29 +53,34 @@ def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
     open_band = [F.xxhash64("words", "lead", F.lit(k), *[f"band{j}" for j in range(BANDS) if j != k]) for k in range(BANDS)]
     found = F.when(F.col("whole").isNull(), F.array(*open_band)).otherwise(F.array("whole"))
-    return hashes.select("_a", "_b", "line", "words", F.explode(found).alias("template"))
+    return hashes.select("_a", "_b", "line", "words", found.alias("templates"))
 
 
 def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, min_docs_short: int = MIN_DOCS_SHORT) -> DataFrame:
     """``_a, _b, lines``: per document the places (from 0) of its lines whose template recurs.
 
-    A template counts the documents that hold it, without those that are copies: where
-    most words stand in lines found elsewhere, the document as a whole is repeated, which
-    near-duplicate removal has to settle; its lines would otherwise all look recurring.
+    A template counts the documents that hold it and are otherwise different: the rest of
+    the document, without the line itself, has words, and less than ``COPY_SHARE`` of them
+    stand in lines found elsewhere. A copy's other lines are found where the first one was,
+    so it is no evidence: the document as a whole is repeated, which near-duplicate removal
+    has to settle. A passage counts however much of its documents it makes up.
     Counts are combined before each shuffle; a very common line is a skewed join key,
     which adaptive execution splits.
     """
     table = cut_lineage(line_table(docs, key, text), "line-templates")
     doc = ["_a", "_b"]
-    shared = table.groupBy("template").agg(F.count_distinct("_a").alias("docs")).where("docs > 1").select("template")
-    repeated = cut_lineage(table.join(shared, "template"), "line-repeated")
+    single = table.select(*doc, "line", "words", F.explode("templates").alias("template"))
+    # two documents or more: smallest and largest differ, which needs one row per template
+    shared = single.groupBy("template").agg(F.min("_a").alias("least"), F.max("_a").alias("most")).where("least <> most").select("template")
+    repeated = cut_lineage(single.join(shared, "template"), "line-repeated")
 
     def words_of(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy(*doc, "line").agg(F.max("words").alias("words")).groupBy(*doc).agg(F.sum("words").alias(name))
 
-    copies = words_of(table, "all_words").join(words_of(repeated, "found"), doc).where(F.col("found") >= COPY_SHARE * F.col("all_words")).select(*doc)
-    evidence = repeated.join(copies, doc, "left_anti")
-    needed = F.when(F.col("words") >= LONG, F.lit(min_docs)).otherwise(F.lit(min_docs_short))
+    rest, found = F.col("all_words") - F.col("words"), F.col("found") - F.col("words")
+    sums = words_of(table, "all_words").join(words_of(repeated, "found"), doc)
+    evidence = repeated.join(sums, doc).where((rest > 0) & (found < COPY_SHARE * rest))
+    needed = F.when(F.col("words") >= PASSAGE, F.lit(min(min_docs, MIN_DOCS_PASSAGE))).when(F.col("words") >= LONG, F.lit(min_docs)).otherwise(F.lit(min_docs_short))
     dropped = evidence.groupBy("template", "words").agg(F.count_distinct("_a").alias("docs")).where(F.col("docs") >= needed)
     lines = repeated.join(dropped.select("template"), "template").select(*doc, "line").distinct()
     return lines.groupBy(*doc).agg(F.sort_array(F.collect_list("line")).alias("lines"))

@@ -55,3 +55,18 @@ def test_document_of_recurring_lines_alone_stays_whole(spark):
     got = {r.doc_id: (r.text, r.n_dropped) for r in templates.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[8] == (f"\n{notice}\n ", 0)
     assert all(notice not in got[i][0] and got[i][1] == 1 for i in range(5))
+
+
+def test_passage_counts_however_much_of_its_documents_it_makes_up(spark):
+    rng = random.Random(8)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    common, pair, lone = words(60), words(60), words(60)
+    own = [[words(rng.randint(15, 40)), words(9)] for _ in range(52)]
+    rows = [(i, "\n".join([own[i][0], common, own[i][1]])) for i in range(50)]
+    rows += [(i, "\n".join([pair, *own[i]])) for i in (50, 51)]
+    body = [words(15) for _ in range(6)]
+    rows += [(60 + i, "\n".join([lone, *body])) for i in range(4)]  # copies of one document
+    rows += [(70, lone)]
+    got = {r.doc_id: (r.text, r.n_dropped) for r in templates.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == ("\n".join(own[i]), 1) for i in range(52))
+    assert all(got[i] == (t, 0) for i, t in rows if i >= 60)
