@@ -13,6 +13,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,18 +30,19 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # FIXED VALUES: template marks, in the order of their reserved ids
 MARKS = ["<s>", "</s>", "[INST]", "[/INST]", "[ASST]", "[ROLE]", "[TEXT]", "[/ROLE]"]
 BOS, END, USER, USER_END, ASSISTANT, ROLE, TEXT, ROLE_END = range(len(MARKS))
-PIECE = 1 << 16  # a longer text is encoded in pieces of so many characters
+LONG_SPACE = 1 << 18  # a longer run of white space is more than the library's pattern engine takes; same ids without it
 
 _ESCAPE = re.compile("|".join(rf"(?<={re.escape(m[0])})(?=\\*{re.escape(m[1:])})" for m in MARKS))
 _UNESCAPE = re.compile("|".join(rf"(?<={re.escape(m[0])})\\(?=\\*{re.escape(m[1:])})" for m in MARKS))
+_SPACE = re.compile(r"[^\S\x1c-\x1f]+")  # white space as the vocabulary's pattern knows it
 
 
 def escape(text: str) -> str:
-    return _ESCAPE.sub(r"\\", text)
+    return _ESCAPE.sub(r"\\", text) if "<" in text or "[" in text else text
 
 
 def unescape(text: str) -> str:
-    return _UNESCAPE.sub("", text)
+    return _UNESCAPE.sub("", text) if "\\" in text else text
 
 
 class Codec:
@@ -50,6 +52,7 @@ class Codec:
 
     def __init__(self, file: bytes):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file.splitlines())}
+        self.ranks = ranks
         self.encoding = tiktoken.Encoding("chat", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.first = max(ranks.values()) + 1
 
@@ -60,10 +63,27 @@ class Codec:
             cls._built[name] = cls(file)
         return cls._built[name]
 
+    @cached_property
+    def unsplit(self) -> tiktoken.Encoding:
+        """The same vocabulary for a text that is one pre-token."""
+        return tiktoken.Encoding("unsplit", pat_str=r"[\s\S]+", mergeable_ranks=self.ranks, special_tokens={})
+
     def encode(self, text: str) -> list[int]:
-        if len(text) <= PIECE:
+        """The ids of the whole text, as the library gives them.
+
+        White space up to the last one before a word is one pre-token by the pattern, so a
+        run that is too long for its engine is encoded alone and the text around it as usual.
+        """
+        if len(text) <= LONG_SPACE:
             return self.encoding.encode_ordinary(text)
-        return [i for at in range(0, len(text), PIECE) for i in self.encoding.encode_ordinary(text[at : at + PIECE])]
+        out, done = [], 0
+        for run in _SPACE.finditer(text):
+            if run.end() - run.start() > LONG_SPACE:
+                end = run.end() - (run.end() < len(text))
+                out += self.encoding.encode_ordinary(text[done : run.start()])
+                out += self.unsplit.encode_ordinary(text[run.start() : end])
+                done = end
+        return out + self.encoding.encode_ordinary(text[done:])
 
     def decode(self, ids: list[int]) -> str:
         return self.encoding.decode_bytes(ids).decode()
@@ -77,8 +97,9 @@ class Codec:
             parts = [([ASSISTANT], 0), (body, 1), ([END], 0)]
         else:
             parts = [([ROLE], 0), (self.encode(escape(role)), 0), ([TEXT], 0), (body, 0), ([ROLE_END], 0)]
-        ids = np.concatenate([np.array(p, dtype=np.int32) + (self.first if i % 2 == 0 else 0) for i, (p, _) in enumerate(parts)])
+        ids = np.array([i for p, _ in parts for i in p], dtype=np.int32)
         ends = np.cumsum([len(p) for p, _ in parts])
+        ids[ends[::2] - 1] += self.first  # every other part is one mark
         step = np.zeros(len(ids) + 1, dtype=np.int8)
         for (p, loss), end in zip(parts, ends):
             step[end - len(p)] += loss

@@ -25,6 +25,17 @@ def test_turn_round_trip(parts, role):
     assert (ids >= CODEC.first).sum() == (3 if role not in ("user", "assistant") else 2)
 
 
+def test_long_texts_are_encoded_whole(monkeypatch):
+    words = "some words, 123 of them, aren't\nalike  here 漢字é\t\n " * 8_000
+    for text in (words, "ab" * 200_000, words + " " * 300_000 + "x", "y" + "\n " * 200_000, "\u3000" * 300_000 + "\x1c" + words):
+        assert CODEC.encode(text) == CODEC.encoding.encode_ordinary(text) and CODEC.decode(CODEC.encode(text)) == text
+    text = " " * 1_500_000 + "x"  # more than the library's pattern engine takes
+    assert CODEC.decode(CODEC.encode(text)) == text
+    monkeypatch.setattr(chat, "LONG_SPACE", 3)  # every longer run apart
+    for text in (words, "    ", "a    ", "    a", "a     b      \n\n\n\n\nc", "a\x1c    \x1cb    \u2028", "\x85\xa0    \x1f    's     12"):
+        assert CODEC.encode(text) == CODEC.encoding.encode_ordinary(text)
+
+
 def brute(rows):
     out = {}
     for conv in {r[0] for r in rows}:
