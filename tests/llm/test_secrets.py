@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from hypothesis import given, settings
@@ -76,8 +77,6 @@ def test_guess_cost():
 
 
 def test_long_values_are_segmented():
-    import random
-
     rng = random.Random(4)
     cheap = ["changeme" * 40, "abcd" * 100, "password" * 33 + "1", "a" * 5000]
     assert max(map(secrets.guess_cost, cheap)) < secrets.MIN_COST
@@ -88,8 +87,6 @@ def test_long_values_are_segmented():
 
 
 def test_repeats_are_those_of_the_pattern():
-    import random
-
     rng = random.Random(9)
     for _ in range(150):
         parts = ["".join(rng.choice("abc"[: rng.randrange(1, 4)]) for _ in range(rng.randrange(1, 12))) * rng.randrange(1, 5) for _ in range(rng.randrange(1, 7))]
@@ -118,3 +115,31 @@ def test_context_behind_any_number_of_blanks(spark):
     docs = spark.createDataFrame([(1, f"token = {value}")], "`doc.id` long, `the.text` string")
     found = secrets.find_secrets(docs, "doc.id", "the.text")
     assert found.columns == ["doc.id", "spans"] and [s.kind for s in found.first()["spans"]] == ["guess"]
+
+
+def test_words_are_ranked_by_the_documents(spark):
+    import math
+    from collections import Counter
+
+    rng = random.Random(6)
+    vocab = ["butterfly", "garden", "elephant", "giraffe", "Straße", *("".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 5))) for _ in range(300))]
+    texts = [" ".join(rng.choices(vocab, [1 / (1 + i) for i in range(len(vocab))], k=40)).capitalize() + "." for _ in range(200)]
+    texts += ["xqzvkwpl9 wqzxkvjp_ token=zqxwvkjy token: zqxwvkjy, token = \"zqxwvkjw\" a.zqxwvkjp"] * 9  # no words: beside digits or signs, or values
+    values = ["butterflygarden", "elephantGIRAFFE", "yfl\u0131rettub", "nedrag2020", "g@rd3nelephant", "xK9vQ2mLp7Zr", "straßegarden", "\u0130stanbul\u0130x"]
+    docs = [(i, t) for i, t in enumerate([*texts, *(f"my password: {v}" for v in values)])] + [(None, None), (None, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    ranks = {r.word: r["rank"] for r in secrets.word_ranks(df).collect()}
+    count = Counter(w for t in texts[:200] for w in set(t.lower().rstrip(".").split()))
+    assert {w for w in ranks if w not in ("token", "password")} == {w for w, n in count.items() if n >= secrets.WORD_DOCS and len(w) >= 3}
+    level = lambda w: math.floor(8 * math.log2(count[w]))
+    known = [w for w in ranks if count[w]]
+    for w in known:
+        above = sum(level(v) >= level(w) for v in known)
+        assert above <= ranks[w] <= above + 2  # "token" and "password" may be above
+    every = {**ranks, **{w: min(r, ranks.get(w, r)) for w, r in secrets.RANK.items()}}
+    got = {r.doc_id: [(s.kind, s.start, s.end, s.cost) for s in r.spans] for r in secrets.find_secrets(df).collect()}
+    assert all(got[i] == secrets.spans_of(t or "", ranks=every) for i, t in docs if i is not None)
+    costs = {v: secrets.guess_cost(v, every) for v in values}
+    assert costs["butterflygarden"] < secrets.MIN_COST <= secrets.guess_cost("butterflygarden")
+    assert costs["xK9vQ2mLp7Zr"] == secrets.guess_cost("xK9vQ2mLp7Zr") >= secrets.MIN_COST
+    assert costs["g@rd3nelephant"] < secrets.guess_cost("g@rd3nelephant") and costs["nedrag2020"] < secrets.MIN_COST
