@@ -64,3 +64,27 @@ def test_odd_rows(spark):
 def test_rotation_is_orthogonal():
     r = ann.rotation(33)
     assert np.allclose(r @ r.T, np.eye(33)) and np.array_equal(r, ann.rotation(33))
+
+
+def test_estimates_from_packed_bits():
+    rng = np.random.default_rng(8)
+    for dim in (1, 7, 64, 100):
+        q, v = rng.standard_normal((9, dim)), rng.standard_normal((300, dim))
+        bits = np.packbits(v > 0, axis=1)
+        low, step, planes = ann._planes(q)
+        levels = np.rint((q - low[:, None]) / np.where(step > 0, step, 1)[:, None])
+        want = levels @ (v > 0).T.astype(float)
+        assert np.array_equal(ann.common_bits(planes, ann._words(bits), slice(0, 9)), want)
+        assert (np.abs(low[:, None] + step[:, None] * levels - q) <= step[:, None] / 2 + 1e-12).all()
+
+
+def test_bounds_leave_rows_out_and_lose_few(spark):
+    rng = np.random.default_rng(9)
+    rows = rng.standard_normal((4000, 64))
+    length = np.linalg.norm(rows, axis=1)
+    turned = (rows / length[:, None]) @ ann.rotation(64).T
+    fit, ids, q = np.abs(turned).sum(axis=1) / 8, np.arange(4000), rows[::100]
+    (qi, found, score), compared = ann.search_block(ids[::100], q, ids, rows, np.packbits(turned > 0, axis=1), length, fit, 20)
+    assert compared < 0.6 * len(q) * 4000
+    want = {(i, j) for i, best in brute(list(zip(ids.tolist(), rows)), list(zip(ids[::100].tolist(), q))).items() for _, j in best}
+    assert len(want & set(zip(qi.tolist(), found.tolist()))) >= 0.98 * len(want)
