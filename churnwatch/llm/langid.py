@@ -257,7 +257,8 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         ).where("any")
         own = rows.where("kept").join(contexts, ["lang", "ctx"]).select("lang", F.lit(m).alias("order"), F.lit(False).alias("context"), "code", ((F.col("n") - F.col("d")) / F.col("total")).alias("value"))
         left = contexts.select("lang", F.lit(m).alias("order"), F.lit(True).alias("context"), F.col("ctx").alias("code"), F.log((F.col("total") - F.col("held")) / F.col("total")).alias("value"))
-        out += [own, left]
+        # written by order: all orders in one plan would hold the joined tables of every order on the driver at once
+        out.append(cut_lineage(own.unionByName(left), "langid-order"))
     whole = out[0]
     for rows in out[1:]:
         whole = whole.unionByName(rows)
@@ -328,6 +329,7 @@ def train(docs: DataFrame, train_rows, key: str = "doc_id", text: str = "text",
     bound = sample.select(F.xxhash64("id", "text").alias("h")).orderBy("h").limit(CALIBRATION_ROWS).agg(F.max("h")).first()[0]
     if bound is not None:
         usual = sample.where(F.xxhash64("id", "text") <= bound).select("text", "lang").mapInArrow(score, "lang string, e double, n double").toPandas()
+        shared.destroy()
         entropy = np.zeros((len(usual), len(model.langs)))
         entropy[np.arange(len(usual)), [model.langs.index(x) for x in usual["lang"]]] = usual["e"]
         model.calibrate(entropy, usual["n"].to_numpy(), usual["lang"].to_numpy())
