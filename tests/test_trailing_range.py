@@ -61,3 +61,11 @@ def test_samples_at_one_time_are_one_window(spark):
     df = spark.createDataFrame([(t, "m", "s", v) for t, v in rows], "ts timestamp_ntz, metric string, series string, value double")
     got = sorted((r.ts, r.increase, r.covered) for r in SE.increase(df, 10).collect())
     assert got == [(T0, 0.0, 0.0)] * 2 + [(T0 + timedelta(seconds=5), 3.0, 5.0)] * 2 + [(T0 + timedelta(seconds=11), 2.0, 6.0)]
+
+
+def test_changes_keep_the_last_sample_before_a_block(spark):
+    """A sample many ranges after the one before it is alone in its window, and its own step is not counted."""
+    rows = [(T0, 1.0), (T0 + timedelta(seconds=95), 2.0), (T0 + timedelta(seconds=96), 2.0), (T0 + timedelta(seconds=300), 3.0)]
+    df = spark.createDataFrame([(t, "m", "s", v) for t, v in rows], "ts timestamp_ntz, metric string, series string, value double")
+    out = SE.changes(df, 10)
+    assert not sliding(out) and [r.changes for r in out.orderBy("ts").collect()] == [0, 0, 0, 0]
