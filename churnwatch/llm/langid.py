@@ -10,7 +10,8 @@ languages, and a small language is cut by its own size only. Languages share sor
 arrays of n-gram hashes in groups of ``GROUP``, whose rows hold the interpolated log probability
 per language. The language with the lowest cross-entropy per symbol wins; how
 far that entropy may lie above what is usual for the language and the length is
-calibrated on training documents that the counts do not use.
+calibrated on all training documents of one tenth, by a model that counts the other
+nine; the model itself counts all ten.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnwatch.operators import quantiles as Q
 from churnwatch.session import cut_lineage, ready_python
 
 ORDER, BITS = 4, 16
@@ -30,7 +32,7 @@ RARE = 1e-6  # least share of a language's symbols that an n-gram ends at: at mo
 GROUP = 8  # languages in one table: its rows hold a number for each of them
 HELD = 1 << 21  # distinct n-grams a counting task holds at once for a language
 SLICE = 1 << 20  # symbols worked on at once
-CALIBRATION_ROWS = 20_000  # bound on the documents that calibrate rejection, smallest hash first
+LEAST_TEXTS = 5  # texts of a language that say what is usual for it; one with fewer takes the mean of the others
 REJECT_WIDTH, REJECT_EXCESS = 8.0, 0.75  # a text in no learned language: standard deviations, and nats a symbol, above the usual entropy
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _LETTER = np.array([chr(c).isalpha() for c in range(1 << BITS)])
@@ -189,20 +191,9 @@ class Model:
             n += np.bincount(rows, minlength=len(texts))
         return total / np.maximum(n, 1)[:, None], n
 
-    def calibrate(self, entropy: np.ndarray, n: np.ndarray, lang: np.ndarray) -> None:
-        """Usual entropy of each language: its mean, spread between texts, and spread that shrinks with length."""
-        for k, name in enumerate(self.langs):
-            own = (lang == name) & (n >= 1)
-            if own.sum() < 5:
-                self.usual[k] = np.nan
-                continue
-            e, w = entropy[own, k], n[own]
-            mean = np.median(e)
-            far = (e - mean) ** 2
-            trim = far <= np.quantile(far, 0.99)
-            a = np.stack([np.ones(trim.sum()), 1 / w[trim]], axis=1)
-            between, per_symbol = np.linalg.lstsq(a, far[trim], rcond=None)[0]
-            self.usual[k] = mean, max(between, 1e-4), max(per_symbol, 0.05)
+    def calibrate(self, usual: dict[str, tuple[float, float, float]]) -> None:
+        """Usual entropy of each language, from ``usual_entropies``."""
+        self.usual = np.array([usual.get(name, (np.nan,) * 3) for name in self.langs])
         if np.isnan(self.usual).all():
             self.usual[:] = (np.log(self.kinds), 1.0, 1.0)
         else:
@@ -295,13 +286,38 @@ def count_grams(texts: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "tenth", "code").agg(F.sum("n").alias("n"))
 
 
+def usual_entropies(scored: DataFrame) -> dict[str, tuple[float, float, float]]:
+    """Mean entropy, spread between texts, and spread that shrinks with length, of each language; from all rows ``lang, e, n`` of texts.
+
+    The mean is the median; the spreads are fitted by least squares to the squared distances from it, without their largest
+    hundredth. Ranks and sums are taken in Spark; a few numbers per language come to the driver."""
+    spark = scored.sparkSession
+    own = scored.where("n >= 1")
+
+    def with_limit(rows: DataFrame, value: str, prob: float, name: str) -> DataFrame:
+        found = Q.grouped_quantiles(rows.select(F.col("lang").alias("feature"), F.col(value).alias("value")), [prob], LEAST_TEXTS)
+        table = spark.createDataFrame([(lang, v[0]) for lang, v in found.items()], f"lang string, {name} double")
+        return rows.join(F.broadcast(table), "lang")  # a row per language
+
+    far = cut_lineage(with_limit(own, "e", 0.5, "mean").withColumn("far", (F.col("e") - F.col("mean")) ** 2), "langid-far")
+    one, inv = F.count("*").cast("double"), 1 / F.col("n")
+    sums = with_limit(far, "far", 0.99, "most").where("far <= most").groupBy("lang", "mean").agg(
+        one.alias("k"), F.sum(inv).alias("s"), F.sum(inv * inv).alias("ss"), F.sum("far").alias("f"), F.sum(F.col("far") * inv).alias("fs")
+    )
+    out = {}
+    for r in sums.collect():
+        between, per_symbol = np.linalg.lstsq(np.array([[r.k, r.s], [r.s, r.ss]]), np.array([r.f, r.fs]), rcond=1e-12)[0]
+        out[r.lang] = r["mean"], max(between, 1e-4), max(per_symbol, 0.05)
+    return out
+
+
 def train(docs: DataFrame, train_rows, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
     """Fits the model on the rows that ``train_rows`` (a condition) admits and whose language is known.
 
     All of these rows are counted, all of their languages learned. What comes to the driver are the
-    rows of ``kneser_ney``, at most ``1 / RARE`` for an order of a language. One row in ten
-    (by hash of the key) is left out of the counts, and up to ``CALIBRATION_ROWS`` of those calibrate
-    rejection; a language that has no other rows is counted from these.
+    rows of ``kneser_ney``, at most ``1 / RARE`` for an order of a language. What is usual for a text that was not
+    counted is taken from all rows of one tenth (by hash of the key), scored by a model that counts the others;
+    a language that has no other rows is counted from these in both.
     """
     spark = docs.sparkSession
     ready_python(spark)
@@ -313,28 +329,27 @@ def train(docs: DataFrame, train_rows, key: str = "doc_id", text: str = "text",
     rows = kneser_ney(every.join(used, ["lang", "tenth"]).select("lang", "code", "n")).toArrow().to_pandas()
     if rows.empty:
         return None
-    model = Model(rows)
-    shared = spark.sparkContext.broadcast(model)
+    nine = Model(rows)
+    del rows
+    shared = spark.sparkContext.broadcast(nine)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
             entropy, n = m.entropies(batch.column(0).to_pylist())
             lang = np.array(batch.column(1).to_pylist(), dtype=object)
-            at = np.array([m.langs.index(x) if x in m.langs else -1 for x in lang])
+            at = np.array([m.langs.index(x) if x in m.langs else -1 for x in lang], dtype=np.int64)
             ok = at >= 0
             yield pa.RecordBatch.from_arrays([pa.array(lang[ok], pa.string()), pa.array(entropy[np.arange(len(at)), at][ok]), pa.array(n[ok])], names=["lang", "e", "n"])
 
-    sample = labelled.where("tenth").where(F.length("text") > 0)
-    bound = sample.select(F.xxhash64("id", "text").alias("h")).orderBy("h").limit(CALIBRATION_ROWS).agg(F.max("h")).first()[0]
-    if bound is not None:
-        usual = sample.where(F.xxhash64("id", "text") <= bound).select("text", "lang").mapInArrow(score, "lang string, e double, n double").toPandas()
-        shared.destroy()
-        entropy = np.zeros((len(usual), len(model.langs)))
-        entropy[np.arange(len(usual)), [model.langs.index(x) for x in usual["lang"]]] = usual["e"]
-        model.calibrate(entropy, usual["n"].to_numpy(), usual["lang"].to_numpy())
-    else:
-        model.calibrate(np.zeros((0, len(model.langs))), np.zeros(0), np.zeros(0, dtype=object))
+    tenth = labelled.where("tenth").where(F.length("text") > 0).select("text", "lang")
+    scored = cut_lineage(tenth.mapInArrow(score, "lang string, e double, n double"), "langid-scored")
+    shared.destroy()
+    del nine
+    usual = usual_entropies(scored)
+    whole = cut_lineage(every.groupBy("lang", "code").agg(F.sum("n").alias("n")), "langid-whole")
+    model = Model(kneser_ney(whole).toArrow().to_pandas())
+    model.calibrate(usual)
     return model
 
 

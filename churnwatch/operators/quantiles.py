@@ -73,8 +73,8 @@ def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return long.where(F.col("value").isNotNull())
 
 
-def _cumulative(df: DataFrame, columns: list[str]) -> tuple[DataFrame, dict[str, dict]]:
-    counts = long_values(df, columns).groupBy("feature", "value").agg(F.count("*").alias("n_ref")).withColumn(
+def _cumulative(long: DataFrame) -> tuple[DataFrame, dict[str, dict]]:
+    counts = long.groupBy("feature", "value").agg(F.count("*").alias("n_ref")).withColumn(
         "n_cur", F.lit(0).cast("bigint")
     )
     counts = cut_lineage(counts, "value-counts")
@@ -85,7 +85,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> di
     """Per column, the linear-interpolated quantiles (NumPy rules); None when no values."""
     if not columns:
         return {}
-    cum, totals = _cumulative(df, columns)
+    cum, totals = _cumulative(long_values(df, columns))
     plan = {c: quantile_positions(int(totals[c]["n_ref"]), probs) for c in columns if c in totals}
     vals = values_at_positions(cum, {c: sorted({p for lo, hi, _ in ps for p in (lo, hi)}) for c, ps in plan.items()})
     return {
@@ -94,11 +94,19 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> di
     }
 
 
+def grouped_quantiles(long: DataFrame, probs: list[float], least: int = 1) -> dict[str, list[float]]:
+    """Per feature of ``feature, value`` with ``least`` values or more, the linear-interpolated quantiles."""
+    cum, totals = _cumulative(long)
+    plan = {f: quantile_positions(int(t["n_ref"]), probs) for f, t in totals.items() if t["n_ref"] >= least}
+    vals = values_at_positions(cum, {f: sorted({p for lo, hi, _ in ps for p in (lo, hi)}) for f, ps in plan.items()})
+    return {f: [np_lerp(vals[(f, lo)], vals[(f, hi)], g) for lo, hi, g in ps] for f, ps in plan.items()}
+
+
 def exact_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
     """Per column, the median as the mean of the two middle values for even counts."""
     if not columns:
         return {}
-    cum, totals = _cumulative(df, columns)
+    cum, totals = _cumulative(long_values(df, columns))
     want = {}
     for c in columns:
         if c in totals:

@@ -16,16 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnwatch.llm import decontaminate, langid, mixing, simhash, templates
-from churnwatch.llm.common import held_out, read, unused
+from churnwatch.llm.common import read, unused
 from churnwatch.session import checkpoint_dir
 
 TARGET_WEIGHTS, TARGET_SHARE, MOST_COPIES = (3, 1, 2), 1.5, 2.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language. Goes: no text, no letter, or an entropy far above what is usual. Where no
-    row names a language, nothing can be learned and nothing is rejected."""
-    model = langid.train(docs, lambda i: ~held_out(i))
+    """Documents in a learned language. Goes: no text, no letter, or an entropy far above what is usual. All rows that
+    name a language are learned from; where none does, nothing can be learned and nothing is rejected."""
+    model = langid.train(docs, lambda i: F.lit(True))
     if model is None:
         return docs
     names = unused(docs.columns, "_lang", "_score", "_rejected", "_entropy")

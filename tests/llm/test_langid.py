@@ -135,3 +135,29 @@ def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "abc", None), (2, None, "en")], "doc_id long, text string, lang string")
     assert langid.train(docs, lambda i: F.lit(True)) is None
     assert [r.lang_pred for r in langid.identify(docs, None).collect()] == ["und", "und"]
+
+
+def test_all_rows_are_counted_and_all_of_the_tenth_calibrate(spark, monkeypatch):
+    """What the tenth alone holds is in the model, and the usual entropies are those of every row of the tenth."""
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(int(rng.integers(5, 60)))), "xy"[i % 2]) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    tenth = {r.doc_id for r in docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0).collect()}
+    rows = [(i, t + " zzz" if i in tenth else t, x) for i, t, x in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    seen = []
+    usual = langid.usual_entropies
+    monkeypatch.setattr(langid, "usual_entropies", lambda scored: seen.append([tuple(r) for r in scored.collect()]) or usual(scored))
+    monkeypatch.setattr(langid, "CALIBRATION_ROWS", 20, raising=False)
+    model = langid.train(docs, lambda i: F.lit(True))
+    whole = langid.Model(langid.kneser_ney(counted(spark, {x: [t for _, t, y in rows if y == x] for x in "xy"})).toPandas())
+    assert np.allclose(model.entropies(["zzz", "abc zz"])[0], whole.entropies(["zzz", "abc zz"])[0])
+    (scored,) = seen
+    assert len(scored) == len(tenth) > 100
+    for k, name in enumerate(model.langs):
+        e, n = np.array([(e, n) for x, e, n in scored if x == name]).T
+        mean = np.median(e)
+        far = (e - mean) ** 2
+        trim = far <= np.quantile(far, 0.99)
+        between, per_symbol = np.linalg.lstsq(np.stack([np.ones(trim.sum()), 1 / n[trim]], axis=1), far[trim], rcond=None)[0]
+        assert model.usual[k] == pytest.approx((mean, max(between, 1e-4), max(per_symbol, 0.05)))
