@@ -57,7 +57,8 @@ def q_stream_unique_watermark(spark, sf_dir):
 def q_stream_counters(spark, sf_dir):
     src, schema = staged_events(spark, sf_dir)
     req = S.request_log(spark, sf_dir).select("event_id", "endpoint")
-    stream = LS.read_log_stream(spark, src, schema).join(req, "event_id")  # stream-static join
+    # stream-static join, by a shuffle: the side that a batch would broadcast is the batch itself
+    stream = LS.read_log_stream(spark, src, schema, LS.files_a_trigger(spark, src)).join(req.hint("merge"), "event_id")
     sink = LS.work_dir(spark, "counters")
     LS.stream_prediction_counters(stream, "score", sink, LS.work_dir(spark, "ckpt"))
     return spark.read.parquet(sink)

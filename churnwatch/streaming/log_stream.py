@@ -39,6 +39,20 @@ def read_log_stream(spark: SparkSession, path: str, schema, files_per_trigger: i
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
+MOST_BATCHES = 8
+
+
+def files_a_trigger(spark: SparkSession, path: str, least: int = 5, batches: int = MOST_BATCHES) -> int:
+    """Files to take at a time so that the files waiting at ``path`` are worked off in ``batches`` micro-batches or fewer.
+
+    For queries whose result does not depend on where batches end: what a batch costs whatever its size (its tasks'
+    results, a pass over a static side) is then paid a bounded number of times, not once for every few files."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(fs_path)
+    waiting = sum(1 for f in listed if f.getPath().getName().endswith(".parquet"))
+    return max(least, -(-waiting // batches))
+
+
 def run_available(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
