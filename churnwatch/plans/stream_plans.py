@@ -37,7 +37,7 @@ def q_stream_unique(spark, sf_dir):
     """Exact mode: an id (user) is accepted once over the whole log; later rows are rejected. How often each was either."""
     src, schema = staged_events(spark, sf_dir)
     acc, rej = LS.work_dir(spark, "accepted"), LS.work_dir(spark, "rejected")
-    LS.stream_unique_ids_exact(LS.read_log_stream(spark, src, schema), "user_id", "ts", acc, rej,
+    LS.stream_unique_ids_exact(LS.read_log_stream(spark, src, schema, LS.files_a_trigger(spark, src)), "user_id", "ts", acc, rej,
                                LS.work_dir(spark, "ckpt"))
     rows = spark.read.parquet(acc).select("user_id", F.lit(1).alias("a")).unionByName(spark.read.parquet(rej).select("user_id", F.lit(0).alias("a")))
     return rows.groupBy("user_id").agg(F.sum("a").alias("accepted"), F.count_if(F.col("a") == 0).alias("rejected"))

@@ -101,7 +101,8 @@ def stream_unique_ids_exact(stream: DataFrame, key: str, order: str, accepted: s
     Each batch writes its own partition, so a retried batch gives the same result.
 
     The id store (``<accepted>-ids``) holds the accepted ids by hash bucket; a batch reads the
-    buckets that its own ids fall into, by partition, and nothing else of the log."""
+    buckets that its own ids fall into, by partition, and nothing else of the log. Ids and row numbers are
+    joined by shuffles: a broadcast would bring those of every batch, in the end of the whole log, to the driver."""
     from churnwatch.operators.contract import norm_id
 
     store = f"{accepted.rstrip('/')}-ids"
@@ -113,9 +114,9 @@ def stream_unique_ids_exact(stream: DataFrame, key: str, order: str, accepted: s
         keep = cut_lineage(first.select("_id", "r._row", id_bucket(F.col("_id")).alias("bucket")), "candidates")
         if path_exists(spark, store):
             seen = stored_ids(spark, store, keep, batch_id)
-            keep = cut_lineage(keep.join(seen, "_id", "left_anti"), "first-rows")
+            keep = cut_lineage(keep.join(seen.hint("merge"), "_id", "left_anti"), "first-rows")
         (keep.select("_id", "bucket").repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch_id={batch_id}"))
-        keep = keep.select("_row")
+        keep = keep.select("_row").hint("merge")
         rows.join(keep, "_row", "left_semi").drop("_row").write.mode("overwrite").parquet(f"{accepted}/batch_id={batch_id}")
         rows.join(keep, "_row", "left_anti").drop("_row").write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
 
