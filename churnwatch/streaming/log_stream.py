@@ -68,11 +68,21 @@ def stream_append_log(stream: DataFrame, sink: str, checkpoint: str) -> None:
 
 def stream_unique_ids(stream: DataFrame, key: str, ts: str, delay: str, sink: str, checkpoint: str) -> None:
     """Keep the first row of each id within the watermark delay (bounded state); rows whose
-    id repeats inside the delay are rejected."""
+    id repeats inside the delay are rejected.
+
+    Every state partition reports its store to the driver after every batch (some 40 KB), however few rows a batch
+    has, so there are no more of them than cores."""
     dedup = stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
-    q = (dedup.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start(sink))
-    run_available(q)
+    spark = stream.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    # read when the query starts, and kept in its checkpoint
+    spark.conf.set("spark.sql.shuffle.partitions", min(int(before), spark.sparkContext.defaultParallelism))
+    try:
+        q = (dedup.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start(sink))
+        run_available(q)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 ID_BUCKETS = 256
