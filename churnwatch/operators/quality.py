@@ -168,6 +168,20 @@ def dq_report(reference: DataFrame, current: DataFrame, required: list[str] = C.
     )
 
 
+def condensed_reference(reference: DataFrame) -> DataFrame:
+    """All that ``dq_report`` reads of a reference, in few rows: every category once, and the least and largest numbers."""
+    _, categorical, numeric = dq_roles(reference, reference)
+    out = reference.where(F.lit(False))
+    for c in categorical:
+        out = out.unionByName(reference.select(c).distinct(), allowMissingColumns=True)
+    if numeric:
+        types = {f.name: f.dataType for f in reference.schema.fields}
+        kept = {c: nan_to_null(F.col(c)) if isinstance(types[c], (T.DoubleType, T.FloatType)) else F.col(c) for c in numeric}
+        for bound in (F.min, F.max):
+            out = out.unionByName(reference.agg(*[bound(kept[c]).cast(types[c]).alias(c) for c in numeric]), allowMissingColumns=True)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # log freshness and windows
 # ---------------------------------------------------------------------------

@@ -166,12 +166,25 @@ def stream_monitor(stream: DataFrame, reference: DataFrame, log_path: str, metri
 
     The latest window is carried on: the newest rows after a batch are those of the window after the
     batch before it and of the batch itself (``<log_path>-window``), so a batch reads its own rows and one window,
-    however long the log is. ``window`` 0 or less keeps all rows, and then the log is read."""
+    however long the log is. ``window`` 0 or less keeps all rows, and then the log is read.
+
+    The reference stays the same, so it is counted and sorted once, by the first batch that needs it; the others read what
+    ``operators.drift.ReferenceProfile`` and ``operators.quality.condensed_reference`` keep of it. So are the earlier batches' metrics: a run
+    reads them in its first batch and carries them on."""
     numeric = numeric or []
     categorical = categorical or []
+    fitted: dict = {}
+    carried_on: dict = {}
+
+    def once(name: str, make: Callable):
+        if name not in fitted:
+            fitted[name] = make()
+        return fitted[name]
 
     def history(spark: SparkSession, batch_id: int) -> tuple[dict, dict]:
         """Time each tier last ran, and the newest value of every metric, before this batch."""
+        if carried_on.get("batch") == batch_id - 1:
+            return carried_on["ran"], carried_on["newest"]
         if not path_exists(spark, metrics_path):
             return {}, {}
         m = spark.read.parquet(metrics_path).where(F.col("batch_id") < batch_id)
@@ -186,7 +199,7 @@ def stream_monitor(stream: DataFrame, reference: DataFrame, log_path: str, metri
         now = clock().astimezone(timezone.utc) + batch_step * batch_id
         stamp = F.lit(now.strftime("%Y-%m-%d %H:%M:%S.%f+00:00")).cast("timestamp")
         last, newest = history(spark, batch_id)
-        head = spark.read.parquet(own).agg(
+        head = spark.read.schema(batch.schema).parquet(own).agg(
             F.count("*").alias("n"), F.max(F.unix_micros(F.col(ts).cast("timestamp")) / 1e6).alias("t")).first()
         rows = int(newest.get("row_count", 0)) + head["n"]
         latest_event = max((t for t in (newest.get("latest_event_seconds"), head["t"]) if t is not None), default=None)
@@ -197,22 +210,33 @@ def stream_monitor(stream: DataFrame, reference: DataFrame, log_path: str, metri
         # part of the append, as the log's own rows are: a collection that fails loses no row of the next window
         carried = carry_window(spark, own, f"{log_path}-window", batch_id, window, order) if window > 0 else None
 
-        def write(up: float, parts: list[DataFrame]) -> None:
+        def write(up: float, parts: list[DataFrame], ran: tuple[str, ...] = ()) -> None:
             out = spark.createDataFrame([("fast", k, v) for k, v in [*fast, ("up", up)]], "tier string, metric string, value double")
             for p in parts:
                 out = out.unionByName(p)
             out.select("tier", stamp.alias("ts"), "metric", F.col("value").cast("double").alias("value")).write.mode("overwrite").parquet(
                 f"{metrics_path}/batch_id={batch_id}")
+            drifted = {"drift_rows": float(rows)} if "drift" in ran else {}
+            carried_on.update(batch=batch_id, ran={**last, **dict.fromkeys(("fast", *ran), now.timestamp())}, newest={**newest, **dict(fast), **drifted})
 
         try:
-            parts = []
+            parts, ran = [], ()
             if due["medium"] or due["drift"]:
-                latest = carried if carried is not None else spark.read.parquet(log_path).where(F.col("batch_id") <= batch_id)
+                # a window is written by one task, and read by one it needs no shuffles
+                latest = carried.coalesce(1) if carried is not None else spark.read.parquet(log_path).where(F.col("batch_id") <= batch_id)
+                cols = numeric + categorical
                 if due["medium"]:
-                    parts += _medium_parts(latest, reference, probability, numeric, categorical)
-                if due["drift"] and (numeric or categorical):
-                    parts += _drift_parts(latest, reference, numeric, categorical, rows)
-            write(1.0, parts)
+                    known = once("dq", lambda: cut_lineage(QU.condensed_reference(reference.select(*cols)), "dq-reference")) if cols else reference
+                    parts += _medium_parts(latest, known, probability, numeric, categorical)
+                    ran += ("medium",)
+                if due["drift"] and cols:
+                    if carried is not None:
+                        report = D.drift_report_profiled(once("drift", lambda: D.reference_profile(reference, numeric, categorical)), latest)
+                    else:
+                        report = D.drift_report_labelled(D.label_sides(reference, latest, cols), numeric, categorical)
+                    parts += _drift_parts(report, rows)
+                    ran += ("drift",)
+            write(1.0, parts, ran)
         except Exception as failure:  # the exporter stays up and reports that this collection failed
             print(f"batch {batch_id}: collection failed: {failure}", file=sys.stderr)
             write(0.0, [])
@@ -237,7 +261,7 @@ def carry_window(spark: SparkSession, own: str, state: str, batch_id: int, windo
     QU.latest_window(rows, window, order).write.mode("overwrite").parquet(path)
     for k in earlier[:-1]:
         fs.delete(fs_path(f"{state}/after={k}"), True)
-    return spark.read.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def _long(df: DataFrame, tier: str) -> DataFrame:
@@ -254,10 +278,8 @@ def _medium_parts(latest: DataFrame, reference: DataFrame, probability: str, num
     return parts
 
 
-def _drift_parts(latest: DataFrame, reference: DataFrame, numeric: list[str], categorical: list[str],
-                 rows: int) -> list[DataFrame]:
-    both = D.label_sides(reference, latest, numeric + categorical)
-    summary = D.drift_summary(D.drift_report_labelled(both, numeric, categorical))
+def _drift_parts(report: DataFrame, rows: int) -> list[DataFrame]:
+    summary = D.drift_summary(cut_lineage(report, "drift-report"))  # the summary reads it twice
     marker = summary.select(F.lit("drift").alias("tier"), F.lit("drift_rows").alias("metric"),
                             F.lit(float(rows)).alias("value"))
     return [_long(summary, "drift"), marker]
