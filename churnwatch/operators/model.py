@@ -30,10 +30,14 @@ WEIGHT = "class_weight"
 
 def with_balanced_weights(df: DataFrame, label: str = C.TARGET_COLUMN) -> DataFrame:
     """Adds ``class_weight`` = n / (classes * n_class); the per-class table is tiny."""
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    return df.withColumn(WEIGHT, balanced_weight({r[label]: r["count"] for r in df.groupBy(label).count().collect()}, label))
+
+
+def balanced_weight(counts: dict, label: str = C.TARGET_COLUMN) -> Column:
+    """n / (classes * n_class) of a row's class, from the rows per class."""
     total, k = sum(counts.values()), len(counts)
     m = F.create_map(*[x for y, n in counts.items() for x in (F.lit(y), F.lit(total / (k * n)))])
-    return df.withColumn(WEIGHT, F.element_at(m, F.col(label)))
+    return F.element_at(m, F.col(label))
 
 
 def classifier(kind: str, label: str = C.TARGET_COLUMN, weighted: bool = True, seed: int = C.RANDOM_STATE, **params):
@@ -166,27 +170,34 @@ def random_search_cv(train: DataFrame, feature_cols: list[str], space: dict[str,
                      label: str = C.TARGET_COLUMN, parallel: int = 4) -> DataFrame:
     """Distinct random settings from ``space``, each scored by the eight metrics of its out-of-fold predictions.
 
-    One row per trial: ``trial``, the setting, the metrics. Rows are assembled once and written with their folds and class weights;
-    the fits of all trials and folds, each a distributed Spark ML job, are submitted a few at a time. Out-of-fold scores are
-    evaluated for all trials together, in one pass. Folds come from the row hash (``features.stratified_folds``)."""
+    One row per trial: ``trial``, the setting, the metrics. Rows are assembled once, written with their folds and kept in memory, or on
+    disk where they do not fit; the classes of all folds are counted in one pass. The fits of all trials and folds, each a distributed Spark ML
+    job, are submitted a few at a time. Out-of-fold scores are evaluated for all trials together, in one pass. Folds come from the row hash
+    (``features.stratified_folds``)."""
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")
-    data = cut_lineage(assembler.transform(train).select("features", label, fold_col), "search-train")  # read by every fit
+    data = cut_lineage(assembler.transform(train).select("features", label, fold_col), "search-train").persist()  # read three times by every fit
     settings = draw_settings(space, trials, seed)
-
-    def held_out(job: tuple[int, int]) -> DataFrame:
-        trial, fold = job
-        fit_rows = with_balanced_weights(data.where(F.col(fold_col) != fold), label)
-        model = classifier(kind, label, True, **dict(settings[trial])).fit(fit_rows)
-        p = vector_to_array(F.col("probability"))[1]
-        return model.transform(data.where(F.col(fold_col) == fold)).select(F.lit(str(trial)).alias("trial"), p.alias("p"), F.col(label).alias("label"))
-
-    jobs = list(itertools.product(range(len(settings)), range(folds)))
-    with ThreadPoolExecutor(parallel) as pool:  # only submits; the fits run on the executors
-        parts = list(pool.map(held_out, jobs))
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    metrics = EV.evaluate_models(cut_lineage(scored, "out-of-fold"), "p", "label", group="trial")
+    try:
+        # one row per class: its rows outside each fold
+        classes = data.groupBy(label).agg(*[F.count_if(F.col(fold_col) != k).alias(f"outside_{k}") for k in range(folds)]).collect()
+
+        def held_out(job: tuple[int, int]) -> DataFrame:
+            trial, fold = job
+            weight = balanced_weight({r[label]: n for r in classes if (n := r[f"outside_{fold}"])}, label)
+            model = classifier(kind, label, True, **dict(settings[trial])).fit(data.where(F.col(fold_col) != fold).withColumn(WEIGHT, weight))
+            p = vector_to_array(F.col("probability"))[1]
+            return model.transform(data.where(F.col(fold_col) == fold)).select(F.lit(str(trial)).alias("trial"), p.alias("p"), F.col(label).alias("label"))
+
+        jobs = list(itertools.product(range(len(settings)), range(folds)))
+        with ThreadPoolExecutor(parallel) as pool:  # only submits; the fits run on the executors
+            parts = list(pool.map(held_out, jobs))
+        scored = parts[0]
+        for p in parts[1:]:
+            scored = scored.unionByName(p)
+        scored = cut_lineage(scored, "out-of-fold")
+    finally:
+        data.unpersist()
+    metrics = EV.evaluate_models(scored, "p", "label", group="trial")
     names = sorted(space)
     table = data.sparkSession.createDataFrame([(str(t), *[s[n] for n in names]) for t, s in enumerate(settings)], ["group", *names])
     return table.join(metrics, "group").withColumn("trial", F.col("group").cast("int")).drop("group")

@@ -61,3 +61,37 @@ def test_search_gives_every_metric_of_every_setting(spark, rows):
         assert all(x[name] is not None for x in r)
     good = [x["roc_auc"] for x in r if x["regParam"] < 1]
     assert min(good, default=1) > 0.7
+
+
+def test_search_reads_its_rows_once(spark, rows, monkeypatch):
+    """However many fits there are, the written rows are read once; class counts and fits take them from memory."""
+    read, written = spark.sparkContext.accumulator(0), M.cut_lineage
+
+    def seen(fold):
+        read.add(1)
+        return fold
+
+    counted = F.udf(seen, "int").asNondeterministic()
+    monkeypatch.setattr(M, "cut_lineage", lambda df, name: written(df, name).withColumn("fold", counted("fold")) if name == "search-train" else written(df, name))
+    folds = rows.withColumn("fold", (F.col("id") % 3).cast("int"))
+    found = M.random_search_cv(folds, ["a", "b"], {"regParam": [0.0, 0.1]}, trials=2, folds=3)
+    assert found.count() == 2 and read.value == 600
+
+
+def test_classes_are_weighed_without_the_held_out_fold(spark, rows, monkeypatch):
+    """Rows of no fold are in no fit; a class that only one fold has does not count where that fold is held out."""
+    weights, classifier = [], M.classifier
+
+    class Seen:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def fit(self, df):
+            weights.append(sorted((r.churn_status, round(r[M.WEIGHT], 9), r["count"]) for r in df.groupBy("churn_status", M.WEIGHT).count().collect()))
+            return self.inner.fit(df)
+
+    monkeypatch.setattr(M, "classifier", lambda *a, **k: Seen(classifier(*a, **k)))
+    fold = F.when(F.col("id") < 30, None).when(F.col("id") < 200, 0).otherwise(1)
+    status = F.when(F.col("id") < 20, 2).when(F.col("id") < 50, 0).otherwise(1)
+    M.random_search_cv(rows.withColumn("fold", fold).withColumn("churn_status", status), ["a", "b"], {"regParam": [0.1]}, trials=1, folds=2, parallel=1)
+    assert weights == [[(1, 1.0, 400)], [(0, 4.25, 20), (1, round(170 / 300, 9), 150)]]
